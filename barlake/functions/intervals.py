@@ -14,21 +14,18 @@ INTERVAL_MINUTES = {
 }
 
 
-def step_us(interval: Column) -> Column:
-    """Bar length in microseconds; an unsupported code fails the job."""
-    branches = F.lit(None).cast("bigint")
-    for code, minutes in reversed(INTERVAL_MINUTES.items()):
-        branches = F.when(interval == code, F.lit(minutes * MINUTE_US)).otherwise(branches)
-    unsupported = F.raise_error(F.concat(F.lit("Unsupported interval: "), F.coalesce(interval, F.lit("NULL"))))
-    return F.coalesce(branches, unsupported.cast("bigint"))
+def by_interval(values: dict[str, int], interval: str = "interval") -> Column:
+    """The value of each row's interval code; an unsupported code fails the job."""
+    branches = " ".join(f"WHEN '{code}' THEN {value}L" for code, value in values.items())
+    failure = f"CAST(raise_error(concat('Unsupported interval: ', coalesce(`{interval}`, 'NULL'))) AS BIGINT)"
+    return F.expr(f"CASE `{interval}` {branches} ELSE {failure} END")
 
 
-def periods_per_year(interval: Column) -> Column:
-    """Bars in a 365-day year."""
-    return F.lit(365 * DAY_US).cast("double") / step_us(interval)
+def step_us(interval: str = "interval") -> Column:
+    """Bar length in microseconds."""
+    return by_interval({code: minutes * MINUTE_US for code, minutes in INTERVAL_MINUTES.items()}, interval)
 
 
-def check_interval(interval: str) -> str:
-    if interval not in INTERVAL_MINUTES:
-        raise ValueError(f"Unsupported interval: {interval}")
-    return interval
+def periods_per_year(interval: str = "interval") -> Column:
+    """Bars in a 365-day year."""
+    return F.lit(float(365 * DAY_US)) / step_us(interval)

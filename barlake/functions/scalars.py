@@ -15,15 +15,15 @@ def null_if_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def to_number(value: Column) -> Column:
+def to_number(column: str) -> Column:
     """Double from number or text; anything unreadable becomes NULL."""
-    text = F.trim(value.cast("string"))
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    text = f"trim(CAST({column} AS STRING))"
+    return F.expr(f"CASE WHEN {text} RLIKE r'{NUMBER_PATTERN}' THEN try_cast({text} AS DOUBLE) END")
 
 
-def to_count(value: Column) -> Column:
+def to_count(column: str) -> Column:
     """Whole number; missing or unreadable becomes 0, fractions are cut off."""
-    return F.coalesce(to_number(value).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(to_number(column).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def millis_to_time(value: Column) -> Column:

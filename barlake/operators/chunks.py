@@ -10,7 +10,7 @@ handed over in one of two exact ways:
   the next chunk as one extra *seed* row or through a join on the chunk key (fills, products, latches).
 
 A summary scan sees one row per series and chunk; the calendar bounds that (ten years of minute bars are about
-300 chunks), whatever the number of rows.
+1800 chunks), whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -19,10 +19,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barlake.functions.intervals import DAY_US, INTERVAL_MINUTES, MINUTE_US
+from barlake.functions.intervals import DAY_US, INTERVAL_MINUTES, MINUTE_US, by_interval
 
 CHUNK = "_chunk"
-CHUNK_BARS = 16_384
+# 2880 bars are whole days for every interval, and few enough for Spark to hold a chunk in its window buffer
+# (spark.sql.windowExec.buffer.in.memory.threshold, 4096 rows) instead of spilling each one.
+CHUNK_BARS = 2880
 TICK_CHUNK_SECONDS = 3600
 
 BROADCAST_ROWS = 100_000
@@ -34,21 +36,15 @@ def floor_div(value: Column, width: Column) -> Column:
     return F.call_function("div", value - F.pmod(value, width), width)
 
 
-def chunk_us(interval: Column, chunk_bars: int = CHUNK_BARS) -> Column:
+def chunk_us(chunk_bars: int = CHUNK_BARS) -> Column:
     """Chunk length in microseconds: at least ``chunk_bars`` bars, rounded up to whole days."""
-    length = F.lit(None).cast("bigint")
-    for code, minutes in INTERVAL_MINUTES.items():
-        days = -(-minutes * MINUTE_US * chunk_bars // DAY_US)
-        length = F.when(interval == code, F.lit(days * DAY_US)).otherwise(length)
-    message = F.concat(F.lit("Unsupported interval: "), F.coalesce(interval, F.lit("NULL")))
-    return F.coalesce(length, F.raise_error(message).cast("bigint"))
+    days = {code: -(-minutes * MINUTE_US * chunk_bars // DAY_US) for code, minutes in INTERVAL_MINUTES.items()}
+    return by_interval({code: count * DAY_US for code, count in days.items()})
 
 
 def with_bar_chunk(bars: DataFrame, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """Add the chunk number of each bar; days never straddle two chunks."""
-    return bars.withColumn(
-        CHUNK, floor_div(F.unix_micros("open_time"), chunk_us(F.col("interval"), chunk_bars))
-    )
+    return bars.withColumn(CHUNK, floor_div(F.unix_micros("open_time"), chunk_us(chunk_bars)))
 
 
 def with_tick_chunk(ticks: DataFrame, seconds: int = TICK_CHUNK_SECONDS) -> DataFrame:

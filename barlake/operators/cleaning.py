@@ -18,8 +18,8 @@ from barlake.schema import (
 
 def normalize_bars(raw: DataFrame) -> DataFrame:
     """Type the raw columns and bring them into the fixed bar layout (one projection)."""
-    typed = {c: to_number(F.col(c)) for c in [*PRICE_COLUMNS, *VOLUME_COLUMNS]} | {
-        "trade_count": to_count(F.col("trade_count")),
+    typed = {c: to_number(c) for c in [*PRICE_COLUMNS, *VOLUME_COLUMNS]} | {
+        "trade_count": to_count("trade_count"),
         "open_time": millis_to_time(F.col("open_time")),
         "close_time": millis_to_time(F.col("close_time")),
         "ingested_at": to_utc(F.col("ingested_at")),
@@ -132,8 +132,8 @@ def fill_missing_bars(
     keyed = (
         bars.select(*SILVER_COLUMNS)
         .withColumn("_at", F.unix_micros("open_time"))
-        .withColumn("_step", step_us(F.col("interval")))
-        .withColumn("_width", chunk_us(F.col("interval"), chunk_bars))
+        .withColumn("_step", step_us())
+        .withColumn("_width", chunk_us(chunk_bars))
         .withColumn(CHUNK, floor_div(F.col("_at"), F.col("_width")))
     )
     moments = (times or bars).select(*SERIES, F.unix_micros("open_time").alias("_at"))

@@ -37,7 +37,7 @@ def window_report(bars: DataFrame, series: DataFrame | None = None, allow_empty:
         wanted = series.select(*SERIES).distinct()
         counts = wanted.join(counts, SERIES, "left").fillna(0, ["row_count", "distinct_pk"])
     span = F.unix_millis("max_open_time") - F.unix_millis("min_open_time")
-    step = F.call_function("div", step_us(F.col("interval")), F.lit(1000))
+    step = F.call_function("div", step_us(), F.lit(1000))
     expected = F.call_function("div", span, step) + 1
     gaps = F.greatest(F.coalesce(expected - F.col("row_count"), F.lit(0)), F.lit(0))
     counted = counts.withColumn("gap_violations", gaps)

@@ -53,29 +53,47 @@ def _running(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(Window.unboundedPreceding, 0)
 
 
+def _earlier(w: WindowSpec) -> WindowSpec:
+    return w.rowsBetween(Window.unboundedPreceding, -1)
+
+
 def _latch(rows: DataFrame, enter: Column, leave: Column, w: WindowSpec) -> DataFrame:
-    """Add ``_set`` (last forced position, NULL if none yet) and ``_flips`` (toggles since).
+    """Add what the position after each row (``_now``) and before it (``_old``) depends on.
 
-    Enter alone forces 1, leave alone forces 0, both together toggle, neither holds; the position is
-    ``(coalesce(_set, entering position) + _flips) % 2``.
+    Enter alone forces 1, leave alone forces 0, both together toggle, neither holds. With the last forced position
+    and the toggles since, the position is ``(coalesce(forced, entering position) + toggles) % 2``. A forced
+    position is kept together with the toggles counted up to it, as ``2 * toggles + position``.
     """
-    forced = F.col("_enter") != F.col("_leave")
-    return (
-        rows.withColumns({"_enter": enter, "_leave": leave})
-        .withColumns(
-            {
-                "_set": F.last(F.when(forced, F.col("_enter").cast("int")), ignorenulls=True).over(_running(w)),
-                "_toggles": F.sum((F.col("_enter") & F.col("_leave")).cast("int")).over(_running(w)),
-            }
-        )
-        .withColumn("_since", F.last(F.when(forced, F.col("_toggles")), ignorenulls=True).over(_running(w)))
-        .withColumn("_flips", F.col("_toggles") - F.coalesce("_since", F.lit(0)))
-        .drop("_toggles", "_since", "_enter", "_leave")
+    flagged = rows.withColumns({"_enter": enter, "_leave": leave})
+    toggle = (F.col("_enter") & F.col("_leave")).cast("bigint")
+    counted = flagged.withColumn("_toggles", F.sum(toggle).over(_running(w)))
+    forced = F.when(
+        F.col("_enter") != F.col("_leave"), F.col("_toggles") * 2 + F.col("_enter").cast("bigint")
     )
+    counted = counted.withColumn("_forced", forced)
+    return counted.withColumns(
+        {
+            "_now": F.last("_forced", ignorenulls=True).over(_running(w)),
+            "_old": F.last("_forced", ignorenulls=True).over(_earlier(w)),
+            "_toggles_old": F.coalesce(F.lag("_toggles").over(w), F.lit(0)),
+        }
+    ).drop("_enter", "_leave", "_forced")
+
+
+def _position(state: str, toggles: str, entering: Column) -> Column:
+    """Position from a packed state; toggles before it and toggles now differ by those since."""
+    known = F.col(state)
+    start = F.coalesce(known % 2, entering)
+    since = F.col(toggles) - F.coalesce(F.call_function("div", known, F.lit(2)), F.lit(0))
+    return F.pmod(start + since, F.lit(2)).cast("double")
+
+
+def _after(entering: Column) -> Column:
+    return _position("_now", "_toggles", entering)
 
 
-def _position(entering: Column) -> Column:
-    return F.pmod(F.coalesce(F.col("_set"), entering) + F.col("_flips"), F.lit(2)).cast("double")
+def _before(entering: Column) -> Column:
+    return _position("_old", "_toggles_old", entering)
 
 
 def _trigger(side: str) -> Column:
@@ -99,37 +117,34 @@ def _chunk_outcomes(bars: DataFrame, strategies: DataFrame) -> DataFrame:
     w = Window.partitionBy(*SERIES, CHUNK, "strategy_id").orderBy("open_time")
     joined = join_parameters(bars, strategies, ["symbol", "interval"], spread=["exchange", CHUNK])
     rows = _bars_with_latch(joined)
-    aggregates = []
+    gains, growths, aggregates = {}, {}, []
     for entering in (0, 1):
-        target, held, growth = f"_target{entering}", f"_held{entering}", f"_growth{entering}"
-        rows = rows.withColumn(target, _position(F.lit(entering)))
-        rows = rows.withColumn(held, F.coalesce(F.lag(target).over(w), F.lit(float(entering))))
-        gain = F.col(held) * F.col("asset_return") - F.abs(F.col(target) - F.col(held)) * _fee()
-        rows = rows.withColumn(growth, F.product(F.lit(1.0) + gain).over(_running(w)))
+        start, gain, growth = F.lit(entering), f"_gain{entering}", f"_growth{entering}"
+        held, target = _before(start), _after(start)
+        gains[gain] = F.lit(1.0) + held * F.col("asset_return") - F.abs(target - held) * _fee()
+        growths[growth] = F.product(gain).over(_running(w))
         aggregates += [
             F.max_by(target, "open_time").alias(f"_out{entering}"),
             F.max_by(growth, "open_time").alias(f"_end{entering}"),
             F.max(growth).alias(f"_high{entering}"),
             F.min(growth).alias(f"_low{entering}"),
         ]
-    return rows.groupBy(*SERIES, CHUNK, *PARAMETERS).agg(*aggregates)
+    return rows.withColumns(gains).withColumns(growths).groupBy(*SERIES, CHUNK, *PARAMETERS).agg(*aggregates)
 
 
 def _chunk_starts(outcomes: DataFrame) -> DataFrame:
     """Chain the chunks of each series and strategy: position, growth and peak each chunk starts from."""
     w = Window.partitionBy(*SERIES, "strategy_id").orderBy(CHUNK)
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     # A chunk's outcome pair acts on the position exactly as a bar's triggers do.
     chained = _latch(outcomes, F.col("_out0") == 1, F.col("_out1") == 0, w)
-    chained = chained.withColumn("_after", _position(F.lit(0)))
-    chained = chained.withColumn("_start_position", F.coalesce(F.lag("_after").over(w), F.lit(0.0)))
+    chained = chained.withColumn("_start_position", _before(F.lit(0)))
 
     def actual(name: str) -> Column:
         return F.when(F.col("_start_position") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
 
-    grown = chained.withColumn("_start_growth", F.coalesce(F.product(actual("_end")).over(earlier), F.lit(1.0)))
+    grown = chained.withColumn("_start_growth", F.coalesce(F.product(actual("_end")).over(_earlier(w)), F.lit(1.0)))
     top = F.greatest(F.col("_start_growth") * actual("_high"), F.col("_start_growth") * actual("_low"))
-    return grown.withColumn("_start_peak", F.max(top).over(earlier)).select(
+    return grown.withColumn("_start_peak", F.max(top).over(_earlier(w))).select(
         *SERIES, CHUNK, *PARAMETERS, "_start_position", "_start_growth", "_start_peak"
     )
 
@@ -150,8 +165,8 @@ def strategy_bars(gold: DataFrame, strategies: DataFrame, chunk_bars: int = CHUN
     wide = with_previous(keyed, SERIES, ["open_time"], "close", "_previous")
     rows = _bars_with_latch(wide.join(starts, [*SERIES, CHUNK]))
     w = Window.partitionBy(*SERIES, CHUNK, "strategy_id").orderBy("open_time")
-    rows = rows.withColumn("target_position", _position(F.col("_start_position")))
-    rows = rows.withColumn("position", F.coalesce(F.lag("target_position").over(w), F.col("_start_position")))
+    entering = F.col("_start_position").cast("bigint")
+    rows = rows.withColumns({"target_position": _after(entering), "position": _before(entering)})
     rows = rows.withColumn("turnover", F.abs(F.col("target_position") - F.col("position")))
     rows = rows.withColumn("transaction_cost", F.col("turnover") * _fee())
     rows = rows.withColumn(
@@ -179,7 +194,7 @@ def strategy_metrics(bars: DataFrame) -> DataFrame:
             F.min("drawdown").alias("max_drawdown"),
             F.count_if(F.col("turnover") > 0).alias("trade_count"),
         )
-        .withColumn("_periods", periods_per_year(F.col("interval")))
+        .withColumn("_periods", periods_per_year())
         .select(
             *SERIES, "strategy_id", "bar_count",
             (ratio - 1.0).alias("total_return"),

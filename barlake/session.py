@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -24,3 +24,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if shared:
         return f"{shared.rstrip('/')}/barlake/{label}-{uuid.uuid4().hex}"
     return tempfile.mkdtemp(prefix=f"barlake-{label}-")
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: later passes scan columns instead of recomputing."""
+    path = f"{scratch_dir(frame.sparkSession, label)}/table"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -35,7 +35,7 @@ from barlake.plans.steps import (
     silver_step,
 )
 from barlake.schema import FEATURE_COLUMNS, KLINE_FIELDS, PRIMARY_KEY, SERIES, SILVER_COLUMNS
-from barlake.session import scratch_dir
+from barlake.session import scratch_dir, stored
 from barlake.sources.klines import extract_recent, extract_window, raw_bars_from_payloads
 from barlake.sources.layers import (
     DAY_LAYOUT,
@@ -87,8 +87,18 @@ def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+def _bronze(spark: SparkSession, sf_dir: str, by: str = t.BY_TYPE) -> DataFrame:
+    """Raw klines as a stored table, which is how cleaning meets them."""
+    return stored(t.raw_klines(spark, sf_dir, by), "bronze")
+
+
 def _silver(spark: SparkSession, sf_dir: str, by: str = t.BY_TYPE) -> DataFrame:
-    return clean_bars(t.raw_klines(spark, sf_dir, by))
+    """Clean bars as a stored table, the input of features, reports and strategies."""
+    return stored(clean_bars(_bronze(spark, sf_dir, by)), "silver")
+
+
+def _bars(spark: SparkSession, sf_dir: str, by: str = t.BY_TYPE) -> DataFrame:
+    return stored(t.bars(spark, sf_dir, by), "bars")
 
 
 def _gold(spark: SparkSession, sf_dir: str, by: str = t.BY_TYPE) -> DataFrame:
@@ -103,7 +113,7 @@ def kline_payload_parse(spark, sf_dir):
     raw = raw_bars_from_payloads(t.kline_pages(spark, sf_dir))
     numbers = [f for f in KLINE_FIELDS if f not in ("open_time", "close_time", "ignore", "volume")]
     return raw.select(
-        *SERIES, "open_time", "close_time", *[to_number(F.col(c)).alias(c) for c in numbers],
+        *SERIES, "open_time", "close_time", *[to_number(c).alias(c) for c in numbers],
         "volume", "ignore", "load_source", "ingested_at",
     )
 
@@ -111,7 +121,7 @@ def kline_payload_parse(spark, sf_dir):
 @query
 def extract_window_bars(spark, sf_dir):
     raw = extract_window(t.raw_klines(spark, sf_dir), WINDOW_START, WINDOW_END)
-    return raw.select(*SERIES, "open_time", to_number(F.col("close")).alias("close"), "ingested_at")
+    return raw.select(*SERIES, "open_time", to_number("close").alias("close"), "ingested_at")
 
 
 @query
@@ -136,22 +146,22 @@ def dedup_latest(spark, sf_dir):
 
 @query
 def fill_gaps(spark, sf_dir):
-    return fill_missing_bars(t.bars(spark, sf_dir))
+    return fill_missing_bars(_bars(spark, sf_dir))
 
 
 @query
 def clean(spark, sf_dir):
-    return _silver(spark, sf_dir)
+    return clean_bars(_bronze(spark, sf_dir))
 
 
 @query
 def clean_users(spark, sf_dir):
-    return _silver(spark, sf_dir, t.BY_USER)
+    return clean_bars(_bronze(spark, sf_dir, t.BY_USER))
 
 
 @query
 def clean_small_chunks(spark, sf_dir):
-    return clean_bars(t.raw_klines(spark, sf_dir, t.BY_USER), chunk_bars=24)
+    return clean_bars(_bronze(spark, sf_dir, t.BY_USER), chunk_bars=24)
 
 
 @query
@@ -165,22 +175,22 @@ def clean_without_fill(spark, sf_dir):
 @query
 def simple_returns(spark, sf_dir):
     columns = ["return_1", "return_5", "return_20"]
-    return add_returns(t.bars(spark, sf_dir, t.BY_USER)).select(*PRIMARY_KEY, *columns)
+    return add_returns(_bars(spark, sf_dir, t.BY_USER)).select(*PRIMARY_KEY, *columns)
 
 
 @query
 def log_returns(spark, sf_dir):
-    return add_returns(t.bars(spark, sf_dir, t.BY_USER)).select(*PRIMARY_KEY, "log_return_1")
+    return add_returns(_bars(spark, sf_dir, t.BY_USER)).select(*PRIMARY_KEY, "log_return_1")
 
 
 @query
 def moving_averages(spark, sf_dir):
-    return add_moving_averages(t.bars(spark, sf_dir, t.BY_USER)).select(*PRIMARY_KEY, "ma_5", "ma_20", "ma_50")
+    return add_moving_averages(_bars(spark, sf_dir, t.BY_USER)).select(*PRIMARY_KEY, "ma_5", "ma_20", "ma_50")
 
 
 @query
 def rolling_volatility(spark, sf_dir):
-    return add_volatility(t.bars(spark, sf_dir, t.BY_USER)).select(*PRIMARY_KEY, "vol_5", "vol_20")
+    return add_volatility(_bars(spark, sf_dir, t.BY_USER)).select(*PRIMARY_KEY, "vol_5", "vol_20")
 
 
 @query
@@ -195,7 +205,7 @@ def features_users(spark, sf_dir):
 
 @query
 def features_small_chunks(spark, sf_dir):
-    return feature_frame(t.bars(spark, sf_dir, t.BY_USER), chunk_bars=24).select(*PRIMARY_KEY, *FEATURE_COLUMNS)
+    return feature_frame(_bars(spark, sf_dir, t.BY_USER), chunk_bars=24).select(*PRIMARY_KEY, *FEATURE_COLUMNS)
 
 
 # Reports.
@@ -387,7 +397,7 @@ def _correction(bars: DataFrame) -> DataFrame:
 
 @query
 def serving_merge(spark, sf_dir):
-    bars = t.bars(spark, sf_dir)
+    bars = _bars(spark, sf_dir)
     old = feature_frame(bars.where(F.col("open_time") < "2024-01-20"))
     return upsert_rows(serving_rows(old), feature_frame(_correction(bars))).drop("updated_at")
 
@@ -395,7 +405,7 @@ def serving_merge(spark, sf_dir):
 @query
 def serving_upsert(spark, sf_dir):
     root = scratch_dir(spark, "serving")
-    bars = t.bars(spark, sf_dir)
+    bars = _bars(spark, sf_dir)
     upsert_serving(spark, feature_frame(bars.where(F.col("open_time") < "2024-01-20")), root)
     correction = feature_frame(_correction(bars))
     for _ in range(2):
@@ -423,13 +433,13 @@ def _summary(frame: DataFrame) -> DataFrame:
 @query
 def load_summary(spark, sf_dir):
     lake = Lake(scratch_dir(spark, "lake"))
-    return _summary(run_backfill(spark, lake, t.raw_klines(spark, sf_dir), WINDOW_START, WINDOW_END))
+    return _summary(run_backfill(spark, lake, _bronze(spark, sf_dir), WINDOW_START, WINDOW_END))
 
 
 @query
 def window_load(spark, sf_dir):
     lake = Lake(scratch_dir(spark, "lake"))
-    run_backfill(spark, lake, t.raw_klines(spark, sf_dir), WINDOW_START, WINDOW_END)
+    run_backfill(spark, lake, _bronze(spark, sf_dir), WINDOW_START, WINDOW_END)
     return read_layer(spark, lake.root, "serving").drop("updated_at", "date")
 
 
@@ -466,7 +476,7 @@ def incremental_due(spark, sf_dir):
 @query
 def incremental_batch(spark, sf_dir):
     lake = Lake(scratch_dir(spark, "lake"))
-    raw = t.raw_klines(spark, sf_dir)
+    raw = _bronze(spark, sf_dir)
     run_incremental(spark, lake, raw, as_of="2024-01-10T00:30:00+00:00", lookback_minutes=4320)
     run_incremental(spark, lake, raw, as_of="2024-01-14T12:30:00+00:00")
     return read_layer(spark, lake.root, "serving").drop("updated_at", "date")
@@ -480,7 +490,7 @@ def recent_raw_bars(spark, sf_dir):
 @query
 def realtime_refresh(spark, sf_dir):
     lake = Lake(scratch_dir(spark, "lake"))
-    raw = t.raw_klines(spark, sf_dir)
+    raw = _bronze(spark, sf_dir)
     run_backfill(spark, lake, raw, WINDOW_START, "2024-01-31T00:00:00+00:00")
     run_realtime(spark, lake, raw, 5)
     return read_layer(spark, lake.root, "serving").drop("updated_at", "date")
