@@ -73,31 +73,40 @@ def with_halo(rows: DataFrame, keys: Sequence[str], order: str, depth: int, carr
     return rows.withColumn("_halo", F.lit(False)).unionByName(copies, allowMissingColumns=True)
 
 
+def chunk_ends(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, prior: DataFrame | None = None
+) -> DataFrame:
+    """One row per series and chunk: the ``value`` before the chunk (``_before``) and whether chunks follow."""
+    # A plain ordering column keeps the aggregate hash-based; a struct would make Spark sort all rows first.
+    by = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    ends = rows.groupBy(*keys, CHUNK).agg(F.max_by(value, by).alias("_last"))
+    if prior is not None:
+        ends = ends.unionByName(prior.select(*keys, F.lit(-(2**62)).alias(CHUNK), F.col(value).alias("_last")))
+    along = Window.partitionBy(*keys).orderBy(CHUNK)
+    return ends.select(
+        *keys, CHUNK,
+        F.lag("_last").over(along).alias("_before"),
+        F.lead(CHUNK).over(along).isNotNull().alias("_more"),
+    )
+
+
 def with_previous(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, prior: DataFrame | None = None
 ) -> DataFrame:
-    """Add ``name``: the ``value`` of the preceding row of the series.
+    """Add ``name``, the ``value`` of the preceding row of the series, and ``_more``: do later chunks follow?
 
     ``prior`` (keys + value, one row per series) supplies the row before the first one. Each chunk's last value
     enters the next chunk as a seed row, so only the rows themselves are shuffled once by series and chunk.
     """
-    last = F.max_by(F.struct(value), F.struct(*order))
-    ends = rows.groupBy(*keys, CHUNK).agg(last.alias("_last"))
-    if prior is not None:
-        ends = ends.unionByName(
-            prior.select(*keys, F.lit(-(2**62)).alias(CHUNK), F.struct(value).alias("_last"))
-        )
-    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy(CHUNK))
-    seeds = (
-        ends.withColumn("_before", before)
-        .where(F.col("_before").isNotNull())
-        .select(*keys, CHUNK, F.col(f"_before.{value}").alias(value), F.lit(True).alias("_seed"))
+    seeds = chunk_ends(rows, keys, order, value, prior).select(
+        *keys, CHUNK, F.col("_before").alias(value), "_more", F.lit(True).alias("_seed")
     )
     in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(F.col("_seed").desc(), *order)
+    so_far = in_chunk.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        rows.withColumn("_seed", F.lit(False))
+        rows.withColumns({"_seed": F.lit(False), "_more": F.lit(None).cast("boolean")})
         .unionByName(seeds, allowMissingColumns=True)
-        .withColumn(name, F.lag(value).over(in_chunk))
+        .withColumns({name: F.lag(value).over(in_chunk), "_more": F.first("_more").over(so_far)})
         .where(~F.col("_seed"))
         .drop("_seed")
     )

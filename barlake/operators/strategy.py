@@ -20,11 +20,14 @@ from barlake.schema import SERIES, STRATEGY
 INITIAL_CAPITAL = 100_000.0
 TRANSACTION_COST_BPS = 5.0
 
-PARAMETERS = [c for c in STRATEGY.fieldNames() if c not in ("symbol", "interval")]
 RESULT_COLUMNS = [
-    "target_position", "position", "asset_return", "turnover", "transaction_cost", "strategy_return", "equity_curve",
+    "strategy_id", "initial_capital", "target_position", "position", "asset_return", "turnover",
+    "transaction_cost", "strategy_return", "equity_curve", "drawdown",
 ]
 
+_HOLD, _ENTER, _LEAVE, _TOGGLE = 0, 1, 2, 3
+_KEYS = [*SERIES, CHUNK, "strategy_id"]
+
 
 def crossing_strategies(
     series: DataFrame,
@@ -57,27 +60,32 @@ def _earlier(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _latch(rows: DataFrame, enter: Column, leave: Column, w: WindowSpec) -> DataFrame:
-    """Add what the position after each row (``_now``) and before it (``_old``) depends on.
+def _signal(enter: Column, leave: Column) -> Column:
+    return (enter.cast("tinyint") + leave.cast("tinyint") * F.lit(2).cast("tinyint")).cast("tinyint")
+
 
-    Enter alone forces 1, leave alone forces 0, both together toggle, neither holds. With the last forced position
-    and the toggles since, the position is ``(coalesce(forced, entering position) + toggles) % 2``. A forced
-    position is kept together with the toggles counted up to it, as ``2 * toggles + position``.
+def _latch(rows: DataFrame, w: WindowSpec, toggling: bool) -> DataFrame:
+    """From ``_signal`` add what the position after each row (``_now``) and before it (``_old``) depends on.
+
+    Enter forces 1, leave forces 0, both together toggle, neither holds. With the last forced position and the
+    toggles since, the position is ``(coalesce(forced, entering position) + toggles) % 2``. A forced position is
+    kept together with the toggles counted up to it, as ``2 * toggles + position``. Without toggling signals the
+    count, and the window pass for it, is left out.
     """
-    flagged = rows.withColumns({"_enter": enter, "_leave": leave})
-    toggle = (F.col("_enter") & F.col("_leave")).cast("bigint")
-    counted = flagged.withColumn("_toggles", F.sum(toggle).over(_running(w)))
-    forced = F.when(
-        F.col("_enter") != F.col("_leave"), F.col("_toggles") * 2 + F.col("_enter").cast("bigint")
-    )
-    counted = counted.withColumn("_forced", forced)
-    return counted.withColumns(
+    signal, zero = F.col("_signal"), F.lit(0).cast("bigint")
+    if toggling:
+        toggle = (signal == _TOGGLE).cast("bigint")
+        rows = rows.withColumn("_toggles", F.sum(toggle).over(_running(w)))
+    else:
+        rows = rows.withColumn("_toggles", zero)
+    forced = F.when(signal.isin(_ENTER, _LEAVE), F.col("_toggles") * 2 + (signal == _ENTER).cast("bigint"))
+    return rows.withColumn("_forced", forced).withColumns(
         {
             "_now": F.last("_forced", ignorenulls=True).over(_running(w)),
             "_old": F.last("_forced", ignorenulls=True).over(_earlier(w)),
-            "_toggles_old": F.coalesce(F.lag("_toggles").over(w), F.lit(0)),
+            "_toggles_old": F.coalesce(F.lag("_toggles").over(w), zero) if toggling else zero,
         }
-    ).drop("_enter", "_leave", "_forced")
+    ).drop("_forced")
 
 
 def _position(state: str, toggles: str, entering: Column) -> Column:
@@ -96,32 +104,40 @@ def _before(entering: Column) -> Column:
     return _position("_old", "_toggles_old", entering)
 
 
-def _trigger(side: str) -> Column:
-    return triggered(
-        F.col(f"{side}_direction"), F.col("_previous"), F.col("close"), F.col(f"{side}_threshold"), mode="level"
-    )
+def _with_signals(rows: DataFrame) -> DataFrame:
+    """Reduce the triggers of a bar to one small number before rows are sorted; parameters are dropped."""
 
+    def fires(side: str) -> Column:
+        direction, level = F.col(f"{side}_direction"), F.col(f"{side}_threshold")
+        return triggered(direction, F.col("_previous"), F.col("close"), level, mode="level")
 
-def _bars_with_latch(bars: DataFrame) -> DataFrame:
-    w = Window.partitionBy(*SERIES, CHUNK, "strategy_id").orderBy("open_time")
     change = F.coalesce(ratio_change(F.col("close"), F.col("_previous")), F.lit(0.0))
-    return _latch(bars.withColumn("asset_return", change), _trigger("entry"), _trigger("exit"), w)
-
+    reduced = rows.withColumns(
+        {
+            "_signal": _signal(fires("entry"), fires("exit")),
+            "asset_return": change,
+            "_fee": F.col("transaction_cost_bps") / F.lit(10_000.0),
+        }
+    )
+    used = ("entry_direction", "entry_threshold", "exit_direction", "exit_threshold", "transaction_cost_bps", "_previous")
+    return reduced.drop(*used)
 
-def _fee() -> Column:
-    return F.col("transaction_cost_bps") / F.lit(10_000.0)
 
+def _chunk_outcomes(bars: DataFrame, strategies: DataFrame, toggling: bool) -> DataFrame:
+    """Per chunk and strategy, for both entering positions: final position, growth and growth extremes.
 
-def _chunk_outcomes(bars: DataFrame, strategies: DataFrame) -> DataFrame:
-    """Per chunk and strategy, for both entering positions: final position, growth and growth extremes."""
-    w = Window.partitionBy(*SERIES, CHUNK, "strategy_id").orderBy("open_time")
-    joined = join_parameters(bars, strategies, ["symbol", "interval"], spread=["exchange", CHUNK])
-    rows = _bars_with_latch(joined)
+    The last chunk of a series is left out: no other chunk depends on it.
+    """
+    w = Window.partitionBy(*_KEYS).orderBy("open_time")
+    leading = bars.where("_more").drop("_more")
+    joined = join_parameters(leading, strategies, ["symbol", "interval"], spread=["exchange", CHUNK])
+    slim = _with_signals(joined).select(*_KEYS, "open_time", "_signal", "asset_return", "_fee")
+    rows = _latch(slim, w, toggling)
     gains, growths, aggregates = {}, {}, []
     for entering in (0, 1):
         start, gain, growth = F.lit(entering), f"_gain{entering}", f"_growth{entering}"
         held, target = _before(start), _after(start)
-        gains[gain] = F.lit(1.0) + held * F.col("asset_return") - F.abs(target - held) * _fee()
+        gains[gain] = F.lit(1.0) + held * F.col("asset_return") - F.abs(target - held) * F.col("_fee")
         growths[growth] = F.product(gain).over(_running(w))
         aggregates += [
             F.max_by(target, "open_time").alias(f"_out{entering}"),
@@ -129,46 +145,60 @@ def _chunk_outcomes(bars: DataFrame, strategies: DataFrame) -> DataFrame:
             F.max(growth).alias(f"_high{entering}"),
             F.min(growth).alias(f"_low{entering}"),
         ]
-    return rows.withColumns(gains).withColumns(growths).groupBy(*SERIES, CHUNK, *PARAMETERS).agg(*aggregates)
+    return rows.withColumns(gains).withColumns(growths).groupBy(*_KEYS).agg(*aggregates)
 
 
-def _chunk_starts(outcomes: DataFrame) -> DataFrame:
-    """Chain the chunks of each series and strategy: position, growth and peak each chunk starts from."""
+def _chunk_starts(chunks: DataFrame, outcomes: DataFrame, strategies: DataFrame) -> DataFrame:
+    """Every chunk with each of its strategies and the position, growth and peak it starts from."""
+    every = join_parameters(chunks, strategies, ["symbol", "interval"], spread=["exchange", CHUNK])
+    known = every.join(outcomes, _KEYS, "left")
     w = Window.partitionBy(*SERIES, "strategy_id").orderBy(CHUNK)
     # A chunk's outcome pair acts on the position exactly as a bar's triggers do.
-    chained = _latch(outcomes, F.col("_out0") == 1, F.col("_out1") == 0, w)
-    chained = chained.withColumn("_start_position", _before(F.lit(0)))
+    signal = _signal(F.coalesce(F.col("_out0") == 1, F.lit(False)), F.coalesce(F.col("_out1") == 0, F.lit(False)))
+    chained = _latch(known.withColumn("_signal", signal), w, toggling=True)
+    chained = chained.withColumn("_start_position", _before(F.lit(0)).cast("bigint"))
 
     def actual(name: str) -> Column:
         return F.when(F.col("_start_position") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
 
     grown = chained.withColumn("_start_growth", F.coalesce(F.product(actual("_end")).over(_earlier(w)), F.lit(1.0)))
     top = F.greatest(F.col("_start_growth") * actual("_high"), F.col("_start_growth") * actual("_low"))
+    parameters = [c for c in strategies.columns if c not in ("symbol", "interval", "strategy_id")]
     return grown.withColumn("_start_peak", F.max(top).over(_earlier(w))).select(
-        *SERIES, CHUNK, *PARAMETERS, "_start_position", "_start_growth", "_start_peak"
+        *_KEYS, *parameters, "_start_position", "_start_growth", "_start_peak"
     )
 
 
+def _may_toggle(strategies: DataFrame) -> bool:
+    """Can entry and exit fire on the same bar? Crossing upwards and downwards cannot."""
+    pair = F.struct("entry_direction", "exit_direction")
+    opposite = [F.struct(F.lit(a), F.lit(b)) for a, b in (("cross_above", "cross_below"), ("cross_below", "cross_above"))]
+    return not strategies.where(~pair.isin(*opposite)).isEmpty()
+
+
 def strategy_bars(gold: DataFrame, strategies: DataFrame, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """Per bar and strategy: position, returns, costs, equity curve and drawdown.
 
     ``strategies`` has the STRATEGY schema and applies to every series of its symbol and interval.
     """
-    checked = strategies.withColumns(
+    checked = strategies.select(STRATEGY.fieldNames()).withColumns(
         {c: valid_direction(F.col(c)) for c in ("entry_direction", "exit_direction")}
     )
-    keyed = with_bar_chunk(gold, chunk_bars)
-    narrow = with_previous(
-        keyed.select(*SERIES, CHUNK, "open_time", "close"), SERIES, ["open_time"], "close", "_previous"
-    )
-    starts = _chunk_starts(_chunk_outcomes(narrow, checked))
-    wide = with_previous(keyed, SERIES, ["open_time"], "close", "_previous")
-    rows = _bars_with_latch(wide.join(starts, [*SERIES, CHUNK]))
-    w = Window.partitionBy(*SERIES, CHUNK, "strategy_id").orderBy("open_time")
-    entering = F.col("_start_position").cast("bigint")
+    toggling = _may_toggle(strategies)
+    present = F.col("open_time").isNotNull()
+    for name in SERIES:
+        present = present & F.col(name).isNotNull()
+    keyed = with_bar_chunk(gold.where(present), chunk_bars).where(F.col(CHUNK).isNotNull())
+    slim = keyed.select(*SERIES, CHUNK, "open_time", "close")
+    outcomes = _chunk_outcomes(with_previous(slim, SERIES, ["open_time"], "close", "_previous"), checked, toggling)
+    starts = _chunk_starts(slim.select(*SERIES, CHUNK).distinct(), outcomes, checked)
+    wide = with_previous(keyed, SERIES, ["open_time"], "close", "_previous").drop("_more")
+    w = Window.partitionBy(*_KEYS).orderBy("open_time")
+    rows = _latch(_with_signals(wide.join(starts, [*SERIES, CHUNK])), w, toggling)
+    entering = F.col("_start_position")
     rows = rows.withColumns({"target_position": _after(entering), "position": _before(entering)})
     rows = rows.withColumn("turnover", F.abs(F.col("target_position") - F.col("position")))
-    rows = rows.withColumn("transaction_cost", F.col("turnover") * _fee())
+    rows = rows.withColumn("transaction_cost", F.col("turnover") * F.col("_fee"))
     rows = rows.withColumn(
         "strategy_return", F.col("position") * F.col("asset_return") - F.col("transaction_cost")
     )
@@ -177,7 +207,7 @@ def strategy_bars(gold: DataFrame, strategies: DataFrame, chunk_bars: int = CHUN
     peak = F.greatest(F.col("_start_peak"), F.max("_growth").over(_running(w)))
     rows = rows.withColumn("drawdown", F.try_divide(F.col("_growth"), peak) - F.lit(1.0))
     rows = rows.withColumn("equity_curve", F.col("initial_capital") * F.col("_growth"))
-    return rows.select(*gold.columns, *PARAMETERS, *RESULT_COLUMNS, "drawdown")
+    return rows.select(*gold.columns, *RESULT_COLUMNS)
 
 
 def strategy_metrics(bars: DataFrame) -> DataFrame:
