@@ -138,6 +138,6 @@ def join_parameters(
     """
     if fits_broadcast(parameters, max_rows):
         return rows.join(F.broadcast(parameters), list(on), how)
-    salted = parameters.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    salted = parameters.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
     spread_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("bigint"))
     return spread_rows.join(salted, [*on, "_salt"], how).drop("_salt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
@@ -74,7 +75,7 @@ def write_layer(frame: DataFrame, root: str, layer: str, layout: Sequence[str] =
     """Append rows under their partition folders and return how many were written."""
     counted, observation = observe_rows(frame.withColumn("date", F.to_date(open_moment(layer))))
     _for_writing(counted, layout).write.mode("append").partitionBy(*layout).parquet(layer_path(root, layer))
-    return observation.get["rows"]
+    return observed_rows(observation)
 
 
 def observe_rows(frame: DataFrame) -> tuple[DataFrame, Observation]:
@@ -83,6 +84,14 @@ def observe_rows(frame: DataFrame) -> tuple[DataFrame, Observation]:
     return frame.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def observed_rows(observation: Observation) -> int:
+    try:
+        return observation.get["rows"]
+    except Py4JJavaError:
+        # Spark leaves the observation out of a plan it proves to be empty.
+        return 0
+
+
 def merge_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Insert incoming rows, or replace existing ones with the same primary key.
 

@@ -18,7 +18,7 @@ from barlake.operators.chunks import TICK_CHUNK_SECONDS
 from barlake.operators.rules import INSTRUMENT, SPOT, event_lines, threshold_alerts
 from barlake.schema import TICK
 from barlake.sources.klines import missing_path
-from barlake.sources.layers import observe_rows
+from barlake.sources.layers import observe_rows, observed_rows
 
 # Fixed value: default seconds between polls of a continuous run.
 POLL_SECONDS = 5
@@ -87,7 +87,7 @@ def _alert_batch(
             # Every target is named by the batch, so a repeated batch replaces what it wrote before.
             lines.write.mode("overwrite").text(f"{alerts_path}/batch_id={batch_id}")
             counts = ticks.agg(F.count("*").alias("tick_count")).withColumn(
-                "alert_count", F.lit(alerts.get["rows"]).cast("bigint")
+                "alert_count", F.lit(observed_rows(alerts)).cast("bigint")
             )
             counts.write.mode("overwrite").parquet(f"{state}/cycles/batch_id={batch_id}")
             _next_prices(prior, ticks).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
