@@ -18,12 +18,7 @@ from barlake.operators.quality import (
 )
 from barlake.operators.reports import latest_bars, latest_prices, recent_bars, volatility_screen
 from barlake.operators.rules import bars_as_ticks, rejected_rules, rule_table, threshold_alerts
-from barlake.operators.strategy import (
-    crossing_strategies,
-    evaluate_strategies,
-    strategy_bars,
-    strategy_metrics,
-)
+from barlake.operators.strategy import crossing_strategies, evaluate_strategies, strategy_bars
 from barlake.plans.loads import due_bars, run_backfill, run_incremental, run_realtime
 from barlake.plans.steps import (
     Lake,
