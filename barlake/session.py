@@ -18,11 +18,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local tests) a local temporary folder is used.
+    Only where that setting is absent and the master is a single local process, a local temporary folder is used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return f"{shared.rstrip('/')}/barlake/{label}-{uuid.uuid4().hex}"
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return tempfile.mkdtemp(prefix=f"barlake-{label}-")
 
 
