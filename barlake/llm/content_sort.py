@@ -2,7 +2,8 @@
 
 Normalised texts are range-partitioned by splitters that Spark samples from them and sorted within their range by the
 external sorter, so equal texts lie next to each other. The window over the text then compares neighbours in full: range
-partitioning already satisfies its distribution, so the texts are shuffled once.
+partitioning already satisfies its distribution, so the texts are shuffled once. The sort key starts with the first
+``PREFIX`` characters and a hash of the text, so a splitter is short and texts with one long beginning still spread.
 
 A text that more than ``1 / HOT_SLOTS`` of the rows share is dealt into several ranges by a salt: a count per text
 hash, combined before its shuffle, finds such texts, of which there are at most ``HOT_SLOTS``. The leaders of the
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlake.llm.common import HOT_SLOTS, bounded, stored, texts_of
 
+PREFIX = 32
 SPACE = " \t\n\x0b\f\r"
 
 
@@ -40,12 +42,13 @@ def equal_texts(docs: DataFrame, slots: int = HOT_SLOTS) -> DataFrame:
     salted = (
         rows.withColumn("_hash", F.xxhash64("_norm"))
         .join(F.broadcast(hot), "_hash", "left")
-        .select("doc_id", "_n", "_norm", salt.cast("bigint").alias("_salt"))
+        .select("doc_id", "_n", "_norm", "_hash", F.left("_norm", F.lit(PREFIX)).alias("_start"), salt.cast("bigint").alias("_salt"))
     )
-    run = Window.partitionBy("_norm", "_salt")
+    content = ["_start", "_hash", "_salt", "_norm"]
+    run = Window.partitionBy(*content)
     first = run.orderBy(F.col("_n").desc(), F.col("doc_id").asc_nulls_last())
-    sorted_rows = salted.repartitionByRange("_norm", "_salt").sortWithinPartitions(
-        "_norm", "_salt", F.col("_n").desc(), F.col("doc_id").asc_nulls_last()
+    sorted_rows = salted.repartitionByRange("_start", "_hash", "_salt").sortWithinPartitions(
+        *content, F.col("_n").desc(), F.col("doc_id").asc_nulls_last()
     )
     at = F.row_number().over(first)
     runs = stored(

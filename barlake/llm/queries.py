@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import bpe, content_sort, huffman, pack, warc
+from barlake.llm import bpe, content_sort, huffman, pack, ppm, sketches, url_tree, warc
 from barlake.llm.common import named_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,27 @@ def op5_segment_tree_bpe(spark, sf_dir):
     )
 
 
+@query
+def op7_lookup_sketches(spark, sf_dir):
+    return sketches.fingerprints(named_table(spark, sf_dir, "documents"))
+
+
+URL_RULES = (
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+)
+
+
+@query
+def op8_path_templates(spark, sf_dir):
+    return url_tree.judge_pages(named_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op9_partial_matching(spark, sf_dir):
+    return ppm.score_documents(named_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_huffman_ids(spark, sf_dir):
     return huffman.id_digests(huffman.coded_roundtrip(named_table(spark, sf_dir, "documents"), WORD_TOKENIZER))
