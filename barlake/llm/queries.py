@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import bpe, content_sort, huffman, pack, ppm, sketches, url_tree, warc
+from barlake.llm import bpe, content_sort, huffman, pack, ppm, sketches, toxicity, url_tree, warc
 from barlake.llm.common import named_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ FROM g
 """
 
 
+@query
+def op3_noisy_channel_toxicity(spark, sf_dir):
+    return toxicity.score_documents(named_table(spark, sf_dir, "documents"), named_table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_content_sort(spark, sf_dir):
     return content_sort.equal_texts(named_table(spark, sf_dir, "documents"))
