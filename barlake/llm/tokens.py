@@ -1,50 +1,91 @@
-"""Token ids of a tokenizer file of the tokenizers library, one distinct word at a time.
+"""Token ids of the word tokenizer's file, one distinct word at a time.
 
-The word tokenizer drops white space and never matches across it, so a text's ids are the ids of its words joined.
-A worker encodes each word it meets once and keeps it in a bounded cache: new words of a batch are joined by spaces
-into one text, and the offsets of the tokens tell to which word they belong.
+The tokenizer lower-cases, drops white space and never merges across the pieces its pattern finds, so a text's ids are the
+ids of its pieces joined. A worker keeps the ids of words and of pieces in bounded caches. New pieces of a batch are encoded
+by the tokenizer as one text, separated by spaces; its tokens tell where a piece ends. The pattern is applied here only to
+words of plain Latin characters; all other words go to the tokenizer as they are, and the offsets of their tokens tell the
+words apart.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable
 
 import numpy as np
 
-CACHED_WORDS = 800_000
+CACHED_WORDS, CACHED_PIECES, AT_ONCE = 600_000, 400_000, 4096
+# The pieces of the tokenizer's pattern, for text that is lower-cased already.
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = re.compile(r"[!-~¡-ɏ]+")
+SPECIAL = b"<|"
 
 
 class WordEncoder:
     """Ids of whole texts as little-endian unsigned integers of ``dtype``."""
 
-    def __init__(self, path: str, dtype: str = "<u4", cached_words: int = CACHED_WORDS):
+    def __init__(self, path: str, dtype: str = "<u4"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.dtype, self.cached_words, self.cache = dtype, cached_words, {}
+        self.tokenizer, self.dtype = Tokenizer.from_file(path), np.dtype(dtype)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.find = regex.compile(PIECE).findall
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _keep(self, into: dict, names: list, ids: np.ndarray, edges: np.ndarray) -> None:
+        raw, width = ids.tobytes(), self.dtype.itemsize
+        into.update((name, raw[a * width : b * width]) for name, a, b in zip(names, edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        encoding = self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0]
+        ids = np.array(encoding.ids, self.dtype)
+        edges = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+        if len(edges) != len(pieces) + 1:
+            raise ValueError("the tokenizer splits pieces")
+        self._keep(self.pieces, pieces, ids, edges)
+
+    def _learn_whole(self, words: list[bytes]) -> None:
         texts = [word.decode() for word in words]
         starts = np.cumsum([0] + [len(text) + 1 for text in texts[:-1]])
         encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(encoding.ids, dtype=self.dtype)
-        owners = np.searchsorted(starts, np.array([a for a, _ in encoding.offsets], dtype=np.int64), "right") - 1
-        edges = np.searchsorted(owners, np.arange(len(words) + 1))
-        raw, width = ids.tobytes(), ids.itemsize
-        for i, word in enumerate(words):
-            self.cache[word] = raw[edges[i] * width : edges[i + 1] * width]
+        owners = np.searchsorted(starts, np.array([a for a, _ in encoding.offsets], np.int64), "right") - 1
+        self._keep(self.words, words, np.array(encoding.ids, self.dtype), np.searchsorted(owners, np.arange(len(words) + 1)))
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, other = [], []
+        for word in words:
+            text = word.decode()
+            if PLAIN.fullmatch(text) and SPECIAL not in word:
+                plain.append((word, self.find(text.lower())))
+            else:
+                other.append(word)
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces = {}
+        pieces = self.pieces
+        new = list({piece: None for _, found in plain for piece in found if piece not in pieces})
+        for at in range(0, len(new), AT_ONCE):
+            self._learn_pieces(new[at : at + AT_ONCE])
+        self.words.update((word, b"".join(map(pieces.__getitem__, found))) for word, found in plain)
+        for at in range(0, len(other), AT_ONCE):
+            self._learn_whole(other[at : at + AT_ONCE])
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         split = [text.encode().split() for text in texts]
-        if len(self.cache) > self.cached_words:
-            self.cache = {}
-        known, new = self.cache, {}
-        for words in split:
-            new.update((w, None) for w in words if w not in known)
+        if len(self.words) > CACHED_WORDS:
+            self.words = {}
+        known = self.words.get
+        found = [list(map(known, own)) for own in split]
+        gaps = [[at for at, ids in enumerate(parts) if ids is None] if None in parts else [] for parts in found]
+        new = {own[at]: None for own, missing in zip(split, gaps, strict=True) for at in missing}
         if new:
-            pending = list(new)
-            for at in range(0, len(pending), 4096):
-                self._learn(pending[at : at + 4096])
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            self._learn(list(new))
+            for own, parts, missing in zip(split, found, gaps, strict=True):
+                for at in missing:
+                    parts[at] = self.words[own[at]]
+        return list(map(b"".join, found))

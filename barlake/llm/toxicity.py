@@ -7,7 +7,7 @@ together, where a word may also end. The trigram counts cover all documents.
 
 The restored words and their beginnings are the features of a logistic regression. It is fitted on at most ``TRAIN_DOCS``
 labelled rows, those with the smallest id hashes; rows whose crc32 of the id modulo ``FOLDS`` is 0 never take part. Only the
-text enters a score. Features are chosen by their significance over these rows.
+text enters a score. Features are chosen by their significance over these rows (log likelihood ratio).
 
 Whole texts are scored; null is empty. Several labels of one doc_id count as toxic if one of them is; null labels and ids
 are ignored. Repeated rows score alike. Without labels of both kinds every score is the smoothed share of toxic rows, below
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from barlake.llm.common import id_text_bucket, stored, sub_batches, texts_of
 
-FOLDS, TRAIN_DOCS, FEATURES = 5, 20_000, 5_000
+FOLDS, TRAIN_DOCS, FEATURES, LEAST_GAIN = 5, 20_000, 5_000, 10.0
 CACHED_TOKENS, HELD_FEATURES = 600_000, 500_000
 SCORED = "doc_id bigint, held_out boolean, score double, predicted int"
 # What digits and signs may stand for.
@@ -253,7 +253,7 @@ def significant_features(rows: DataFrame, costs: list[float], most: int) -> tupl
     gain = term(F.col("toxic"), both * F.lit(toxic / n)) + term(F.col("clean"), both * F.lit(clean / n))
     best = (
         counts.where((F.col("feature") != "") & (F.col("toxic") >= 2) & (F.col("toxic") * clean > F.col("clean") * toxic))
-        .orderBy(gain.desc(), "feature").limit(most)
+        .where(gain >= LEAST_GAIN).orderBy(gain.desc(), "feature").limit(most)
     )
     return [row.feature for row in best.select("feature").collect()], toxic, clean
 
