@@ -43,22 +43,22 @@ def bounded(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 def join_hot(
     large: DataFrame, small: DataFrame, key: str, rows: str, total: int, spread: Sequence[str],
-    slots: int = HOT_SLOTS, max_rows: int = BROADCAST_ROWS,
+    slots: int = HOT_SLOTS, max_rows: int = BROADCAST_ROWS, counted: int | None = None,
 ) -> DataFrame:
     """Left join of ``large`` with ``small`` (one row per key), safe for keys that hold a large part of ``large``.
 
     ``rows`` names the column of ``small`` with the number of rows of ``large`` that carry the key. A small table
-    measured to fit is broadcast. Otherwise only the keys with more than ``total / slots`` rows are broadcast, of
-    which there are at most ``slots``; the rest is joined by shuffle, where rows that already met their hot key
-    are spread by ``spread``.
+    measured to fit is broadcast; ``counted`` is the number of its rows if the caller knows it and they are a few numbers. Otherwise only the keys with more than ``total / slots`` rows are broadcast, of
+    which there are at most ``slots``; the rest is joined by shuffle, where rows that already met their hot key and
+    rows without a key are spread by ``spread``.
     """
-    if bounded(small, max_rows):
+    if bounded(small, max_rows) if counted is None else counted <= max_rows:
         return large.join(F.broadcast(small), key, "left")
     values = [c for c in small.columns if c != key]
     heavy = F.col(rows) > F.lit(total / slots)
     hot = small.where(heavy).select(key, *[F.col(c).alias(f"_hot_{c}") for c in values])
     cold = small.where(~heavy).withColumn("_spread", F.lit(0).cast("bigint"))
-    met = F.col(f"_hot_{rows}").isNotNull()
+    met = F.col(f"_hot_{rows}").isNotNull() | F.col(key).isNull()
     joined = (
         large.join(F.broadcast(hot), key, "left")
         .withColumn("_spread", F.when(met, 1 + F.pmod(F.xxhash64(*spread), F.lit(99_991))).otherwise(F.lit(0)).cast("bigint"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import bpe, content_sort, huffman, pack, ppm, sketches, toxicity, url_tree, warc
+from barlake.llm import bpe, content_sort, huffman, jaccard, pack, ppm, sketches, toxicity, url_tree, warc
 from barlake.llm.common import named_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,38 @@ def op5_segment_tree_bpe(spark, sf_dir):
     )
 
 
+@query
+def op6_light_heavy_jaccard(spark, sf_dir):
+    return jaccard.linked_groups(named_table(spark, sf_dir, "documents"))
+
+
+_SQL["op6_light_heavy_jaccard"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+')
+               IF x <> ''] AS words
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE [array_to_string(words[i:i + 2], ' ') FOR i IN range(1, len(words) - 1)] END) AS shingle
+    FROM w WHERE len(words) > 0
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY 1, 2
+), link AS (
+    SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 90 * (x.n + y.n - common)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other
+), least AS (
+    SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM least LEFT JOIN n USING (doc_id)
+"""
+
+
 @query
 def op7_lookup_sketches(spark, sf_dir):
     return sketches.fingerprints(named_table(spark, sf_dir, "documents"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from barlake.llm.common import id_text_bucket, stored, sub_batches, texts_of
 
 FOLDS, TRAIN_DOCS, FEATURES, LEAST_GAIN = 5, 20_000, 5_000, 10.0
-CACHED_TOKENS, HELD_FEATURES = 600_000, 500_000
+THRESHOLD, CACHED_TOKENS, HELD_FEATURES = 0.5, 600_000, 500_000
 SCORED = "doc_id bigint, held_out boolean, score double, predicted int"
 # What digits and signs may stand for.
 LOOKALIKES = {
@@ -274,11 +274,26 @@ def fit_logistic(rows: list[list[int]], toxic: np.ndarray, size: int, steps: int
     return weights[:-1], float(weights[-1])
 
 
-def score_documents(
+class Model:
+    """What a worker needs to score texts."""
+
+    def __init__(self, costs: list[float], index: dict[str, int], weights: np.ndarray, intercept: float):
+        self.costs, self.index, self.weights, self.intercept = costs, index, weights, intercept
+
+    def scorer(self):
+        extract = Features(self.costs, self.index)
+
+        def score(texts: list[str | None]) -> np.ndarray:
+            margins = np.array([self.intercept + self.weights[list(extract(text or ""))].sum() for text in texts])
+            return 1.0 / (1.0 + np.exp(-np.clip(margins, -50, 50)))
+
+        return score
+
+
+def fit_model(
     docs: DataFrame, labels: DataFrame, folds: int = FOLDS, train_docs: int = TRAIN_DOCS, features: int = FEATURES
-) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row."""
-    spark = docs.sparkSession
+) -> Model:
+    """Character costs from all documents, weights from the bounded training rows."""
     rows = texts_of(docs)
     costs = trigram_costs(trigram_counts(rows))
     sample = stored(training_rows(rows, labels, folds, train_docs), "toxic-rows")
@@ -291,22 +306,38 @@ def score_documents(
             found = [sorted(extract(text)) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "found"])
 
-    weights, intercept = np.zeros(len(names)), float(np.log((toxic + 0.5) / (clean + 1.5)))
-    if names:
-        learnt = sample.mapInArrow(indexed, "toxic int, found array<int>").collect()
-        weights, intercept = fit_logistic([r.found for r in learnt], np.array([float(r.toxic > 0) for r in learnt]), len(names))
-    model = spark.sparkContext.broadcast((costs, index, weights, intercept))
+    if not names:
+        return Model(costs, index, np.zeros(0), float(np.log((toxic + 0.5) / (clean + 1.5))))
+    learnt = sample.mapInArrow(indexed, "toxic int, found array<int>").collect()
+    weights, intercept = fit_logistic([r.found for r in learnt], np.array([float(r.toxic > 0) for r in learnt]), len(names))
+    return Model(costs, index, weights, intercept)
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, **limits: int) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row."""
+    model = docs.sparkSession.sparkContext.broadcast(fit_model(docs, labels, folds, **limits))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        costs, index, weights, intercept = model.value
-        extract = Features(costs, index)
+        scored = model.value.scorer()
         for batch in sub_batches(batches):
-            margins = np.array([intercept + weights[list(extract(text))].sum() for text in batch.column(1).to_pylist()])
-            scores = 1.0 / (1.0 + np.exp(-np.clip(margins, -50, 50)))
+            scores = scored(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
+                [batch.column(0), batch.column(2), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))],
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
     held_out = (id_text_bucket(F.col("doc_id"), folds) == 0).alias("held_out")
-    return rows.select("doc_id", "text", held_out).mapInArrow(score, SCORED)
+    return texts_of(docs).select("doc_id", "text", held_out).mapInArrow(score, SCORED)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text is not predicted toxic: one pass, no join by id."""
+    model = docs.sparkSession.sparkContext.broadcast(fit_model(docs, labels))
+    at = docs.columns.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scored = model.value.scorer()
+        for batch in sub_batches(batches):
+            yield batch.filter(pa.array(scored(batch.column(at).to_pylist()) < THRESHOLD))
+
+    return docs.mapInArrow(clean, docs.schema)
