@@ -36,6 +36,25 @@ def has_series_key(bars: DataFrame) -> DataFrame:
     return bars.where(complete)
 
 
+def rejected_raw_bars(raw: DataFrame, origins: DataFrame | None = None) -> DataFrame:
+    """Raw bars that cleaning leaves out, with ``reject_reason``.
+
+    ``origins`` (series key and ``_from``, the first bar) adds the bars off the grid, which gap filling drops.
+    """
+    keyed = F.lit(True)
+    for name in PRIMARY_KEY:
+        keyed = keyed & F.col(name).isNotNull()
+    reason = F.when(~keyed, "no series key or open time")
+    rows = raw
+    if origins is not None:
+        first = origins.select(*[F.col(c).alias(f"_{c}") for c in SERIES], F.unix_micros("_from").alias("_origin"))
+        same = [F.col(c) == F.col(f"_{c}") for c in SERIES]
+        rows = rows.join(first, same, "left").drop(*[f"_{c}" for c in SERIES])
+        off = F.pmod(F.unix_micros(millis_to_time(F.col("open_time"))) - F.col("_origin"), step_us()) != 0
+        reason = reason.when(F.when(keyed, off), "off the grid")
+    return rows.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull()).select(*raw.columns, "reject_reason")
+
+
 def latest_revision(bars: DataFrame) -> DataFrame:
     """One row per primary key: the newest ``ingested_at`` (a missing one counts as newest).
 

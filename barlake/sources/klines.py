@@ -20,10 +20,15 @@ PAYLOAD_ROW = "array<array<string>>"
 
 
 def raw_bars_from_payloads(
-    pages: DataFrame, exchange: str = EXCHANGE, load_source: str = LOAD_SOURCE, payload: str = "payload"
+    pages: DataFrame,
+    exchange: str = EXCHANGE,
+    load_source: str = LOAD_SOURCE,
+    payload: str = "payload",
+    strict: bool = False,
 ) -> DataFrame:
     """One raw bar per 12-element array of each landed page.
 
+    Unreadable pages give no bars (see ``rejected_pages``), or fail the job if ``strict``. Unreadable times are NULL.
     ``pages`` has ``symbol``, ``interval``, the JSON text and, optionally, ``exchange``, ``load_source`` and
     ``ingested_at`` (when the page was fetched; otherwise the time of this job).
     """
@@ -35,16 +40,35 @@ def raw_bars_from_payloads(
         given("exchange", F.lit(exchange)).alias("exchange"),
         "symbol",
         "interval",
-        F.explode(F.from_json(F.col(payload), PAYLOAD_ROW)).alias("_bar"),
+        F.explode(_readable(payload, strict)).alias("_bar"),
         given("load_source", F.lit(load_source)).alias("load_source"),
         given("ingested_at", F.current_timestamp()).alias("ingested_at"),
     )
     fields = {name: F.get("_bar", F.lit(i)) for i, name in enumerate(KLINE_FIELDS)}
     out = {c: F.col(c) for c in (*SERIES, "load_source")} | {"ingested_at": to_utc(F.col("ingested_at"))}
-    out |= {name: value.cast(BRONZE[name].dataType) for name, value in fields.items()}
+    out |= {name: value.try_cast(BRONZE[name].dataType) for name, value in fields.items()}
     return bars.select(*[out[c].alias(c) for c in BRONZE.fieldNames()])
 
 
+def _page_reason(payload: str) -> Column:
+    text = F.col(payload)
+    # from_json gives NULL for text that is not an array of arrays.
+    return F.when(text.isNull(), "no payload").when(F.from_json(text, PAYLOAD_ROW).isNull(), "payload is not an array of bars")
+
+
+def _readable(payload: str, strict: bool) -> Column:
+    rows = F.from_json(F.col(payload), PAYLOAD_ROW)
+    if not strict:
+        return rows
+    reason = _page_reason(payload)
+    return F.when(reason.isNotNull(), F.raise_error(F.concat(F.lit("Unreadable page: "), reason)).cast(PAYLOAD_ROW)).otherwise(rows)
+
+
+def rejected_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """The pages that give no bars, with ``reject_reason``; an empty array is a readable page."""
+    return pages.withColumn("reject_reason", _page_reason(payload)).where(F.col("reject_reason").isNotNull())
+
+
 def read_payloads(spark: SparkSession, path: str, **labels: str) -> DataFrame:
     """Raw bars of all pages landed under ``path`` as JSON lines (symbol, interval, payload, ingested_at)."""
     schema = "exchange string, symbol string, interval string, load_source string, ingested_at string, payload string"

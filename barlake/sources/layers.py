@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -11,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from barlake.functions.scalars import null_if_nan, utc_literal
 from barlake.schema import GOLD, LAYERS, PRIMARY_KEY, SERIES, SERVING
+from barlake.session import stored
 from barlake.sources.klines import missing_path, of_series
 
 SERIES_LAYOUT = (*SERIES, "date")
@@ -30,15 +32,25 @@ def layer_path(root: str, layer: str) -> str:
     return f"{root.rstrip('/')}/{layer}"
 
 
-def read_layer(spark: SparkSession, root: str, layer: str) -> DataFrame:
-    """A whole layer with its ``date``; a layer that was never written is an empty typed frame."""
+def read_layer(spark: SparkSession, root: str, layer: str, **series: str | None) -> DataFrame:
+    """A layer with its ``date``; a layer that was never written is an empty typed frame.
+
+    With a whole series key only that series' folder is listed, where the layer has one.
+    """
     schema = T.StructType([*LAYERS[layer].fields, T.StructField("date", T.DateType())])
-    try:
-        return spark.read.schema(schema).parquet(layer_path(root, layer))
-    except AnalysisException as error:
-        if not missing_path(error):
-            raise
-        return spark.createDataFrame([], schema)
+    base = layer_path(root, layer)
+    values = [series.get(c) for c in SERIES]
+    paths = [base]
+    # Folder names of other characters are escaped by the writer; such series are found by listing.
+    if all(value and re.fullmatch(r"[\w.-]+", value) for value in values):
+        paths.insert(0, "/".join([base, *(f"{c}={v}" for c, v in zip(SERIES, values, strict=True))]))
+    for path in paths:
+        try:
+            return of_series(spark.read.schema(schema).option("basePath", base).parquet(path), **series)
+        except AnalysisException as error:
+            if not missing_path(error):
+                raise
+    return spark.createDataFrame([], schema)
 
 
 def read_window(
@@ -56,7 +68,7 @@ def read_window(
     Series and date predicates prune folders, the open-time range prunes row groups.
     """
     low, high = utc_literal(start), utc_literal(end)
-    rows = of_series(read_layer(spark, root, layer), exchange, symbol, interval)
+    rows = read_layer(spark, root, layer, exchange=exchange, symbol=symbol, interval=interval)
     rows = rows.where(F.col("date").between(F.to_date(low), F.to_date(high)))
     if layer == "bronze":
         floor, ceiling = F.ceil(F.unix_micros(low) / 1000), F.floor(F.unix_micros(high) / 1000)
@@ -127,29 +139,27 @@ def merge_layer(
     Returns the number of incoming rows. The existing rows of every touched folder are read back first, because
     dynamic overwrite replaces whole folders; the date range narrows the scan to the touched days.
     """
-    kept = incoming.withColumn("date", F.to_date("open_time")).persist()
-    try:
-        first, last, rows = kept.agg(F.min("date"), F.max("date"), F.count("*")).first()
-        if rows == 0:
-            return 0
-        touched = kept.select(*layout).distinct()
-        existing = (
-            read_layer(spark, root, layer)
-            .where(F.col("date").between(F.lit(first), F.lit(last)))
-            .join(touched, list(layout), "left_semi")
-            .select(*kept.columns)
-        )
-        merged = merge_rows(existing, kept)
-        (
-            _for_writing(merged, layout)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*layout)
-            .parquet(layer_path(root, layer))
-        )
-        return rows
-    finally:
-        kept.unpersist()
+    # Stored once in the shared folder: the rows are read several times and must not differ between the reads.
+    kept = stored(incoming.withColumn("date", F.to_date("open_time")), "merge")
+    first, last, rows = kept.agg(F.min("date"), F.max("date"), F.count("*")).first()
+    if rows == 0:
+        return 0
+    touched = kept.select(*layout).distinct()
+    existing = (
+        read_layer(spark, root, layer)
+        .where(F.col("date").between(F.lit(first), F.lit(last)))
+        .join(touched, list(layout), "left_semi")
+        .select(*kept.columns)
+    )
+    merged = merge_rows(existing, kept)
+    (
+        _for_writing(merged, layout)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*layout)
+        .parquet(layer_path(root, layer))
+    )
+    return rows
 
 
 def upsert_serving(
