@@ -39,5 +39,5 @@ def condition_holds(direction: Column, current: Column, threshold: Column) -> Co
 
 def valid_direction(direction: Column) -> Column:
     """Pass a known direction through; an unknown one fails the job."""
-    message = F.concat(F.lit("Unsupported threshold direction: "), F.coalesce(direction, F.lit("NULL")))
+    message = F.concat(F.lit("No such direction of a rule: "), F.coalesce(direction, F.lit("NULL")))
     return F.when(direction.isin(*DIRECTIONS), direction).otherwise(F.raise_error(message).cast("string"))

@@ -39,6 +39,7 @@ SILVER = _struct(
     | {"is_synthetic": _B, "load_source": _S, "ingested_at": _TS}
 )
 
+# Column names of features, ticks, rules and marks.
 FEATURE_COLUMNS = [
     "return_1", "return_5", "return_20", "log_return_1",
     "ma_5", "ma_20", "ma_50", "vol_5", "vol_20",

@@ -1,27 +1,33 @@
 """Tick streams: a durable tick table and threshold alerts with state across restarts.
 
 Alerts compare each tick with the one before it, across micro-batches. Every micro-batch is evaluated by the same
-chunked operator as a batch table (``operators.rules.threshold_alerts``), so a symbol that makes up a third of a
-batch is still spread over many tasks, and no rows pass through Python. What a batch must know of the past is one row
-per instrument: its last tick.
+chunked operator as a batch table (``operators.rules``), so a symbol that makes up a third of a batch is still spread over
+many tasks, and no rows pass through Python. Ticks in order need one row per instrument of the past: its last tick.
+
+A tick that arrives late changes two verdicts, its own and that of the tick after it. For instruments with late ticks the
+stored ticks since the one before the first late tick are compared again, and the verdicts of new ticks and of those that
+follow a new tick replace the earlier ones. So the alerts always equal those of a batch job over all ticks received.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from barlake.operators.chunks import TICK_CHUNK_SECONDS
-from barlake.operators.rules import INSTRUMENT, SPOT, event_lines, threshold_alerts
+from barlake.operators.chunks import TICK_CHUNK_SECONDS, join_parameters, with_previous, with_tick_chunk
+from barlake.operators.rules import INSTRUMENT, SPOT, TICK_ORDER, event_lines, rule_matches, signal_events, threshold_alerts
 from barlake.schema import TICK
+from barlake.session import stored
 from barlake.sources.klines import missing_path
 from barlake.sources.layers import observe_rows, observed_rows
 
 # Fixed value: default seconds between polls of a continuous run.
 POLL_SECONDS = 5
+_STORED_TICK = T.StructType([*TICK.fields, T.StructField("batch_id", T.LongType())])
+_JUDGED = "exchange string, symbol string, event_time timestamp, price double"
 _PRICE_SCHEMA = "exchange string, symbol string, event_time timestamp, price double, batch_id bigint"
 
 
@@ -74,27 +80,75 @@ def _next_prices(prior: DataFrame, ticks: DataFrame) -> DataFrame:
     return known.unionByName(seen).groupBy(*INSTRUMENT).agg(newest.alias("_t")).select(*INSTRUMENT, "_t.*")
 
 
+_KEY = [*INSTRUMENT, "event_time", "price"]
+
+
+def _late_instruments(ticks: DataFrame, prior: DataFrame) -> DataFrame:
+    """Instruments with ticks older than their last judged one (``_since``: the first of them) and how many."""
+    seen = prior.select(*INSTRUMENT, F.col("event_time").alias("_seen"))
+    late = join_parameters(ticks, seen, INSTRUMENT, spread=["event_time"]).where(F.col("event_time") <= F.col("_seen"))
+    return late.groupBy(*INSTRUMENT).agg(
+        F.min("event_time").alias("_since"), F.count_if(F.col("event_time") < F.col("_seen")).alias("_late")
+    )
+
+
+def _judged_again(history: DataFrame, late: DataFrame, batch_id: int, chunk_seconds: int) -> DataFrame:
+    """New ticks of instruments with late ticks, and stored ones that follow them, with ``previous_price``.
+
+    ``history`` holds all ticks of this and earlier batches. Ticks that share instrument, time and price are judged
+    together, since a stored alert does not tell them apart.
+    """
+    own = join_parameters(history, late.select(*INSTRUMENT, "_since"), INSTRUMENT, spread=["event_time"])
+    before = own.where(F.col("event_time") < F.col("_since")).groupBy(*INSTRUMENT).agg(F.max("event_time").alias("_from"))
+    near = join_parameters(own, before, INSTRUMENT, spread=["event_time"], how="left").where(
+        F.col("event_time") >= F.coalesce("_from", "_since")
+    )
+    paired = near.withColumn("_pair", F.struct("price", "batch_id"))
+    compared = with_previous(with_tick_chunk(paired, chunk_seconds), INSTRUMENT, TICK_ORDER, "_pair", "_previous")
+    fresh = (F.col("batch_id") == batch_id) | F.coalesce(F.col("_previous.batch_id") == batch_id, F.lit(False))
+    same = Window.partitionBy(*_KEY)
+    return (
+        compared.where(F.col("event_time") >= F.col("_since"))
+        .withColumn("_fresh", F.max(fresh).over(same))
+        .where("_fresh")
+        .select(*TICK.fieldNames(), "batch_id", F.col("_previous.price").alias("previous_price"))
+    )
+
+
 def _alert_batch(
     alerts_path: str, state: str, rules: DataFrame, interval: str, chunk_seconds: int
 ) -> Callable[[DataFrame, int], None]:
     def evaluate(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prior = _last_prices(spark, state, batch_id)
-        ticks = batch.persist()
-        try:
+        # Every target is named by the batch, so a repeated batch replaces what it wrote before.
+        batch.select(*TICK.fieldNames()).write.mode("overwrite").parquet(f"{state}/ticks/batch_id={batch_id}")
+        history = spark.read.schema(_STORED_TICK).parquet(f"{state}/ticks")
+        history = history.where(F.col("batch_id") <= batch_id)
+        ticks = history.where(F.col("batch_id") == batch_id).drop("batch_id")
+        late = stored(_late_instruments(ticks, prior), "late")
+        late_count = late.agg(F.coalesce(F.sum("_late"), F.lit(0))).first()[0]
+        if late.isEmpty():
             events = threshold_alerts(ticks, rules, prior, interval, chunk_seconds)
-            lines, alerts = observe_rows(event_lines(events))
-            # Every target is named by the batch, so a repeated batch replaces what it wrote before.
-            lines.write.mode("overwrite").text(f"{alerts_path}/batch_id={batch_id}")
-            counts = ticks.agg(F.count("*").alias("tick_count")).withColumn(
-                "alert_count", F.lit(observed_rows(alerts)).cast("bigint")
-            )
-            counts.write.mode("overwrite").parquet(f"{state}/cycles/batch_id={batch_id}")
-            _next_prices(prior, ticks).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
-                "overwrite"
-            ).parquet(f"{state}/prices/slot{batch_id % 2}")
-        finally:
-            ticks.unpersist()
+            again = spark.createDataFrame([], _JUDGED)
+        else:
+            instruments = late.select(*INSTRUMENT)
+            in_order = ticks.join(instruments, INSTRUMENT, "left_anti")
+            judged = stored(_judged_again(history, late, batch_id, chunk_seconds), "judged")
+            observed = judged.drop("batch_id").withColumn("interval", F.lit(interval))
+            events = threshold_alerts(in_order, rules, prior.join(instruments, INSTRUMENT, "left_anti"), interval, chunk_seconds)
+            events = events.unionByName(signal_events(rule_matches(observed, rules, spread="event_time")))
+            again = judged.where(F.col("batch_id") < batch_id).select(*_KEY).distinct()
+        again.write.mode("overwrite").parquet(f"{alerts_path}/judged/batch_id={batch_id}")
+        lines, alerts = observe_rows(event_lines(events))
+        lines.write.mode("overwrite").text(f"{alerts_path}/events/batch_id={batch_id}")
+        counts = ticks.agg(F.count("*").alias("tick_count")).withColumns(
+            {"alert_count": F.lit(observed_rows(alerts)).cast("bigint"), "late_count": F.lit(late_count).cast("bigint")}
+        )
+        counts.write.mode("overwrite").parquet(f"{state}/cycles/batch_id={batch_id}")
+        _next_prices(prior, ticks).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
+            "overwrite"
+        ).parquet(f"{state}/prices/slot{batch_id % 2}")
 
     return evaluate
 
@@ -109,7 +163,10 @@ def start_alerts(
     interval: str = SPOT,
     chunk_seconds: int = TICK_CHUNK_SECONDS,
 ) -> StreamingQuery:
-    """Evaluate rules on a tick stream; one JSON line per alert under ``alerts_path/batch_id=N``."""
+    """Evaluate rules on a tick stream; one JSON line per alert under ``alerts_path/events/batch_id=N``.
+
+    Read the result with ``read_alerts``, which leaves out verdicts that a later batch has replaced.
+    """
     evaluate = _alert_batch(alerts_path, f"{checkpoint}/state", rules, interval, chunk_seconds)
     return (
         ticks.writeStream.foreachBatch(evaluate)
@@ -148,8 +205,8 @@ def _last_batch(cycles: DataFrame) -> int:
 
 
 def cycle_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Ticks and alerts of every micro-batch of an alert stream."""
-    schema = "tick_count bigint, alert_count bigint, batch_id bigint"
+    """Ticks, alerts raised and late ticks of every micro-batch of an alert stream."""
+    schema = "tick_count bigint, alert_count bigint, late_count bigint, batch_id bigint"
     try:
         return spark.read.schema(schema).parquet(f"{checkpoint}/state/cycles")
     except AnalysisException as error:
@@ -166,8 +223,12 @@ ALERT_SCHEMA = (
 
 
 def read_alerts(spark: SparkSession, alerts_path: str) -> DataFrame:
-    """Stored alerts with the batch that raised them."""
-    return spark.read.schema(ALERT_SCHEMA).json(alerts_path)
+    """The alerts that hold, with the batch that raised them."""
+    alerts = spark.read.schema(ALERT_SCHEMA).json(f"{alerts_path}/events")
+    judged = spark.read.schema(f"{_JUDGED}, batch_id bigint").parquet(f"{alerts_path}/judged")
+    replaced = judged.groupBy(*INSTRUMENT, "event_time", F.col("price").alias("observed_value")).agg(F.max("batch_id").alias("_judged"))
+    latest = alerts.join(replaced, [*INSTRUMENT, "event_time", "observed_value"], "left")
+    return latest.where(F.col("_judged").isNull() | (F.col("batch_id") >= F.col("_judged"))).select(*alerts.columns)
 
 
 def read_ticks(spark: SparkSession, ticks_path: str) -> DataFrame:

@@ -106,5 +106,5 @@ def test_flat_series_has_zero_sharpe(spark):
 def test_unknown_direction_fails(spark):
     bars = bar_frame(spark, [1.0, 2.0])
     table = spark.createDataFrame([("s", "AAA", "1m", "sideways", 1.0, "below", 1.0, 1.0, 0.0)], STRATEGY)
-    with pytest.raises(Exception, match="Unsupported threshold direction"):
+    with pytest.raises(Exception, match="No such direction"):
         strategy_bars(bars, table).collect()

@@ -46,13 +46,29 @@ def test_stream_equals_batch(spark, tmp_path):
     assert cycle_counts(spark, f"{tmp_path}/cp/alerts").agg(F.sum("tick_count")).first()[0] == 240
 
 
-def test_late_tick_is_stored_but_not_judged(spark, tmp_path):
+def test_late_tick_replaces_the_verdict_of_its_successor(spark, tmp_path):
     table = rules(spark, ("AAA", None, "above", 100.0, "high"))
-    ticks(spark, [99.0], first=10).write.mode("append").parquet(f"{tmp_path}/in")
-    _run(spark, tmp_path, table)
-    ticks(spark, [500.0], first=5).write.mode("append").parquet(f"{tmp_path}/in")
-    assert _run(spark, tmp_path, table) == {"tick_count": 1, "alert_count": 0}
-    assert read_ticks(spark, f"{tmp_path}/ticks").count() == 2
+    ticks(spark, [99.0, 105.0], first=10).write.mode("append").parquet(f"{tmp_path}/in")
+    assert _run(spark, tmp_path, table) == {"tick_count": 2, "alert_count": 1}
+    late = ticks(spark, [500.0], first=10).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 30 SECONDS"))
+    late.write.mode("append").parquet(f"{tmp_path}/in")
+    assert _run(spark, tmp_path, table) == {"tick_count": 1, "alert_count": 1}
+    assert [a.observed_value for a in read_alerts(spark, f"{tmp_path}/alerts").collect()] == [500.0]
+    assert read_ticks(spark, f"{tmp_path}/ticks").count() == 3
+    assert cycle_counts(spark, f"{tmp_path}/cp/alerts").agg(F.sum("late_count")).first()[0] == 1
+
+
+def test_shuffled_files_give_the_alerts_of_a_batch(spark, tmp_path):
+    draw = random.Random(5)
+    table = spark.createDataFrame([("AAA", None, d, 100.0, d) for d in ("above", "below", "cross_above", "cross_below")], RULE)
+    everything = ticks(spark, [draw.uniform(95, 105) for _ in range(60)])
+    for part in range(3):
+        chosen = everything.where(F.pmod(F.xxhash64("event_time"), F.lit(3)) == part)
+        chosen.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        _run(spark, tmp_path, table)
+    got = read_alerts(spark, f"{tmp_path}/alerts").drop("batch_id", "metadata")
+    want = threshold_alerts(everything, table).drop("metadata")
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
 
 
 def test_continuous_run(spark, tmp_path):
