@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from barlake.llm.common import published, scratch_dir, sub_batches, texts_of
-from barlake.llm.tokens import WordEncoder
+from barlake.llm.tokens import word_encoder
 
 MAGIC = b"BLHUF\x01\r\n"
 BLOCK_IDS, CHECKPOINT, MAX_BITS, END_ID = 1 << 17, 128, 16, 2
@@ -132,7 +132,7 @@ def document_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block
     """Ids of whole documents in ascending doc_id order, gathered into numbered blocks per range partition."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer, "<u2")
+        encoder = word_encoder(tokenizer, "<u2")
         if encoder.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
         end = np.array([end_id], "<u2").tobytes()

@@ -8,10 +8,11 @@ Heavy sets are found by inverted lists. The hash range of a shingle is cut into
 differ in (and a few spare ones for empty blocks), and a list holds the sets that have the same shingles in a block; at
 least one list holds any two sets that link. A list of single shingles would be as long as a phrase is frequent; a block
 is rare even if each of its shingles is not. Blocks depend on the larger set of a pair, so sizes are dealt into bands,
-and a set enters those of its possible partners: one or two. Members of a list are compared with one of them, in full;
-lists that still hold several groups are compared again with other members, and in the end pair by pair across groups,
-behind exact bounds from sizes and parity sketches. No link between different groups is lost, and what is in one group
-already is not paired.
+and a set enters those of its possible partners: one or two. Members of a list are compared in full with one of them, the
+leader. Where a list then still holds several groups, links across them are sought: pair by pair behind exact bounds from
+sizes and parity sketches in small stars, and in large ones through a second inverted index, over the shingles in which
+members differ from their leader, rarest first. No link between different groups is lost, and what is in one group already
+is not paired.
 
 The boundary is the size up to which enumerating costs less than listing and verifying: both costs are per set and grow
 with its size, so where they cross is best for any mix of sizes. Light sets near it also enter the lists of heavy partners.
@@ -30,14 +31,15 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from barlake.llm.common import bounded, join_hot, stored, sub_batches, texts_of
 
 SHINGLE, PERCENT = 3, 90
 VERIFY_COST, BAND_RATIO = 20.0, 1.5
 SKETCH_BITS, SKETCH_LONGS = 512, 8
-CACHED_WORDS, STAR_ROUNDS, PAIRS_PER_ROW = 600_000, 4, 8
+CACHED_WORDS, DENSE_STAR, ALWAYS_SHUFFLE = 300_000, 64, 1 << 62
+COMPARED = "a bigint, b bigint, n_a bigint, n_b bigint, linked boolean, differ array<bigint>"
 SETS = "doc_id bigint, node bigint, n bigint, light array<bigint>, side array<int>, heavy array<bigint>, sketch array<bigint>"
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -215,26 +217,30 @@ def light_links(sets: DataFrame) -> DataFrame:
 
 
 def shared_lists(sets: DataFrame) -> DataFrame:
-    """key, node: members of all block lists with more than one node."""
+    """key, node and rows: members of all block lists with more than one node, and how many rows each list has."""
     keyed = sets.select("node", F.explode("heavy").alias("key"))
     lists = stored(
         keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("rows"))
         .where("low <> high").select("key", "rows"),
         "jaccard-lists",
     )
-    total, counted = _rows(lists)
+    total, _ = _rows(lists)
+    # Lists grow with the corpus, so they are joined by shuffle at every size.
     return stored(
-        join_hot(keyed, lists, "key", "rows", total, ["node"], counted=counted).where("rows IS NOT NULL").select("key", "node").distinct(), "jaccard-shared"
+        join_hot(keyed, lists, "key", "rows", total, ["node"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL").distinct(), "jaccard-shared"
     )
 
 
-def star_pairs(lists: DataFrame, seed: int) -> DataFrame:
-    """Every member of a list with one of its members, another one for each seed."""
-    rank = F.xxhash64("node", F.lit(seed)) if seed else F.col("node")
-    leaders = lists.groupBy("key").agg(F.min_by("node", rank).alias("leader") if seed else F.min("node").alias("leader"), F.count("*").alias("rows"))
-    count = lists.count()
-    met = join_hot(lists, leaders, "key", "rows", count, ["node"], counted=count // 2)
-    return met.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+def starred(lists: DataFrame) -> DataFrame:
+    """key, node and leader: the member of each list that meets the most others in all its lists."""
+    weights = lists.groupBy("node").agg(F.sum("rows").alias("weight"), F.count("*").alias("lists"))
+    weighed = stored(lists.join(weights, "node"), "jaccard-weights")
+    leaders = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("_best"), F.count("*").alias("members"))
+    leaders = leaders.select("key", F.col("_best.node").alias("leader"), "members")
+    total = weighed.count()
+    return stored(
+        join_hot(weighed.select("key", "node"), leaders, "key", "members", total, ["node"], counted=ALWAYS_SHUFFLE).drop("members"), "jaccard-starred"
+    )
 
 
 def cross_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -249,8 +255,12 @@ def cross_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link. Only texts of documents that occur in pairs are read again."""
+def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with both sizes and whether their whole sets link.
+
+    Where ``a`` has at least ``DENSE_STAR`` pairs, ``differ`` lists the shingles in which the two sets differ. Only texts of
+    documents that occur in pairs are read again.
+    """
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingled = ShingleSets()
@@ -260,14 +270,21 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int)
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "set"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sub_batches(batches, 1024):
-            keep = []
-            for one, other in zip(batch.column(2), batch.column(3), strict=True):
+        for batch in sub_batches(batches):
+            rows = []
+            for one, other, star in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(), strict=True):
                 x, y = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(other.as_buffer(), np.uint64)
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
-                keep.append(int((both[1:] == both[:-1]).sum()) >= least_overlap(len(x), len(y), percent))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                same = both[1:] == both[:-1]
+                differ = None
+                if star >= DENSE_STAR:
+                    alone = ~(np.append(same, False) | np.append(False, same))
+                    differ = both[alone].view(np.int64)
+                rows.append((len(x), len(y), int(same.sum()) >= least_overlap(len(x), len(y), percent), differ))
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()))
+            columns = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["a", "b", "n_a", "n_b", "linked", "differ"])
 
     pairs = stored(pairs, "jaccard-pairs")
     wanted = stored(
@@ -284,13 +301,46 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int)
     leaders = stored(pairs.groupBy("a").agg(F.count("*").alias("rows")), "jaccard-leaders")
     total, counted = _rows(leaders)
     salts = F.ceil(F.col("rows") / 256)
-    salted = join_hot(pairs, leaders, "a", "rows", total, ["b"], counted=counted).select("a", "b", F.pmod(F.xxhash64("b"), salts).alias("salt"))
+    salted = join_hot(pairs, leaders, "a", "rows", total, ["b"], counted=counted).select("a", "b", "rows", F.pmod(F.xxhash64("b"), salts).alias("salt"))
     left = leaders.join(sets, leaders["a"] == sets["node"]).select(
         "a", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"), F.col("set").alias("set_a")
     )
     right = salted.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    joined = right.join(left, ["a", "salt"]).select("a", "b", "set_a", "set_b")
-    return stored(joined.mapInArrow(compare, "a bigint, b bigint"), "jaccard-links")
+    joined = right.join(left, ["a", "salt"]).select("a", "b", "set_a", "set_b", "rows")
+    return stored(joined.mapInArrow(compare, COMPARED), "jaccard-compared")
+
+
+def dense_links(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Links across groups between members of one large star, found in the space of differences from its leader.
+
+    Two members differ in what only one of their differences holds, so sizes of the differences and what they share decide.
+    Of two members in different groups at least one does not link with the leader; then their differences must share
+    shingles, and more the larger they are. So both have a shared shingle among their rarest ones: with ``d`` differences,
+    the first min(d, most + 1) where ``most`` linked sets can differ in, and less than the larger half if the member links.
+    """
+    members = pairs.where("differ IS NOT NULL").join(groups.select(F.col("node").alias("b"), "group"), "b", "left").select(
+        "a", "b", F.coalesce("group", "b").alias("group"), F.col("n_b").alias("n"), "linked", "differ", F.size("differ").cast("bigint").alias("d")
+    )
+    members = stored(members, "jaccard-members")
+    shingles = members.select("a", "b", "linked", "n", "d", F.explode("differ").alias("shingle"))
+    shingles = stored(shingles.withColumn("key", F.xxhash64("a", "shingle")), "jaccard-differences")
+    frequency = shingles.groupBy("key").agg(F.count("*").alias("rows"))
+    ranked = join_hot(shingles, frequency, "key", "rows", shingles.count(), ["b"], counted=ALWAYS_SHUFFLE).withColumn(
+        "at", F.row_number().over(Window.partitionBy("a", "b").orderBy("rows", "shingle"))
+    )
+    most = F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / (100 + percent))
+    reach = F.when(F.col("linked"), F.col("d") - F.floor(F.col("d") * percent / (100 + percent))).otherwise(F.least("d", most + 1))
+    prefix = stored(ranked.where((F.col("at") <= reach) & (F.col("rows") > 1)).select("key", "a", "b"), "jaccard-prefix")
+    full = prefix.join(members, ["a", "b"])
+    one = full.select("key", "a", *[F.col(c).alias(f"{c}_1") for c in ("b", "group", "n", "d", "differ")])
+    two = full.select("key", "a", *[F.col(c).alias(f"{c}_2") for c in ("b", "group", "n", "d", "differ")])
+    both = F.col("n_1") + F.col("n_2")
+    close = F.abs(F.col("d_1") - F.col("d_2")) * (100 + percent) <= both * (100 - percent)
+    apart = F.col("d_1") + F.col("d_2") - 2 * F.size(F.array_intersect("differ_1", "differ_2"))
+    links = one.join(two, ["key", "a"]).where(
+        (F.col("b_1") < F.col("b_2")) & (F.col("group_1") != F.col("group_2")) & close & (apart * (100 + percent) <= both * (100 - percent))
+    )
+    return stored(links.select(F.col("b_1").alias("a"), F.col("b_2").alias("b")).distinct(), "jaccard-dense")
 
 
 # Groups.
@@ -326,18 +376,14 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def _mixed_lists(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """key, node and group of the lists that hold more than one group."""
-    grouped = lists.join(groups, "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"))
+    """key, node, leader and group of the lists that hold more than one group."""
+    grouped = lists.join(groups, "node", "left").select("key", "node", "leader", F.coalesce("group", "node").alias("group"))
     several = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("rows")).where("low <> high")
     several = stored(several.select("key", "rows"), "jaccard-several")
-    total, counted = _rows(several)
-    return stored(join_hot(grouped, several, "key", "rows", total, ["node"], counted=counted).where("rows IS NOT NULL").drop("rows"), "jaccard-mixed")
-
-
-def _open_pairs(lists: DataFrame) -> int:
-    per_group = lists.groupBy("key", "group").agg(F.count("*").alias("c"))
-    squares = per_group.groupBy("key").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("pairs"))
-    return (squares.agg(F.sum("pairs")).first()[0] or 0) // 2
+    total, _ = _rows(several)
+    return stored(
+        join_hot(grouped, several, "key", "rows", total, ["node"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL").drop("rows"), "jaccard-mixed"
+    )
 
 
 def linked_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -351,20 +397,15 @@ def linked_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         ),
         "jaccard-nodes",
     )
-    lists = shared_lists(sets)
-    links = light_links(sets)
-    rest, round_, before = lists, 0, None
-    while True:
-        links = links.unionByName(verified(star_pairs(rest, round_), rows, nodes, percent))
-        groups = stored(connected(links), "jaccard-groups")
-        rest = _mixed_lists(rest.select("key", "node"), groups)
-        open_, size = _open_pairs(rest), rest.count()
-        round_ += 1
-        if open_ <= PAIRS_PER_ROW * size or round_ >= STAR_ROUNDS or open_ == before:
-            break
-        before = open_
-    if open_:
-        links = links.unionByName(verified(cross_pairs(rest, nodes, percent), rows, nodes, percent))
+    lists = starred(shared_lists(sets))
+    pairs = compared(lists.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), rows, nodes, percent)
+    links = light_links(sets).unionByName(pairs.where("linked").select("a", "b"))
+    groups = stored(connected(links), "jaccard-groups")
+    mixed_lists = _mixed_lists(lists, groups)
+    if not mixed_lists.isEmpty():
+        dense = stored(pairs.where("differ IS NOT NULL").select(F.col("a").alias("leader")).distinct(), "jaccard-stars")
+        few = compared(cross_pairs(mixed_lists.join(dense, "leader", "left_anti"), nodes, percent), rows, nodes, percent)
+        links = links.unionByName(few.where("linked").select("a", "b")).unionByName(dense_links(pairs, groups, percent))
         groups = stored(connected(links), "jaccard-groups")
     named = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     least = stored(named.groupBy("group").agg(F.min("rep").alias("component_id"), F.count("*").alias("members")), "jaccard-names")

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from barlake.llm.common import sub_batches, texts_of
-from barlake.llm.tokens import WordEncoder
+from barlake.llm.tokens import word_encoder
 
 LIMIT = 4096
 END_ID = 2
@@ -44,7 +44,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, limit:
         raise ValueError("limit must be a power of two up to 32768")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         task, counter = TaskContext.get().partitionId(), 0
         for batch in sub_batches(batches):

@@ -4,7 +4,8 @@ The tokenizer lower-cases, drops white space and never merges across the pieces
 ids of its pieces joined. A worker keeps the ids of words and of pieces in bounded caches. New pieces of a batch are encoded
 by the tokenizer as one text, separated by spaces; its tokens tell where a piece ends. The pattern is applied here only to
 words of plain Latin characters; all other words go to the tokenizer as they are, and the offsets of their tokens tell the
-words apart.
+words apart. A cache that is full becomes the old one, from which words that come again move on; the encoder outlives the task, so
+a worker's next task finds its words known.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
 
-CACHED_WORDS, CACHED_PIECES, AT_ONCE = 600_000, 400_000, 4096
+CACHED_WORDS, CACHED_PIECES, AT_ONCE = 350_000, 250_000, 4096
 # The pieces of the tokenizer's pattern, for text that is lower-cased already.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN = re.compile(r"[!-~¡-ɏ]+")
@@ -37,6 +39,8 @@ class WordEncoder:
         self.find = regex.compile(PIECE).findall
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
 
     def _keep(self, into: dict, names: list, ids: np.ndarray, edges: np.ndarray) -> None:
         raw, width = ids.tobytes(), self.dtype.itemsize
@@ -66,9 +70,14 @@ class WordEncoder:
             else:
                 other.append(word)
         if len(self.pieces) > CACHED_PIECES:
-            self.pieces = {}
-        pieces = self.pieces
-        new = list({piece: None for _, found in plain for piece in found if piece not in pieces})
+            self.pieces, self.old_pieces = {}, self.pieces
+        pieces, old = self.pieces, self.old_pieces
+        new = []
+        for piece in {piece for _, found in plain for piece in found}.difference(pieces):
+            if (ids := old.get(piece)) is None:
+                new.append(piece)
+            else:
+                pieces[piece] = ids
         for at in range(0, len(new), AT_ONCE):
             self._learn_pieces(new[at : at + AT_ONCE])
         self.words.update((word, b"".join(map(pieces.__getitem__, found))) for word, found in plain)
@@ -78,14 +87,26 @@ class WordEncoder:
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         split = [text.encode().split() for text in texts]
         if len(self.words) > CACHED_WORDS:
-            self.words = {}
+            self.words, self.old_words = {}, self.words
         known = self.words.get
         found = [list(map(known, own)) for own in split]
         gaps = [[at for at, ids in enumerate(parts) if ids is None] if None in parts else [] for parts in found]
-        new = {own[at]: None for own, missing in zip(split, gaps, strict=True) for at in missing}
-        if new:
-            self._learn(list(new))
+        if any(gaps):
+            new, old = [], self.old_words.get
+            for word in {own[at] for own, missing in zip(split, gaps, strict=True) for at in missing}:
+                if (ids := old(word)) is None:
+                    new.append(word)
+                else:
+                    self.words[word] = ids
+            if new:
+                self._learn(new)
             for own, parts, missing in zip(split, found, gaps, strict=True):
                 for at in missing:
                     parts[at] = self.words[own[at]]
         return list(map(b"".join, found))
+
+
+@lru_cache(maxsize=2)
+def word_encoder(path: str, dtype: str = "<u4") -> WordEncoder:
+    """The worker's own encoder."""
+    return WordEncoder(path, dtype)
