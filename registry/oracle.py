@@ -272,11 +272,34 @@ revised AS (
 merged AS (SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING ({PK}))"""
 
 
+def pages() -> str:
+    """Landed pages with the day they cover and the number of the day they were fetched."""
+    return raw() + f""",
+pages AS (SELECT {KEY}, CAST(open_time AS DATE) AS covered, max(ingested_at) AS ingested_at,
+                 date_diff('day', DATE '2024-01-01', CAST(max(ingested_at) AS DATE)) AS day FROM typed GROUP BY {KEY}, covered)"""
+
+
+def cut_loads(fill_gaps: bool) -> str:
+    """Three loads of sparse series; features over all that is stored, however it was cut."""
+    edges = (("2024-01-01", "2024-01-12"), ("2024-01-20", "2024-02-01"), ("2024-01-12", "2024-01-20"))
+    steps = raw(BY_USER)
+    for i, (low, high) in enumerate(edges):
+        steps += f", part{i} AS (SELECT * FROM typed WHERE open_time BETWEEN TIMESTAMP '{low}' AND TIMESTAMP '{high}')"
+        steps += dedup(f"part{i}", f"load{i}")
+        if fill_gaps:
+            steps += fill(f"load{i}", f"filled{i}")
+    # A bar on the edge of two loads is the same in both.
+    parts = [f"SELECT {SILVER}, {i} AS turn FROM {'filled' if fill_gaps else 'load'}{i}" for i in range(len(edges))]
+    steps += ", every AS (" + " UNION ALL ".join(parts) + f"""),
+all_loads AS (SELECT {SILVER} FROM every QUALIFY row_number() OVER (PARTITION BY {PK} ORDER BY turn DESC) = 1)"""
+    return steps + features("all_loads")
+
+
 def two_loads() -> str:
     """Two incremental loads: the look-back first, then what follows the mark of each series."""
-    first, second = "TIMESTAMP '2024-01-10 00:30:00'", "TIMESTAMP '2024-01-14 12:30:00'"
+    first, second = "TIMESTAMP '2024-01-10 00:30:00'", "TIMESTAMP '2024-02-01 00:30:00'"
     return raw() + f""",
-due1 AS (SELECT * FROM typed WHERE open_time BETWEEN {first} - INTERVAL 3 DAY AND {first})""" + dedup(
+due1 AS (SELECT * FROM typed WHERE open_time BETWEEN {first} - INTERVAL 14 DAY AND {first})""" + dedup(
         "due1", "latest1"
     ) + fill("latest1", "silver1") + f""",
 marks AS (SELECT {KEY}, max(open_time) + INTERVAL 1 HOUR AS start FROM silver1 GROUP BY ALL),
@@ -287,9 +310,14 @@ both_loads AS (SELECT {SILVER} FROM silver1 UNION ALL SELECT {SILVER} FROM silve
 
 
 def refreshed() -> str:
-    """A load of the window's rest, whose newest five bars are then loaded again."""
-    inside = f", inside AS (SELECT * FROM typed WHERE open_time BETWEEN {START} AND TIMESTAMP '2024-01-31')"
-    return raw() + inside + dedup("inside") + fill("latest") + features("silver")
+    """A load of everything, whose newest five bars are then loaded again; those since the 29th have another close."""
+    return raw() + dedup() + fill("latest", "before") + f""",
+newest AS (SELECT {SILVER} FROM latest QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY open_time DESC) <= 5),
+revised AS (
+  SELECT * REPLACE (CASE WHEN open_time >= TIMESTAMP '2024-01-29' THEN close + 2 ELSE close END AS close,
+                    CASE WHEN open_time >= TIMESTAMP '2024-01-29' THEN ingested_at + INTERVAL 1 HOUR ELSE ingested_at END
+                      AS ingested_at) FROM newest)""" + fill("revised", "again") + f""",
+silver AS (SELECT * FROM again UNION ALL SELECT * FROM before ANTI JOIN again USING ({PK}))""" + features("silver")
 
 
 GOLD_ROWS = f"SELECT {rounded(SILVER + ', ' + FEATURES)} FROM gold"
@@ -309,7 +337,18 @@ def statements() -> dict[str, str]:
             f"""SELECT {KEY}, epoch_ms(open_time) AS open_time, epoch_ms(close_time) AS close_time,
   {rounded("open, high, low, close, quote_volume")}, CAST(trade_count AS DOUBLE) AS trade_count,
   {rounded("taker_buy_base_volume, taker_buy_quote_volume")},
-  coalesce(CAST(volume AS VARCHAR), 'bad') AS volume, '0' AS ignore, load_source, ingested_at FROM typed""",
+  coalesce(CAST(volume AS VARCHAR), 'bad') AS volume, '0' AS ignore, load_source,
+  max(ingested_at) OVER (PARTITION BY {KEY}, CAST(open_time AS DATE)) AS ingested_at FROM typed""",
+        ),
+        "pages_rejected": select(
+            pages(),
+            f"""SELECT {KEY}, ingested_at, CASE WHEN day % 11 = 3 THEN 'no payload' ELSE 'payload is not an array of bars' END
+  AS reject_reason FROM pages WHERE day % 11 = 3 OR day % 7 = 2""",
+        ),
+        "pages_partly_read": select(
+            pages(),
+            f"""SELECT {KEY}, count(*) AS bars, min(epoch_ms(open_time)) AS first, max(epoch_ms(open_time)) AS last
+FROM typed JOIN pages USING ({KEY}) WHERE CAST(open_time AS DATE) = covered AND day % 11 <> 3 AND day % 7 <> 2 GROUP BY ALL""",
         ),
         "extract_window_bars": select(
             raw(),
@@ -428,11 +467,25 @@ marks AS (SELECT {KEY}, max(open_time) + INTERVAL 1 HOUR AS start FROM typed
           WHERE open_time < TIMESTAMP '2024-01-22' AND symbol <> 'view' GROUP BY ALL)""",
             f"""SELECT {rounded(SILVER)} FROM typed LEFT JOIN marks USING ({KEY})
 WHERE open_time BETWEEN coalesce(start, {NOW} - INTERVAL 1 DAY) AND {NOW}""",
+        ),
+        "load_summary_rejects": select(
+            raw() + f""",
+faulty AS (SELECT * REPLACE (CASE WHEN trade_count % 13 <> 0 THEN symbol END AS symbol,
+                             open_time + CASE WHEN trade_count % 17 = 0 THEN INTERVAL 30 MINUTE ELSE INTERVAL 0 MINUTE END AS open_time)
+           FROM typed WHERE open_time < TIMESTAMP '2024-02-01')""",
+            f"""SELECT {KEY}, count(*) AS rows_extracted,
+  count(*) FILTER (WHERE symbol IS NULL OR (epoch_ms(open_time) - epoch_ms(first)) % 3600000 <> 0) AS rows_rejected,
+  'success' AS status
+FROM (SELECT *, min(open_time) OVER (PARTITION BY {KEY}) AS first FROM faulty) GROUP BY ALL""",
         ),
         "incremental_batch": select(two_loads(), GOLD_ROWS),
+        "incremental_gap_features": select(cut_loads(False), GOLD_ROWS),
+        "backfill_gap_features": select(cut_loads(True), GOLD_ROWS),
         "recent_raw_bars": select(raw(BY_USER) + dedup(), newest("latest", 5)),
         "realtime_refresh": select(refreshed(), GOLD_ROWS),
         "stream_alerts": STREAM,
+        "stream_alerts_unordered": STREAM,
+        "stream_alerts_continuous": STREAM,
         "stream_ticks": select(
             ticks(),
             "SELECT exchange, symbol, event_time, round(price, 6) AS price, source, ingested_at FROM ticks",
@@ -443,7 +496,7 @@ parts AS (SELECT event_time >= TIMESTAMP '2024-01-11' AS a, event_time >= TIMEST
           FROM ticks UNION ALL
           SELECT event_time >= TIMESTAMP '2024-01-11', event_time >= TIMESTAMP '2024-01-21', 0, 1 FROM events_out)""",
             "SELECT CAST(sum(tick) AS BIGINT) AS tick_count, CAST(sum(alert) AS BIGINT) AS alert_count, "
-            "CAST(CAST(a AS INT) + CAST(b AS INT) AS BIGINT) AS batch_id FROM parts GROUP BY a, b",
+            "CAST(0 AS BIGINT) AS late_count, CAST(CAST(a AS INT) + CAST(b AS INT) AS BIGINT) AS batch_id FROM parts GROUP BY a, b",
         ),
     }
     return out

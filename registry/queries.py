@@ -31,7 +31,7 @@ from barlake.plans.steps import (
 )
 from barlake.schema import FEATURE_COLUMNS, KLINE_FIELDS, PRIMARY_KEY, SERIES, SILVER_COLUMNS
 from barlake.session import scratch_dir, stored
-from barlake.sources.klines import extract_recent, extract_window, raw_bars_from_payloads
+from barlake.sources.klines import extract_recent, extract_window, raw_bars_from_payloads, rejected_pages
 from barlake.sources.layers import (
     DAY_LAYOUT,
     merge_layer,
@@ -44,7 +44,7 @@ from barlake.sources.layers import (
     write_strategy_csv,
 )
 from barlake.sources.marks import high_water_marks, read_marks, with_key, write_marks
-from barlake.streaming.alerts import cycle_counts, read_alerts, read_ticks, run_once
+from barlake.streaming.alerts import cycle_counts, read_alerts, read_ticks, run_once, start_alerts, tick_stream
 from registry import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,18 @@ def kline_payload_parse(spark, sf_dir):
     )
 
 
+@query
+def pages_rejected(spark, sf_dir):
+    bad = rejected_pages(t.damaged_pages(spark, sf_dir))
+    return bad.select("exchange", "symbol", "interval", "ingested_at", "reject_reason")
+
+
+@query
+def pages_partly_read(spark, sf_dir):
+    raw = raw_bars_from_payloads(t.damaged_pages(spark, sf_dir))
+    return raw.groupBy(*SERIES).agg(F.count("*").alias("bars"), F.min("open_time").alias("first"), F.max("open_time").alias("last"))
+
+
 @query
 def extract_window_bars(spark, sf_dir):
     raw = extract_window(t.raw_klines(spark, sf_dir), WINDOW_START, WINDOW_END)
@@ -468,15 +480,42 @@ def incremental_due(spark, sf_dir):
     return normalize_bars(due)
 
 
+@query
+def load_summary_rejects(spark, sf_dir):
+    lake = Lake(scratch_dir(spark, "lake"))
+    raw = stored(t.faulty_klines(spark, sf_dir), "faulty")
+    summary = run_backfill(spark, lake, raw, "2024-01-01T00:00:00+00:00", "2024-02-01T00:00:00+00:00")
+    return summary.select(*SERIES, "rows_extracted", "rows_rejected", "status")
+
+
 @query
 def incremental_batch(spark, sf_dir):
     lake = Lake(scratch_dir(spark, "lake"))
     raw = _bronze(spark, sf_dir)
-    run_incremental(spark, lake, raw, as_of="2024-01-10T00:30:00+00:00", lookback_minutes=4320)
-    run_incremental(spark, lake, raw, as_of="2024-01-14T12:30:00+00:00")
+    run_incremental(spark, lake, raw, as_of="2024-01-10T00:30:00+00:00", lookback_minutes=20_160)
+    run_incremental(spark, lake, raw, as_of="2024-02-01T00:30:00+00:00")
+    return read_layer(spark, lake.root, "serving").drop("updated_at", "date")
+
+
+def _cut_loads(spark: SparkSession, sf_dir: str, fill: bool) -> DataFrame:
+    """Sparse series in three loads, the middle one last: gold and the stored silver it must equal the features of."""
+    lake = Lake(scratch_dir(spark, "lake"), DAY_LAYOUT, fill=fill)
+    raw = _bronze(spark, sf_dir, t.BY_USER)
+    for start, end in (("01-01", "01-12"), ("01-20", "02-01"), ("01-12", "01-20")):
+        run_backfill(spark, lake, raw, f"2024-{start}T00:00:00+00:00", f"2024-{end}T00:00:00+00:00")
     return read_layer(spark, lake.root, "serving").drop("updated_at", "date")
 
 
+@query
+def incremental_gap_features(spark, sf_dir):
+    return _cut_loads(spark, sf_dir, fill=False)
+
+
+@query
+def backfill_gap_features(spark, sf_dir):
+    return _cut_loads(spark, sf_dir, fill=True)
+
+
 @query
 def recent_raw_bars(spark, sf_dir):
     return normalize_bars(extract_recent(t.raw_klines(spark, sf_dir, t.BY_USER), 5))
@@ -486,8 +525,12 @@ def recent_raw_bars(spark, sf_dir):
 def realtime_refresh(spark, sf_dir):
     lake = Lake(scratch_dir(spark, "lake"))
     raw = _bronze(spark, sf_dir)
-    run_backfill(spark, lake, raw, WINDOW_START, "2024-01-31T00:00:00+00:00")
-    run_realtime(spark, lake, raw, 5)
+    run_backfill(spark, lake, raw, "2024-01-01T00:00:00+00:00", "2024-02-01T00:00:00+00:00")
+    late = F.col("open_time") >= F.unix_millis(F.lit("2024-01-29").cast("timestamp"))
+    changed = raw.where(late).withColumns(
+        {"close": (F.col("close").cast("double") + 2).cast("string"), "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")}
+    )
+    run_realtime(spark, lake, stored(raw.unionByName(changed), "changed"), 5)
     return read_layer(spark, lake.root, "serving").drop("updated_at", "date")
 
 
@@ -517,6 +560,36 @@ def stream_alerts(spark, sf_dir):
     return read_alerts(spark, _stream(spark, sf_dir) + "/alerts").drop("metadata", "batch_id")
 
 
+def _shuffled(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Landed ticks in eight files of any order, and the stored rules."""
+    root = scratch_dir(spark, "stream")
+    rule_table(t.rule_lines(spark, sf_dir)).write.parquet(f"{root}/rules")
+    dealt = t.ticks(spark, sf_dir).repartition(8, F.xxhash64("event_time", "symbol"))
+    dealt.write.parquet(f"{root}/landing")
+    return root, spark.read.parquet(f"{root}/rules")
+
+
+@query
+def stream_alerts_unordered(spark, sf_dir):
+    root, rules = _shuffled(spark, sf_dir)
+    run_once(spark, f"{root}/landing", rules, f"{root}/ticks", f"{root}/alerts", f"{root}/checkpoint", files_per_batch=1)
+    return read_alerts(spark, f"{root}/alerts").drop("metadata", "batch_id")
+
+
+@query
+def stream_alerts_continuous(spark, sf_dir):
+    root, rules = _shuffled(spark, sf_dir)
+    stream = start_alerts(
+        tick_stream(spark, f"{root}/landing", 2), rules, f"{root}/alerts", f"{root}/checkpoint", continuous=True, poll_seconds=1
+    )
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+        stream.awaitTermination(60)
+    return read_alerts(spark, f"{root}/alerts").drop("metadata", "batch_id")
+
+
 @query
 def stream_ticks(spark, sf_dir):
     return read_ticks(spark, _stream(spark, sf_dir) + "/ticks")

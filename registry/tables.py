@@ -98,15 +98,37 @@ def raw_klines(spark: SparkSession, sf_dir: str, by: str = BY_TYPE, interval: st
 
 
 def kline_pages(spark: SparkSession, sf_dir: str, by: str = BY_TYPE, interval: str = "1h") -> DataFrame:
-    """Raw klines as landed JSON pages: one page per symbol and day."""
+    """Raw klines as landed JSON pages: one page per symbol and day, fetched when its newest bar was."""
     raw = raw_klines(spark, sf_dir, by, interval)
     element = F.array(*[F.col(c).cast("string") for c in KLINE_FIELDS])
     day = F.to_date(F.timestamp_millis("open_time"))
-    return raw.groupBy("exchange", "symbol", "interval", "load_source", "ingested_at", day.alias("_day")).agg(
-        F.to_json(F.collect_list(element)).alias("payload")
+    # A day of one symbol is at most 1440 bars and their revisions.
+    rows = F.sort_array(F.collect_list(F.struct("open_time", element.alias("bar"))))
+    return raw.groupBy("exchange", "symbol", "interval", "load_source", day.alias("_day")).agg(
+        F.to_json(rows["bar"]).alias("payload"), F.max("ingested_at").alias("ingested_at")
     ).drop("_day")
 
 
+def damaged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with every seventh cut off and every eleventh without a payload, by the day they cover."""
+    pages = kline_pages(spark, sf_dir)
+    day = F.datediff(F.to_date("ingested_at"), F.lit("2024-01-01"))
+    payload = F.when(day % 11 == 3, F.lit(None)).when(day % 7 == 2, F.left("payload", F.length("payload") - 1)).otherwise(F.col("payload"))
+    return pages.withColumn("payload", payload)
+
+
+def faulty_klines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw klines, one in thirteen trade counts without a symbol and one in seventeen half an hour off the grid."""
+    raw = raw_klines(spark, sf_dir)
+    trades = F.col("trade_count").cast("bigint")
+    return raw.withColumns(
+        {
+            "symbol": F.when(trades % 13 != 0, F.col("symbol")),
+            "open_time": F.when(trades % 17 == 0, F.col("open_time") + 1_800_000).otherwise(F.col("open_time")),
+        }
+    )
+
+
 RULES = (("above", 110.0), ("below", 100.5), ("cross_above", 106.0), ("cross_below", 103.0))
 
 
