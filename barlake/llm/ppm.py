@@ -33,7 +33,7 @@ from barlake.llm.common import id_text_bucket, stored, sub_batches, texts_of
 ORDER, KEPT, FREQUENT, FOLDS = 5, 1 << 22, 1 << 20, 10
 WORD, STRING = 1, 0
 END_HASH = -1
-CACHED_WORDS, HELD_WORDS, HELD_STRINGS, SLICE = 600_000, 500_000, 4_000_000, 1 << 21
+CACHED_WORDS, HELD_WORDS, HELD_STRINGS, SLICE = 200_000, 200_000, 2_000_000, 1 << 21
 SLOT_BITS = 20
 PAD = b"\n" * ORDER
 
