@@ -31,12 +31,6 @@ def triggered(direction: Column, previous: Column, current: Column, threshold: C
     return F.coalesce(fires, F.lit(False))
 
 
-def condition_holds(direction: Column, current: Column, threshold: Column) -> Column:
-    """The side of the threshold the observation is on (what an edge rule remembers)."""
-    rising = direction.isin("above", "cross_above")
-    return F.when(rising, current >= threshold).otherwise(current <= threshold)
-
-
 def valid_direction(direction: Column) -> Column:
     """Pass a known direction through; an unknown one fails the job."""
     message = F.concat(F.lit("No such direction of a rule: "), F.coalesce(direction, F.lit("NULL")))

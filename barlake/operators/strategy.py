@@ -237,8 +237,14 @@ def strategy_metrics(bars: DataFrame) -> DataFrame:
 
 
 def evaluate_strategies(gold: DataFrame, strategies: DataFrame, chunk_bars: int = CHUNK_BARS) -> DataFrame:
-    """Metrics per series and strategy; only series, time and close are read from ``gold``."""
-    narrow = gold.select(*SERIES, "open_time", "close")
+    """Metrics per series and strategy; only series, time and close are read from ``gold``.
+
+    Raises if there are no bars, or if a strategy id occurs twice for a symbol and interval.
+    """
+    narrow = require_bars(gold.select(*SERIES, "open_time", "close"))
+    twice = strategies.groupBy("symbol", "interval", "strategy_id").agg(F.count("*").alias("_n")).where("_n > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"Strategy ids occur more than once: {[tuple(row)[:3] for row in twice]}")
     return strategy_metrics(strategy_bars(narrow, strategies, chunk_bars))
 
 

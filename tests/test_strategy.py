@@ -7,7 +7,6 @@ import pytest
 from barlake.operators.strategy import (
     crossing_strategies,
     evaluate_strategies,
-    require_bars,
     strategy_bars,
     strategy_metrics,
 )
@@ -94,8 +93,12 @@ def test_chunks_chain_like_a_loop(spark):
 
 
 def test_no_bars_is_an_error(spark):
-    with pytest.raises(ValueError):
-        require_bars(bar_frame(spark, [1.0]).limit(0))
+    bars = bar_frame(spark, [1.0])
+    table = spark.createDataFrame([("s", "AAA", "1m", "above", 1.0, "below", 1.0, 1.0, 0.0)], STRATEGY)
+    with pytest.raises(ValueError, match="no bars"):
+        evaluate_strategies(bars.limit(0), table)
+    with pytest.raises(ValueError, match="more than once"):
+        evaluate_strategies(bars, table.unionByName(table))
 
 
 def test_flat_series_has_zero_sharpe(spark):
