@@ -21,7 +21,10 @@ from barlake.operators.quality import daily_completeness, window_report  # noqa:
 from barlake.operators.reports import recent_bars, volatility_screen  # noqa: E402
 from barlake.operators.rules import rule_table, threshold_alerts  # noqa: E402
 from barlake.operators.strategy import crossing_strategies, evaluate_strategies  # noqa: E402
-from barlake.session import stored  # noqa: E402
+from barlake.plans.loads import run_backfill, run_incremental  # noqa: E402
+from barlake.plans.steps import Lake  # noqa: E402
+from barlake.session import scratch_dir, stored  # noqa: E402
+from barlake.sources.layers import DAY_LAYOUT  # noqa: E402
 from registry import tables as t  # noqa: E402
 
 INTERVAL = "5m"
@@ -41,11 +44,19 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}
+    shuffled: dict[str, float] = {}
+
+    def written() -> float:
+        """MB of shuffle files that the local executor has written so far."""
+        return spark.sparkContext._jsc.sc().statusStore().executorList(False).head().totalShuffleWrite() / 1e6
+
+    def measured(name, action):
+        started, before = time.time(), written()
+        action()
+        seconds[name], shuffled[name] = round(time.time() - started, 3), round(written() - before, 1)
 
     def timed(name, frame):
-        started = time.time()
-        frame().write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.time() - started, 3)
+        measured(name, lambda: frame().write.format("noop").mode("overwrite").save())
 
     bronze = stored(t.raw_klines(spark, sf_dir, t.BY_USER, INTERVAL), "bench")
     timed("clean_bars", lambda: clean_bars(bronze))
@@ -60,6 +71,12 @@ def main() -> None:
     timed("recent_bars", lambda: recent_bars(silver))
     gold = stored(feature_frame(t.bars(spark, sf_dir, t.BY_USER, INTERVAL)), "bench")
     timed("volatility_screen", lambda: volatility_screen(gold, INTERVAL))
+    # Loads take hourly bars of all users: a backfill of three weeks, then what follows its marks.
+    landed = stored(t.raw_klines(spark, sf_dir, t.BY_USER), "bench")
+    lake = Lake(scratch_dir(spark, "bench"), DAY_LAYOUT)
+    start, cut, end = (f"2024-{day}T00:00:00+00:00" for day in ("01-01", "01-22", "02-01"))
+    measured("backfill", lambda: run_backfill(spark, lake, landed, start, cut).collect())
+    measured("incremental", lambda: run_incremental(spark, lake, landed, end, lookback_minutes=14_400).collect())
     bars = silver.count()
     spark.stop()
     print(
@@ -69,6 +86,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "shuffle_mb": shuffled,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
                 "silver_bars": bars,
             }
