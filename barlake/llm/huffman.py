@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from barlake.llm.common import published, scratch_dir, sub_batches, texts_of
+from barlake.llm.common import bounded, published, scratch_dir, sub_batches, texts_of
 from barlake.llm.tokens import word_encoder
 
 MAGIC = b"BLHUF\x01\r\n"
@@ -194,6 +194,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start")
     )
+    parts = F.broadcast(parts) if bounded(parts) else parts
     _write(blocks.join(parts, "part"), f"{folder}/data", lengths).write.parquet(f"{folder}/index")
 
 
