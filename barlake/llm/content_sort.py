@@ -60,13 +60,14 @@ def equal_texts(docs: DataFrame, slots: int = HOT_SLOTS) -> DataFrame:
         ),
         "sort-runs",
     )
-    best = F.struct(F.col("_lead_n").alias("n"), F.col("_lead").isNotNull().alias("known"), (-F.col("_lead")).alias("id"), (-F.col("_salt")).alias("salt"))
+    # The complement orders the other way round and cannot overflow.
+    best = F.struct(F.col("_lead_n").alias("n"), F.col("_lead").isNotNull().alias("known"), F.bitwise_not("_lead").alias("id"), F.bitwise_not("_salt").alias("salt"))
     merged = (
         runs.where(F.col("_text").isNotNull())
         .groupBy("_text")
         .agg(F.first("text_sha256").alias("text_sha256"), F.max(best).alias("_best"), F.sum("_size").alias("_all"))
         .select(
-            "text_sha256", (-F.col("_best.id")).alias("_keep"), (-F.col("_best.salt")).alias("_keep_salt"), "_all"
+            "text_sha256", F.bitwise_not("_best.id").alias("_keep"), F.bitwise_not("_best.salt").alias("_keep_salt"), "_all"
         )
     )
     whole = F.col("_all").isNull()
