@@ -39,7 +39,7 @@ SHINGLE, PERCENT = 3, 90
 VERIFY_COST, BAND_RATIO = 20.0, 1.5
 SKETCH_BITS, SKETCH_LONGS = 512, 8
 CACHED_WORDS, DENSE_STAR, ALWAYS_SHUFFLE = 300_000, 64, 1 << 62
-COMPARED = "a bigint, b bigint, n_a bigint, n_b bigint, linked boolean, differ array<bigint>"
+COMPARED = "a bigint, b bigint, n_a bigint, n_b bigint, linked boolean, added bigint, differ array<bigint>"
 SETS = "doc_id bigint, node bigint, n bigint, light array<bigint>, side array<int>, heavy array<bigint>, sketch array<bigint>"
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -258,8 +258,8 @@ def cross_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with both sizes and whether their whole sets link.
 
-    Where ``a`` has at least ``DENSE_STAR`` pairs, ``differ`` lists the shingles in which the two sets differ. Only texts of
-    documents that occur in pairs are read again.
+    Where ``a`` has at least ``DENSE_STAR`` pairs, ``differ`` lists the shingles in which the two sets differ: first those that
+    ``b`` adds, then those that it lacks. Only texts of documents that occur in pairs are read again.
     """
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,14 +277,14 @@ def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int)
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 same = both[1:] == both[:-1]
-                differ = None
+                added = differ = None
                 if star >= DENSE_STAR:
-                    alone = ~(np.append(same, False) | np.append(False, same))
-                    differ = both[alone].view(np.int64)
-                rows.append((len(x), len(y), int(same.sum()) >= least_overlap(len(x), len(y), percent), differ))
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()))
+                    more, less = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+                    added, differ = len(more), np.concatenate([more, less]).view(np.int64)
+                rows.append((len(x), len(y), int(same.sum()) >= least_overlap(len(x), len(y), percent), added, differ))
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64()))
             columns = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["a", "b", "n_a", "n_b", "linked", "differ"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["a", "b", "n_a", "n_b", "linked", "added", "differ"])
 
     pairs = stored(pairs, "jaccard-pairs")
     wanted = stored(
@@ -315,31 +315,37 @@ def dense_links(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
     Two members differ in what only one of their differences holds, so sizes of the differences and what they share decide.
     Of two members in different groups at least one does not link with the leader; then their differences must share
-    shingles, and more the larger they are. So both have a shared shingle among their rarest ones: with ``d`` differences,
-    the first min(d, most + 1) where ``most`` linked sets can differ in, and less than the larger half if the member links.
+    shingles, and more the larger they are. So both have a shared shingle among the first of any common order: with ``d``
+    differences, the first min(d, most + 1) where ``most`` linked sets can differ in, and less than the larger half if the member
+    links. Additions come first, which few members share; what members lack follows by its frequency.
     """
+    most = F.floor((F.col("n_b") + F.floor(F.col("n_b") * 100 / percent)) * (100 - percent) / (100 + percent))
+    d = F.size("differ").cast("bigint")
+    reach = F.when(F.col("linked"), d - F.floor(d * percent / (100 + percent))).otherwise(F.least(d, most + 1))
     members = pairs.where("differ IS NOT NULL").join(groups.select(F.col("node").alias("b"), "group"), "b", "left").select(
-        "a", "b", F.coalesce("group", "b").alias("group"), F.col("n_b").alias("n"), "linked", "differ", F.size("differ").cast("bigint").alias("d")
+        "a", "b", F.coalesce("group", "b").alias("group"), F.col("n_b").alias("n"), "differ", "added", d.alias("d"), reach.alias("reach")
     )
     members = stored(members, "jaccard-members")
-    shingles = members.select("a", "b", "linked", "n", "d", F.explode("differ").alias("shingle"))
-    shingles = stored(shingles.withColumn("key", F.xxhash64("a", "shingle")), "jaccard-differences")
-    frequency = shingles.groupBy("key").agg(F.count("*").alias("rows"))
-    ranked = join_hot(shingles, frequency, "key", "rows", shingles.count(), ["b"], counted=ALWAYS_SHUFFLE).withColumn(
-        "at", F.row_number().over(Window.partitionBy("a", "b").orderBy("rows", "shingle"))
-    )
-    most = F.floor((F.col("n") + F.floor(F.col("n") * 100 / percent)) * (100 - percent) / (100 + percent))
-    reach = F.when(F.col("linked"), F.col("d") - F.floor(F.col("d") * percent / (100 + percent))).otherwise(F.least("d", most + 1))
-    prefix = stored(ranked.where((F.col("at") <= reach) & (F.col("rows") > 1)).select("key", "a", "b"), "jaccard-prefix")
-    full = prefix.join(members, ["a", "b"])
-    one = full.select("key", "a", *[F.col(c).alias(f"{c}_1") for c in ("b", "group", "n", "d", "differ")])
-    two = full.select("key", "a", *[F.col(c).alias(f"{c}_2") for c in ("b", "group", "n", "d", "differ")])
+    early = F.slice("differ", 1, F.least("reach", "added").cast("int"))
+    lacking = F.slice("differ", F.col("added").cast("int") + 1, F.greatest(F.col("d") - F.col("added"), F.lit(0)).cast("int"))
+    first = members.select("a", "b", F.explode(early).alias("shingle"))
+    later = members.where("reach > added").select("a", "b", (F.col("reach") - F.col("added")).alias("left"), F.explode(lacking).alias("shingle"))
+    later = stored(later.withColumn("key", F.xxhash64("a", "shingle")), "jaccard-lacking")
+    common = later.groupBy("key").agg(F.count("*").alias("rows"))
+    by_rarity = Window.partitionBy("a", "b").orderBy("rows", "shingle")
+    ranked = join_hot(later, common, "key", "rows", later.count(), ["b"], counted=ALWAYS_SHUFFLE).withColumn("at", F.row_number().over(by_rarity))
+    prefix = first.select(F.xxhash64("a", "shingle").alias("key"), "a", "b").unionByName(ranked.where("at <= left").select("key", "a", "b"))
+    prefix = stored(prefix.join(members.select("a", "b", "group", "n", "d"), ["a", "b"]), "jaccard-prefix")
+    one = prefix.select("key", "a", *[F.col(c).alias(f"{c}_1") for c in ("b", "group", "n", "d")])
+    two = prefix.select("key", "a", *[F.col(c).alias(f"{c}_2") for c in ("b", "group", "n", "d")])
     both = F.col("n_1") + F.col("n_2")
     close = F.abs(F.col("d_1") - F.col("d_2")) * (100 + percent) <= both * (100 - percent)
     apart = F.col("d_1") + F.col("d_2") - 2 * F.size(F.array_intersect("differ_1", "differ_2"))
-    links = one.join(two, ["key", "a"]).where(
-        (F.col("b_1") < F.col("b_2")) & (F.col("group_1") != F.col("group_2")) & close & (apart * (100 + percent) <= both * (100 - percent))
-    )
+    met = one.join(two, ["key", "a"]).where((F.col("b_1") < F.col("b_2")) & (F.col("group_1") != F.col("group_2")) & close)
+    met = met.select("a", "b_1", "b_2", "n_1", "n_2", "d_1", "d_2").distinct()
+    for side in (1, 2):
+        met = met.join(members.select("a", F.col("b").alias(f"b_{side}"), F.col("differ").alias(f"differ_{side}")), ["a", f"b_{side}"])
+    links = met.where(apart * (100 + percent) <= both * (100 - percent))
     return stored(links.select(F.col("b_1").alias("a"), F.col("b_2").alias("b")).distinct(), "jaccard-dense")
 
 
