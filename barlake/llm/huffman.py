@@ -149,7 +149,7 @@ def document_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block
             block, in_part, held, ids, size = block + 1, in_part + size, [], [], 0
             return batch
 
-        for batch in sub_batches(batches):
+        for batch in sub_batches(batches, 32):
             for doc_id, own in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
                 count = len(own) // 2 + 1
                 if held and size + count > block_ids:

@@ -47,7 +47,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID, limit:
         encoder = word_encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         task, counter = TaskContext.get().partitionId(), 0
-        for batch in sub_batches(batches):
+        for batch in sub_batches(batches, 32):
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
                 ids += end
