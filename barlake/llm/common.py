@@ -57,6 +57,9 @@ def join_hot(
     values = [c for c in small.columns if c != key]
     heavy = F.col(rows) > F.lit(total / slots)
     hot = small.where(heavy).select(key, *[F.col(c).alias(f"_hot_{c}") for c in values])
+    # A row without a key, which nothing meets, keeps the plan the same whether or not there are hot keys.
+    nobody = [F.lit(None).cast(field.dataType).alias(field.name) for field in hot.schema.fields]
+    hot = hot.unionByName(large.sparkSession.range(1).select(*nobody))
     cold = small.where(~heavy).withColumn("_spread", F.lit(0).cast("bigint"))
     met = F.col(f"_hot_{rows}").isNotNull() | F.col(key).isNull()
     joined = (
