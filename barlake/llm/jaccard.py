@@ -163,11 +163,11 @@ def light_keys(shingles: np.ndarray, plan: Plan) -> tuple[list[int], list[int]]:
     return keys, side
 
 
-def document_sets(docs: DataFrame, plan: Plan) -> DataFrame:
+def document_sets(docs: DataFrame, plan: Plan, width: int = SHINGLE) -> DataFrame:
     """Size, node and keys of every document; the node is a digest of the set, null if it is empty."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingled = ShingleSets()
+        shingled = ShingleSets(width)
         for batch in sub_batches(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -255,7 +255,7 @@ def cross_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, width: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) with both sizes and whether their whole sets link.
 
     Where ``a`` has at least ``DENSE_STAR`` pairs, ``differ`` lists the shingles in which the two sets differ: first those that
@@ -263,7 +263,7 @@ def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int)
     """
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingled = ShingleSets()
+        shingled = ShingleSets(width)
         for batch in sub_batches(batches):
             found = [shingled(text) for text in batch.column(0).to_pylist()]
             digests = _signed([xxhash.xxh3_64_intdigest(s.tobytes()) for s in found])
@@ -392,11 +392,11 @@ def _mixed_lists(lists: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def linked_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def linked_groups(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable over links, of every row."""
     rows = texts_of(docs)
     plan = Plan(percent)
-    sets = stored(document_sets(rows, plan), "jaccard-docs")
+    sets = stored(document_sets(rows, plan, width), "jaccard-docs")
     nodes = stored(
         sets.where("node IS NOT NULL").groupBy("node").agg(
             F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.max("n").alias("n"), F.first("sketch").alias("sketch")
@@ -404,13 +404,13 @@ def linked_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "jaccard-nodes",
     )
     lists = starred(shared_lists(sets))
-    pairs = compared(lists.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), rows, nodes, percent)
+    pairs = compared(lists.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), rows, nodes, percent, width)
     links = light_links(sets).unionByName(pairs.where("linked").select("a", "b"))
     groups = stored(connected(links), "jaccard-groups")
     mixed_lists = _mixed_lists(lists, groups)
     if not mixed_lists.isEmpty():
         dense = stored(pairs.where("differ IS NOT NULL").select(F.col("a").alias("leader")).distinct(), "jaccard-stars")
-        few = compared(cross_pairs(mixed_lists.join(dense, "leader", "left_anti"), nodes, percent), rows, nodes, percent)
+        few = compared(cross_pairs(mixed_lists.join(dense, "leader", "left_anti"), nodes, percent), rows, nodes, percent, width)
         links = links.unionByName(few.where("linked").select("a", "b")).unionByName(dense_links(pairs, groups, percent))
         groups = stored(connected(links), "jaccard-groups")
     named = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
@@ -424,10 +424,10 @@ def linked_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def one_of_each_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each_group(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` that name their group, with all columns; rows without an id stay."""
     gone = stored(
-        linked_groups(docs, percent).where("doc_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("_gone")).distinct(),
+        linked_groups(docs, percent, width).where("doc_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("_gone")).distinct(),
         "jaccard-gone",
     )
     return docs.join(F.broadcast(gone) if bounded(gone) else gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")

@@ -10,6 +10,9 @@ from barlake.llm import content_sort, jaccard, pack, toxicity
 from barlake.llm.common import named_table, stored
 from barlake.llm.queries import WORD_TOKENIZER
 
+#: Near-duplicates share this percentage of their shingles of so many words; op6 has stricter figures of its own.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -25,7 +28,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of near-duplicates connect."""
-    return jaccard.one_of_each_group(docs)
+    return jaccard.one_of_each_group(docs, NEAR_PERCENT, NEAR_WIDTH)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
