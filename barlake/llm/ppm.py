@@ -1,15 +1,18 @@
 """Language-model scores by prediction by partial matching over bytes.
 
-A text is its words, A-Z lower-cased, joined by single spaces and closed by a line feed. A first pass over the training
-documents counts word hashes and byte strings of ``ORDER + 1`` bytes; Spark sums both, and shorter strings follow from
-longer ones. The trie keeps every string with at least ``1 / KEPT`` of all training bytes, which bounds it to ``KEPT``
-strings of each length whatever the input.
+A text is its words, A-Z lower-cased, joined by single spaces and closed by a line feed. A first pass counts word hashes of
+the training documents and byte strings of ``ORDER + 1`` bytes of all documents, in training and in all; Spark sums both, and
+shorter strings follow from longer ones. Nothing is pruned.
 
 A byte is coded in its longest known context: seen there, with probability (count - 1/2) / total; otherwise an escape,
 which has half a count of each kept symbol and all counts of the others, leads to the context shortened by a byte, where
-the symbols of the longer context are excluded. All
-that follows one context is known when the trie is built, so a worker looks up whole arrays of byte positions, and keeps
-the results of frequent strings in a table.
+the symbols of the longer context are excluded. Each distinct
+string is scored once: strings are dealt by the last ``SHARED`` bytes of their context, so a task holds all that is known of
+its longer contexts, and the levels up to ``SHARED`` bytes, at most 2 ** 24 strings, are broadcast.
+
+Scores of strings with more than ``1 / KEPT`` of all bytes, fewer than ``KEPT``, go to the workers, which look up whole arrays
+of byte positions and keep the results of frequent strings in a table; the rest is joined by shuffle, where by construction
+none is hot.
 
 The base score needs the exact count of every word. Words with at least ``1 / FREQUENT`` of all tokens, at most
 ``FREQUENT`` of them, go to the workers; the rest is joined by shuffle, where by construction none is hot.
@@ -36,6 +39,7 @@ END_HASH = -1
 CACHED_WORDS, HELD_WORDS, HELD_STRINGS, SLICE = 200_000, 200_000, 2_000_000, 1 << 21
 SLOT_BITS = 20
 PAD = b"\n" * ORDER
+SHARED, GROUPED = 2, 1 << 19
 
 
 class WordHashes(dict):
@@ -94,54 +98,72 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
-    """kind, key and n: occurrences of every word hash and every byte string of the training rows."""
+    """kind, key, n and m: occurrences of every word hash in the training rows, and of every byte string in them and in all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, words, keys, counts, held = WordHashes(), {}, [], [], 0
+        hashes, words, held = WordHashes(), {}, 0
+        keys: tuple[list, list] = ([], [])  # training rows, held-out rows
+        counts: tuple[list, list] = ([], [])
 
-        def rows(kind: int, key, n) -> pa.RecordBatch:
+        def rows(kind: int, key, n, m) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), kind, np.int8)), pa.array(np.asarray(key, np.int64)), pa.array(np.asarray(n, np.int64))],
-                names=["kind", "key", "n"],
+                [pa.array(np.full(len(key), kind, np.int8)), *(pa.array(np.asarray(x, np.int64)) for x in (key, n, m))],
+                names=["kind", "key", "n", "m"],
             )
 
+        def string_rows(out: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return rows(STRING, key, np.zeros(len(n), np.int64) if out else n, n)
+
         for batch in sub_batches(batches):
             split = [text.encode().lower().split() for text in batch.column(0).to_pylist()]
-            values = np.fromiter((hashes[w] for ws in split for w in ws), np.int64)
+            held_out = batch.column(1).to_pylist()
+            learnt = [ws for ws, out in zip(split, held_out, strict=True) if not out]
+            values = np.fromiter((hashes[w] for ws in learnt for w in ws), np.int64)
             for value, n in zip(*(x.tolist() for x in np.unique(values, return_counts=True)), strict=True):
                 words[value] = words.get(value, 0) + n
-            words[END_HASH] = words.get(END_HASH, 0) + len(split)
-            for _, strings in byte_strings([b" ".join(ws) + b"\n" for ws in split]):
-                unique, n = np.unique(strings, return_counts=True)
-                keys.append(unique)
-                counts.append(n)
-                held += len(unique)
+            if learnt:
+                words[END_HASH] = words.get(END_HASH, 0) + len(learnt)
+            for out, part in ((0, learnt), (1, [ws for ws, out in zip(split, held_out, strict=True) if out])):
+                for _, strings in byte_strings([b" ".join(ws) + b"\n" for ws in part]):
+                    unique, n = np.unique(strings, return_counts=True)
+                    keys[out].append(unique)
+                    counts[out].append(n)
+                    held += len(unique)
             if held > HELD_STRINGS:
-                merged = _summed(keys, counts)
-                keys, counts, held = [merged[0]], [merged[1]], len(merged[0])
+                held = 0
+                for out in (0, 1):
+                    if keys[out]:
+                        merged = _summed(keys[out], counts[out])
+                        keys[out][:], counts[out][:] = [merged[0]], [merged[1]]
+                        held += len(merged[0])
                 if held > HELD_STRINGS // 2:
-                    yield rows(STRING, *merged)
-                    keys, counts, held = [], [], 0
+                    for out in (0, 1):
+                        if keys[out]:
+                            yield string_rows(out, keys[out].pop(), counts[out].pop())
+                    held = 0
             if len(words) > HELD_WORDS:
-                yield rows(WORD, list(words), list(words.values()))
+                yield rows(WORD, list(words), list(words.values()), list(words.values()))
                 words = {}
         if words:
-            yield rows(WORD, list(words), list(words.values()))
-        if keys:
-            yield rows(STRING, *_summed(keys, counts))
+            yield rows(WORD, list(words), list(words.values()), list(words.values()))
+        for out in (0, 1):
+            if keys[out]:
+                yield string_rows(out, *_summed(keys[out], counts[out]))
 
-    return docs.select("text").mapInArrow(count, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    found = docs.select("text", "held_out").mapInArrow(count, "kind tinyint, key bigint, n bigint, m bigint")
+    return found.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
 class Trie:
     """Contexts of 0 to ``ORDER`` bytes with the symbols that follow them, as sorted arrays per order.
 
-    ``total`` counts every occurrence of a context, also those followed by symbols that were too rare to keep.
+    ``total`` counts every occurrence of a context, also those followed by symbols that were not given. ``base`` has the
+    levels that precede those of ``strings``.
     """
 
-    def __init__(self, strings: list[tuple[np.ndarray, np.ndarray]]):
-        self.orders: list[dict[str, np.ndarray]] = []
-        for order, (keys, counts) in enumerate(strings):
+    def __init__(self, strings: list[tuple[np.ndarray, np.ndarray]], base: Trie | None = None):
+        self.orders: list[dict[str, np.ndarray]] = list(base.orders) if base else []
+        for order, (keys, counts) in enumerate(strings, len(self.orders)):
             sort = np.argsort(keys)
             keys, counts = keys[sort].astype(np.uint64), counts[sort].astype(np.float64)
             contexts, first, owner = np.unique(keys >> np.uint64(8), return_index=True, return_inverse=True)
@@ -208,10 +230,10 @@ class Trie:
 
 
 class CachedScores:
-    """Scores of byte strings, with a table of those met last."""
+    """Scores of the byte strings in a sorted table (NaN for others), with a table of those met last."""
 
-    def __init__(self, trie: Trie):
-        self.trie = trie
+    def __init__(self, known: np.ndarray, scores: np.ndarray):
+        self.known, self.scores = known, scores
         self.keys = np.full(1 << SLOT_BITS, np.uint64(2**64 - 1))
         self.values = np.zeros(1 << SLOT_BITS)
 
@@ -220,44 +242,87 @@ class CachedScores:
         out = self.values[slots]
         missed = np.flatnonzero(self.keys[slots] != strings)
         if len(missed):
-            fresh = self.trie.log10(strings[missed])
+            wanted = strings[missed]
+            if len(self.known):
+                at = np.minimum(np.searchsorted(self.known, wanted), len(self.known) - 1)
+                fresh = np.where(self.known[at] == wanted, self.scores[at], np.nan)
+            else:
+                fresh = np.full(len(wanted), np.nan)
             out[missed] = fresh
-            self.keys[slots[missed]] = strings[missed]
+            self.keys[slots[missed]] = wanted
             # Of strings that share a slot the last one stays, in both arrays.
             self.values[slots[missed]] = fresh
         return out
 
 
-def build_trie(counts: DataFrame, kept: int = KEPT) -> Trie:
-    """The trie of the strings with at least 1 / ``kept`` of all bytes; at most ``kept`` of each length reach the driver."""
-    strings = counts.where(F.col("kind") == STRING)
-    total = strings.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shorter = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("order"), F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")) for k in range(ORDER + 1)
-    ])).alias("s")
-    table = (
-        strings.select(shorter, "n").groupBy("s.order", "s.key").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= F.lit(max(1.0, total / kept))).toArrow()
-    )
-    order, keys, n = (table.column(i).to_numpy() for i in range(3))
-    return Trie([(keys[order == k], n[order == k]) for k in range(ORDER + 1)])
+def _shortened(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    return _summed([keys & np.uint64((1 << 8 * (order + 1)) - 1)], [counts])
+
 
+def shared_levels(counts: DataFrame) -> Trie:
+    """The levels of contexts up to ``SHARED`` bytes; at most 2 ** 24 strings reach the driver."""
+    short = F.col("key").bitwiseAND(F.lit((1 << 8 * (SHARED + 1)) - 1)).alias("key")
+    table = counts.where((F.col("kind") == STRING) & (F.col("n") > 0)).groupBy(short).agg(F.sum("n").alias("n")).toArrow()
+    keys, n = table.column(0).to_numpy().astype(np.uint64), table.column(1).to_numpy()
+    return Trie([_shortened(keys, n, order) for order in range(SHARED + 1)])
 
-def score_documents(docs: DataFrame, folds: int = FOLDS, frequent: int = FREQUENT) -> DataFrame:
+
+def string_scores(counts: DataFrame) -> DataFrame:
+    """key, m and score (log10 probability of the last byte) of every distinct string of the documents."""
+    base = counts.sparkSession.sparkContext.broadcast(shared_levels(counts))
+    group = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (SHARED + 1)) - 1))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def scored(keys: np.ndarray, n: np.ndarray, m: np.ndarray) -> Iterator[pa.RecordBatch]:
+            learnt = n > 0
+            trie = Trie([_shortened(keys[learnt], n[learnt], order) for order in range(SHARED + 1, ORDER + 1)], base.value)
+            scores = trie.log10(keys)
+            for at in range(0, len(keys), 10_000):
+                part = slice(at, at + 10_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[part].astype(np.int64)), pa.array(m[part]), pa.array(scores[part])], names=["key", "m", "score"]
+                )
+
+        held, rows, enough = [], 0, GROUPED
+        for batch in batches:
+            held.append(tuple(batch.column(i).to_numpy() for i in range(3)))
+            rows += batch.num_rows
+            if rows < enough:
+                continue
+            keys, n, m = (np.concatenate(c) for c in zip(*held, strict=True))
+            # Whole groups only: the last one may go on.
+            groups = keys >> 8 & (1 << 8 * (SHARED + 1)) - 1
+            cut = int(np.searchsorted(groups, groups[-1]))
+            if cut:
+                yield from scored(keys[:cut].astype(np.uint64), n[:cut], m[:cut])
+            held, rows = [(keys[cut:], n[cut:], m[cut:])], len(keys) - cut
+            enough = GROUPED + rows
+        if rows:
+            keys, n, m = (np.concatenate(c) for c in zip(*held, strict=True))
+            yield from scored(keys.astype(np.uint64), n, m)
+
+    strings = counts.where(F.col("kind") == STRING).select("key", "n", "m")
+    dealt = strings.withColumn("_group", group).repartition("_group").sortWithinPartitions("_group").drop("_group")
+    return dealt.mapInArrow(score, "key bigint, m bigint, score double")
+
+
+def score_documents(docs: DataFrame, folds: int = FOLDS, frequent: int = FREQUENT, kept: int = KEPT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     rows = texts_of(docs).withColumn("held_out", id_text_bucket(F.col("doc_id"), folds) == 0)
-    counts = stored(corpus_counts(rows.where("NOT held_out")), "ppm-counts")
-    trie = build_trie(counts)
+    counts = stored(corpus_counts(rows), "ppm-counts")
+    strings = stored(string_scores(counts), "ppm-strings")
+    often = F.col("m") > F.lit((strings.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]) / kept)
+    common = strings.where(often).select("key", "score").toArrow().sort_by("key")
     words = counts.where(F.col("kind") == WORD)
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     divisor = tokens + 0.1 * (kinds + 1)
     table = words.where(F.col("n") >= F.lit(max(1.0, tokens / frequent))).select("key", "n").toArrow().sort_by("key")
-    model = spark.sparkContext.broadcast((trie, table.column(0).to_numpy(), table.column(1).to_numpy()))
+    model = spark.sparkContext.broadcast((common.column(0).to_numpy().astype(np.uint64), common.column(1).to_numpy(), table.column(0).to_numpy(), table.column(1).to_numpy()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, known, known_counts = model.value
-        cached, hashes = CachedScores(trie), WordHashes()
+        strings_known, string_logs, known, known_counts = model.value
+        cached, hashes = CachedScores(strings_known, string_logs), WordHashes()
         row, task = 0, TaskContext.get().partitionId()
         logs = np.log10((known_counts + 0.1) / divisor)
         for batch in sub_batches(batches):
@@ -272,25 +337,31 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, frequent: int = FREQUEN
             else:
                 found, base = np.zeros(len(values), bool), np.zeros(len(split))
             seen = np.bincount(owner[found], minlength=len(split))
-            total = np.zeros(len(split))
+            total, rare, rare_owner = np.zeros(len(split)), [], []
             for own, strings in byte_strings([b" ".join(ws) + b"\n" for ws in split]):
-                total += np.bincount(own, cached(strings), len(split))
+                scores = cached(strings)
+                missed = np.isnan(scores)
+                total += np.bincount(own[~missed], scores[~missed], len(split))
+                rare.append(strings[missed].astype(np.int64))
+                rare_owner.append(own[missed])
             rest, rest_owner = values[~found], owner[~found]
             edges = np.searchsorted(rest_owner, np.arange(len(split) + 1)).astype(np.int32)
+            string_edges = np.searchsorted(np.concatenate(rare_owner), np.arange(len(split) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + len(split)) + (task << 35)), batch.column(0), batch.column(2),
                     pa.array(lengths.astype(np.int64)), pa.array(seen.astype(np.int64)), pa.array(base), pa.array(total),
                     pa.ListArray.from_arrays(pa.array(edges), pa.array(rest)),
+                    pa.ListArray.from_arrays(pa.array(string_edges), pa.array(np.concatenate(rare))),
                 ],
-                names=["_row", "doc_id", "held_out", "n_tokens", "_seen", "_base", "score", "_rest"],
+                names=["_row", "doc_id", "held_out", "n_tokens", "_seen", "_base", "_score", "_rest", "_rare"],
             )
             row += len(split)
 
     scored = stored(
         rows.mapInArrow(
             score,
-            "_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, _seen bigint, _base double, score double, _rest array<bigint>",
+            "_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, _seen bigint, _base double, _score double, _rest array<bigint>, _rare array<bigint>",
         ),
         "ppm-scores",
     )
@@ -302,7 +373,12 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, frequent: int = FREQUEN
             F.sum(F.log10((n + 0.1) / F.lit(divisor))).alias("_more"), F.sum((n > 0).cast("bigint")).alias("_more_seen")
         )
     )
-    return scored.drop("_rest").join(rest, "_row", "left").select(
+    rare_strings = (
+        scored.select("_row", F.explode("_rare").alias("key")).join(strings.where(~often).select("key", "score"), "key")
+        .groupBy("_row").agg(F.sum("score").alias("_more_score"))
+    )
+    return scored.drop("_rest", "_rare").join(rest, "_row", "left").join(rare_strings, "_row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("_seen") + F.coalesce("_more_seen", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("bigint").alias("train_tokens"), (F.col("_base") + F.coalesce("_more", F.lit(0.0))).alias("base_score"), "score",
+        F.lit(tokens).cast("bigint").alias("train_tokens"), (F.col("_base") + F.coalesce("_more", F.lit(0.0))).alias("base_score"),
+        (F.col("_score") + F.coalesce("_more_score", F.lit(0.0))).alias("score"),
     )

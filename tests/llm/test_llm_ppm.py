@@ -72,3 +72,20 @@ def test_awkward_rows(spark):
     held = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
     only = ppm.score_documents(spark.createDataFrame([(held, "ab c")], "doc_id bigint, text string")).first()
     assert only.base_score == 0 and abs(only.score + 5 * math.log10(256)) < 1e-9 and only.n_known == 0
+
+
+def test_rare_contexts_count_in_a_large_corpus(spark):
+    filler = " ".join(words(1, 300, 90)) + " "
+    rare = ["zyxwvu qponml kjihgf", "abcde fghij zyxwvu qponmm"]
+    rows = [(i, filler * 60) for i in range(100)] + [(1000 + i, t) for i, t in enumerate(rare * 6)]
+    assert sum(len(t) for _, t in rows) > ppm.KEPT
+    learnt = [t for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    strings = np.concatenate([s for _, s in ppm.byte_strings([" ".join(t.split()).encode() + b"\n" for t in learnt])])
+    trie = ppm.Trie([np.unique(strings & np.uint64((1 << 8 * (k + 1)) - 1), return_counts=True) for k in range(ppm.ORDER + 1)])
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for kept in (ppm.KEPT, 40):
+        got = {r.doc_id: r.score for r in ppm.score_documents(frame, kept=kept).where("doc_id < 3 OR doc_id >= 1000").collect()}
+        for i, text in rows:
+            if i in got:
+                want = sum(trie.log10(s).sum() for _, s in ppm.byte_strings([" ".join(text.split()).encode() + b"\n"]))
+                assert abs(got[i] - want) < 1e-6 * abs(want), (kept, i)
