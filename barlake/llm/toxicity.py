@@ -1,9 +1,10 @@
 """Toxicity scores of texts whose words may be disguised.
 
 A token that is not a plain word becomes a lattice: each run of one character offers the letters it may stand for (digits
-and signs that look like letters, repeated letters once or twice) or nothing (separators), each at a cost. Viterbi decoding
-under a character trigram model picks the cheapest reading. Single letters that follow each other, spaced out, are decoded
-together, where a word may also end. The trigram counts cover all documents.
+and signs that look like letters, repeated letters once or twice), nothing or the end of a word (separators), each at a cost.
+Viterbi decoding under a character trigram model picks the cheapest reading. Single letters that follow each other, spaced
+out, with or without punctuation, are decoded together, where a word may end anywhere. Long inputs are decoded in parts that
+overlap. The trigram counts cover all documents.
 
 The restored words and their beginnings are the features of a logistic regression. It is fitted on at most ``TRAIN_DOCS``
 labelled rows, those with the smallest id hashes; rows whose crc32 of the id modulo ``FOLDS`` is 0 never take part. Only the
@@ -113,7 +114,7 @@ def _arcs(character: str, run: int) -> list[tuple[str, float]]:
         if run > 1:
             arcs.append((letter * 2, LOOKALIKE))
     drop = DROP_SEPARATOR if character in SEPARATORS else DROP_LOOKALIKE if arcs else DROP_OTHER
-    return [*arcs, ("", drop)]
+    return [*arcs, ("", drop)] if character.isdigit() else [*arcs, ("", drop), (" ", SPLIT)]
 
 
 def decode(token: str, costs: list[float], spaced: bool = False) -> list[str]:
@@ -130,6 +131,12 @@ def decode(token: str, costs: list[float], spaced: bool = False) -> list[str]:
             for first, second, spent, text in starts:
                 for letters, price in arcs:
                     x, y, total = first, second, spent + price
+                    if letters == " ":
+                        if second:
+                            total += costs[(x * SIZE + y) * SIZE]
+                            if (0, 0) not in reached or total < reached[0, 0][0]:
+                                reached[0, 0] = (total, text + letters)
+                        continue
                     for letter in letters:
                         code = CODES.get(letter, SIZE - 1)
                         total += costs[(x * SIZE + y) * SIZE + code]
@@ -138,11 +145,22 @@ def decode(token: str, costs: list[float], spaced: bool = False) -> list[str]:
                     if old is None or total < old[0]:
                         reached[x, y] = (total, text + letters)
         states = reached
-    best = min((cost + costs[(a * SIZE + b) * SIZE], path) for (a, b), (cost, path) in states.items())
+    # A word that a separator has ended is paid for.
+    best = min((cost if path and not b else cost + costs[(a * SIZE + b) * SIZE], path) for (a, b), (cost, path) in states.items())
     return best[1].split()
 
 
-LONGEST_TOKEN = 64
+LONGEST_TOKEN, STEP = 64, 32
+
+
+def decode_long(token: str, costs: list[float], spaced: bool = False) -> list[str]:
+    """The words of a token of any length, decoded in parts that overlap; words that a cut may have broken come from the other part."""
+    words: list[str] = []
+    for at in range(0, max(1, len(token) - STEP), STEP):
+        part = decode(token[at : at + LONGEST_TOKEN], costs, spaced)
+        first, last = int(at > 0), len(part) - int(at + LONGEST_TOKEN < len(token))
+        words += part[first:last] if first < last else part
+    return words
 
 
 def restored_words(token: str, costs: list[float]) -> list[str]:
@@ -153,22 +171,28 @@ def restored_words(token: str, costs: list[float]) -> list[str]:
     lead = token[: len(token) - len(token.lstrip(EDGES))]
     if doubtful or "!" in lead or "(" in lead or "|" in lead:
         if any(c.isalpha() for c in token):
-            tail = token.rstrip(EDGES)
-            for at in range(0, len(tail), LONGEST_TOKEN):
-                words += decode(tail[at : at + LONGEST_TOKEN], costs)
+            words += decode_long(token.rstrip(EDGES), costs)
     return words
 
 
-def spaced_runs(tokens: list[str], least: int = 4) -> Iterator[str]:
-    """Single characters that follow each other as tokens, joined; long runs in parts."""
+def spaced_letter(token: str) -> str | None:
+    """The letter or lookalike that a token is but for its punctuation, nothing for punctuation alone, null for any other."""
+    core = token if len(token) == 1 and token in LOOKALIKES else token.strip(EDGES)
+    return core if not core or len(core) == 1 and (core.isalpha() or core in LOOKALIKES) else None
+
+
+def spaced_runs(tokens: list[str], least: int = 3) -> Iterator[str]:
+    """Single characters that follow each other as tokens, joined; punctuation at or between them is left out."""
     run: list[str] = []
     for token in [*tokens, "  "]:
-        if len(token) == 1 and (token.isalpha() or token in LOOKALIKES) and len(run) < LONGEST_TOKEN:
-            run.append(token)
+        letter = spaced_letter(token)
+        if letter is not None:
+            run.append(letter)
             continue
-        if len(run) >= least and any(c.isalpha() for c in run):
-            yield "".join(run)
-        run = [token] if len(token) == 1 and (token.isalpha() or token in LOOKALIKES) else []
+        joined = "".join(run)
+        if len(joined) >= least and any(c.isalpha() for c in joined):
+            yield joined
+        run = []
 
 
 def word_features(words: Iterable[str]) -> list[str]:
@@ -184,7 +208,7 @@ class Features:
     """Features of texts. With an index, only those in it, as numbers."""
 
     def __init__(self, costs: list[float], index: dict[str, int] | None = None):
-        self.costs, self.index, self.cache = costs, index, {}
+        self.costs, self.index, self.cache, self.single = costs, index, {}, set()
 
     def _known(self, words: list[str]) -> tuple:
         features = word_features(words)
@@ -193,16 +217,18 @@ class Features:
     def __call__(self, text: str) -> set:
         tokens = text.lower().split()
         if len(self.cache) > CACHED_TOKENS:
-            self.cache = {}
+            self.cache, self.single = {}, set()
         cache, found = self.cache, set()
         for token in set(tokens):
             features = cache.get(token)
             if features is None:
                 features = cache[token] = self._known(restored_words(token, self.costs))
+                if spaced_letter(token):
+                    self.single.add(token)
             found.update(features)
-        if sum(map((1).__eq__, map(len, tokens))) >= 4:
+        if sum(map(self.single.__contains__, tokens)) >= 3:
             for run in spaced_runs(tokens):
-                found.update(self._known(decode(run, self.costs, spaced=True)))
+                found.update(self._known(decode_long(run, self.costs, spaced=True)))
         return found
 
 

@@ -56,3 +56,14 @@ def test_awkward_rows(spark):
     rows = tox.score_documents(edge_docs(spark), labels).collect()
     assert len(rows) == 13 and all(r.predicted == 0 and 0 <= r.score < 0.5 for r in rows)
     assert tox.score_documents(no_docs(spark), labels).count() == 0
+
+
+def test_punctuation_does_not_hide_words(spark):
+    texts = spark.createDataFrame([(" ".join([*PLAIN, "you", "are", "an", "clown", "scum"] * 50),)], "text string")
+    extract = tox.Features(tox.trigram_costs(tox.trigram_counts(texts)))
+    for text, word in (
+        ("s c u m!", "scum"), ("so i d i o t.", "idiot"), ("i - d - i - o - t", "idiot"), ("i . d . i . o . t", "idiot"),
+        ("m, o, r, o, n,", "moron"), ("clown,idiot", "idiot"), ("you_are_an_idiot", "idiot"), ("clown!idiot", "idiot"),
+        ("-".join(["the"] * 14 + ["lake", "idiot"] + ["quiet"] * 9), "idiot"), (" ".join("the" * 20 + "idiot" + "quiet" * 9), "idiot"),
+    ):
+        assert word in extract(text), text
