@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import bpe, content_sort, huffman, jaccard, pack, ppm, sketches, toxicity, url_tree, warc
+from barlake.llm import bpe, collocations, content_sort, huffman, jaccard, pack, ppm, sketches, toxicity, url_tree, warc
 from barlake.llm.common import named_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,3 +198,50 @@ def op9_partial_matching(spark, sf_dir):
 @query
 def op10_huffman_ids(spark, sf_dir):
     return huffman.id_digests(huffman.coded_roundtrip(named_table(spark, sf_dir, "documents"), WORD_TOKENIZER))
+
+
+@query
+def op11_son_collocations(spark, sf_dir):
+    return collocations.collocations(named_table(spark, sf_dir, "documents"))
+
+
+_SQL["op11_son_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS words FROM pieces
+), spans AS (
+    SELECT lang, words, unnest(range(1, 6)) AS size FROM w WHERE len(words) > 0
+), grams AS (
+    SELECT lang, size, unnest([array_to_string(words[i:i + size - 1], ' ') FOR i IN range(1, len(words) - size + 2)]) AS phrase
+    FROM spans WHERE len(words) >= size
+), f AS (
+    SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), total AS (
+    SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang
+), cand AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1
+), cuts AS (
+    SELECT *, unnest(range(1, size)) AS k FROM cand
+), scored AS (
+    SELECT c.lang, c.size, c.phrase, c.a, k, x.f AS l, y.f AS r, n,
+           (1000::HUGEINT * c.a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:k], ' ')
+                JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[k + 1:], ' ')
+                JOIN total t ON t.lang = c.lang
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), shorter AS (
+    SELECT *, unnest(range(2, size)) AS m FROM cand
+), inner_phrases AS (
+    SELECT lang, a, unnest([array_to_string(words[i:i + m - 1], ' ') FOR i IN range(1, size - m + 2)]) AS phrase FROM shorter
+), outer_most AS (
+    SELECT lang, phrase, max(a) AS o FROM inner_phrases GROUP BY ALL
+), ranked AS (
+    SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank
+    FROM lowest s LEFT JOIN outer_most o USING (lang, phrase) WHERE o IS NULL OR 100 * o < 100 * s.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
