@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import bpe, collocations, content_sort, huffman, jaccard, pack, ppm, sketches, toxicity, url_tree, warc
+from barlake.llm import bpe, collocations, content_sort, huffman, jaccard, pack, ppm, quality, sketches, toxicity, url_tree, warc
 from barlake.llm.common import named_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,3 +245,41 @@ WITH pieces AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """
+
+
+@query
+def op12_quality_cascade(spark, sf_dir):
+    return quality.judge_documents(named_table(spark, sf_dir, "documents")).drop("stopped_by")
+
+
+_SQL["op12_quality_cascade"] = r"""
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS text FROM documents
+), s AS (
+    SELECT doc_id, text, [x FOR x IN regexp_split_to_array(text, '[\x20\x09-\x0D]+') IF x <> ''] AS words,
+           [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines,
+           length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols
+    FROM t
+), windows AS (
+    SELECT doc_id, i, words[i:i + 2] AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM s WHERE len(words) >= 3)
+), twice AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id
+), m AS (
+    SELECT doc_id, text, len(words) AS n_words, word_chars, n_symbols, len(lines) AS n_lines,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           len([x FOR x IN words IF regexp_matches(x, '\p{L}')]) AS lettered
+    FROM s LEFT JOIN covered USING (doc_id)
+), b AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 50 * n_lines
+            OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR 100 * length(regexp_replace(text, '[^0-9]', '', 'g')) > 30 * word_chars
+            OR 2 * length(regexp_replace(text, '\P{Lu}', '', 'g')) > length(regexp_replace(text, '\P{L}', '', 'g'))
+            OR 2 * lettered < n_words) AS kept
+FROM b
+"""
