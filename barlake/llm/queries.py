@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import bpe, collocations, content_sort, huffman, jaccard, pack, ppm, quality, sketches, toxicity, url_tree, warc
+from barlake.llm import bpe, collocations, content_sort, huffman, jaccard, pack, ppm, quality, sketches, toxicity, url_tree, warc, whiten
 from barlake.llm.common import named_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,3 +283,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 2 * lettered < n_words) AS kept
 FROM b
 """
+
+
+@query
+def op13_qd_whitening(spark, sf_dir):
+    return whiten.whitened_rows(named_table(spark, sf_dir, "embeddings"))
