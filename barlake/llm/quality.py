@@ -118,12 +118,13 @@ def _seconds(sample: DataFrame, predicate: Column) -> float:
     return best
 
 
-def rule_order(metrics: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Measured]:
+def rule_order(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Measured]:
     """The rules by rejections per cost among the rows that the earlier ones leave, from a sample of the rows."""
     if not rules:
         return []
-    total = metrics.count()
-    sample = stored(metrics.sample(min(1.0, sample_rows / max(total, 1)), seed=1).limit(2 * sample_rows), "quality-sample")
+    total = docs.count()
+    few = docs.sample(min(1.0, sample_rows / max(total, 1)), seed=1).limit(2 * sample_rows)
+    sample = stored(document_metrics(few), "quality-sample")
     empty = _seconds(sample, F.lit(False))
     costs = {rule: max(_seconds(sample, F.expr(rule.rejects)) - empty, 1e-6) for rule in rules}
     verdicts = F.array(*[F.coalesce(F.expr(rule.rejects), F.lit(False)) for rule in rules])
@@ -156,7 +157,7 @@ def judge_documents(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows:
     ``stopped_by`` names the rule that ended the cascade; it depends on the measured order, the other columns do not.
     """
     metrics = document_metrics(docs)
-    stop = stopping_rule(rule_order(metrics, rules, sample_rows))
+    stop = stopping_rule(rule_order(docs, rules, sample_rows))
     base = F.expr(" OR ".join(f"({rule.rejects})" for rule in RULES[:2]))
     judged = metrics.select("doc_id", *METRICS, base.alias("base_failed"), stop.alias("stopped_by"))
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("stopped_by").isNull())

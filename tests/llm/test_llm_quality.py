@@ -49,7 +49,7 @@ def test_order_is_by_rejections_per_cost_and_changes_no_verdict(spark, monkeypat
     monkeypatch.setattr(quality, "_seconds", lambda sample, predicate: next(v for k, v in seconds.items() if k.lower() in str(predicate).lower()))
     docs = documents(spark, [" ".join(words(i, i, 10**6)) for i in range(200)])
     short, shorter, long = (quality.Rule(n, p) for n, p in (("a", "n_words < 50"), ("b", "n_words < 100"), ("c", "n_words > 150")))
-    order = quality.rule_order(quality.document_metrics(docs), (short, shorter, long), 10_000)
+    order = quality.rule_order(docs, (short, shorter, long), 10_000)
     assert [m.rule.name for m in order] == ["b", "c", "a"]
     assert [round(m.rejects, 2) for m in order] == [0.5, 0.49, 0.0]
     kept = quality.judge_documents(docs, (short, shorter, long)).where("kept")
