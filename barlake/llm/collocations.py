@@ -6,8 +6,8 @@ least one shard. The phrases frequent in any shard are candidates, and a last pa
 exactly. The number of shards does not depend on the input, so neither does the local support; a shard is not held by one
 task but counted by all of them, so its size is not bounded by memory.
 
-A level only counts phrases whose two parts, all words but the last and all but the first, were frequent in the same shard.
-Tasks know that from a bitmap of at most ``2 ** MAX_BITS`` bits per level, written as a small table; a bit set by another
+Words are counted first, then pairs of words that are frequent in the shard, then all longer phrases of frequent pairs.
+Tasks know what is frequent from a bitmap of at most ``2 ** MAX_BITS`` bits, written as a small table; a bit set by another
 phrase costs work, never a result. Before the last pass phrases are 64-bit hashes, whose collisions can only add candidates;
 the last pass counts the phrases themselves.
 
@@ -18,7 +18,7 @@ whole; empty ones and empty tables have no phrases. Other columns are not read,
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -34,9 +34,11 @@ from barlake.llm.jaccard import mixed
 from barlake.operators.chunks import join_parameters
 
 LONGEST, SUPPORT, TOP = 5, 100, 2000
+# Lengths that one pass counts. Few longer phrases consist of frequent pairs, so they share a pass.
+LEVELS = ((1,), (2,), tuple(range(3, LONGEST + 1)))
 SHARDS = 8
 MAX_BITS = 28
-FLUSH_WORDS = 1 << 21
+FLUSH_WORDS = 1 << 20
 NO_LANGUAGE = "und"
 # Characters that end a piece.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -148,32 +150,36 @@ def _parts_of(batches: Iterator[pa.RecordBatch], per_shard: bool) -> Iterator[tu
         yield known, {key: np.concatenate(ids) for key, ids in parts.items()}
 
 
-def shard_counts(docs: DataFrame, length: int, shorter: Bitmap | None) -> DataFrame:
-    """How often phrases of this length occur in each shard, if both of their parts may be frequent there."""
+def shard_counts(docs: DataFrame, lengths: Sequence[int], shorter: Bitmap | None) -> DataFrame:
+    """How often phrases of these lengths occur in each shard, if all their parts in ``shorter``, one word less than the
+    first length, may be frequent there."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for known, parts in _parts_of(batches, per_shard=True):
             hashes = np.array(known.hashes, np.uint64)
             for (lang, shard), ids in parts.items():
-                whole, previous = whole_phrases(ids, length), None
+                possible = np.ones(len(ids) + 1, bool)
                 for size, grams in enumerate(gram_hashes(ids, hashes, lang), 1):
-                    if size == length:
+                    if size > lengths[-1] or not len(grams):
                         break
-                    previous = grams
-                if shorter is not None and len(grams):
-                    frequent = shorter.marks(previous, shard)
-                    whole = whole & frequent[:-1] & frequent[1:]
-                found, n = np.unique(grams[whole], return_counts=True)
-                if len(found):
-                    names = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(found), np.int32)), pa.array([lang])).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays(
-                        [names, pa.array(np.full(len(found), shard, np.int32)), pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))],
-                        names=["lang", "shard", "gram", "n"],
-                    )
+                    if size < lengths[0]:
+                        possible = shorter.marks(grams, shard) if size == lengths[0] - 1 else possible
+                        continue
+                    possible = possible[:-1] & possible[1:]
+                    found, n = np.unique(grams[possible & whole_phrases(ids, size)], return_counts=True)
+                    if len(found):
+                        yield pa.RecordBatch.from_arrays(
+                            [_repeated(lang, len(found)), pa.array(np.full(len(found), shard, np.int32)), pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))],
+                            names=["lang", "shard", "gram", "n"],
+                        )
 
     return docs.mapInArrow(count, _GRAMS).groupBy("lang", "shard", "gram").agg(F.sum("n").alias("n"))
 
 
+def _repeated(text: str, count: int) -> pa.Array:
+    return pa.DictionaryArray.from_arrays(pa.array(np.zeros(count, np.int32)), pa.array([text])).cast(pa.string())
+
+
 def local_supports(words: DataFrame, support: int) -> DataFrame:
     """What ``support`` occurrences in all come to in the share of each shard, rounded up."""
     own = words.groupBy("lang", "shard").agg(F.sum("n").alias("own"))
@@ -188,18 +194,19 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame
     lang, phrase (words joined by spaces), size and f; and lang, total.
     """
     rows = _sharded(docs)
-    words = stored(shard_counts(rows, 1, None), "phrase-words")
+    words = stored(shard_counts(rows, LEVELS[0], None), "phrase-words")
     supports = local_supports(words, support)
     candidates, shorter = [], None
-    for length in range(1, LONGEST + 1):
-        counts = words if length == 1 else shard_counts(rows, length, shorter)
+    for lengths in LEVELS:
+        counts = words if lengths == LEVELS[0] else shard_counts(rows, lengths, shorter)
         local = join_parameters(counts, supports.select("lang", "shard", "need"), ["lang", "shard"], spread=["gram"]).where("n >= need")
         local = stored(local.select("shard", "gram"), "phrase-local")
         found = local.count()
         if not found:
             break
         candidates.append(local)
-        shorter = bitmap_of(local, found)
+        if lengths != LEVELS[-1]:
+            shorter = bitmap_of(local, found)
     totals = supports.select("lang", "total").distinct()
     if not candidates:
         return docs.sparkSession.createDataFrame([], "lang string, phrase string, size int, f bigint"), totals
@@ -207,10 +214,10 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame
     for other in candidates[1:]:
         union = union.unionByName(other)
     union = stored(union.select("gram").distinct().withColumn("shard", F.lit(-1)), "phrase-candidates")
-    return stored(exact_counts(rows, bitmap_of(union, union.count()), len(candidates)).where(F.col("f") >= support), "phrase-frequent"), totals
+    return stored(exact_counts(rows, bitmap_of(union, union.count())).where(F.col("f") >= support), "phrase-frequent"), totals
 
 
-def exact_counts(docs: DataFrame, candidates: Bitmap, longest: int) -> DataFrame:
+def exact_counts(docs: DataFrame, candidates: Bitmap) -> DataFrame:
     """Occurrences over all documents of the phrases whose hash may be a candidate, by the phrase itself."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,10 +226,10 @@ def exact_counts(docs: DataFrame, candidates: Bitmap, longest: int) -> DataFrame
             for (lang, _), ids in parts.items():
                 possible = np.ones(len(ids) + 1, bool)
                 for size, grams in enumerate(gram_hashes(ids, hashes, lang), 1):
-                    if size > longest or not len(grams):
+                    if not len(grams):
                         break
                     # A phrase is as frequent as its parts at most, so those of a candidate are candidates too.
-                    possible = possible[:-1][: len(grams)] & possible[1:][: len(grams)]
+                    possible = possible[:-1] & possible[1:]
                     at = np.flatnonzero(possible & whole_phrases(ids, size))
                     at = at[candidates.marks(grams[at], -1)]
                     possible = np.zeros(len(grams), bool)
@@ -231,9 +238,8 @@ def exact_counts(docs: DataFrame, candidates: Bitmap, longest: int) -> DataFrame
                     if len(found):
                         starts = at[first].tolist()
                         spelled = [b" ".join([known.words[i] for i in ids[s : s + size].tolist()]) for s in starts]
-                        names = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(found), np.int32)), pa.array([lang])).cast(pa.string())
                         yield pa.RecordBatch.from_arrays(
-                            [names, pa.array(spelled, pa.binary()).cast(pa.string()), pa.array(np.full(len(found), size, np.int32)), pa.array(n.astype(np.int64))],
+                            [_repeated(lang, len(found)), pa.array(spelled, pa.binary()).cast(pa.string()), pa.array(np.full(len(found), size, np.int32)), pa.array(n.astype(np.int64))],
                             names=["lang", "phrase", "size", "n"],
                         )
 

@@ -73,7 +73,7 @@ def test_small_parts_and_saturated_bitmaps_change_nothing(spark, monkeypatch):
 
 def test_every_shard_mines_at_its_share_of_the_support(spark):
     docs = frame(spark, corpus())
-    words = collocations.shard_counts(collocations._sharded(docs), 1, None)
+    words = collocations.shard_counts(collocations._sharded(docs), (1,), None)
     supports = collocations.local_supports(words, 50).collect()
     assert len({r.shard for r in supports}) > 3
     for r in supports:
