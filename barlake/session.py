@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes = threading.local()
+
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """All bar and tick times are UTC, so the session time zone must be too."""
@@ -29,8 +34,46 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return tempfile.mkdtemp(prefix=f"barlake-{label}-")
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: later passes scan columns instead of recomputing."""
-    path = f"{scratch_dir(frame.sparkSession, label)}/table"
+def stored(frame: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write a frame to the shared folder and read it back: later passes scan columns instead of recomputing.
+
+    Inside ``scratch_scope`` the table goes with the scope, unless ``keep`` says that a result still reads it.
+    """
+    folder = scratch_dir(frame.sparkSession, label)
+    path = f"{folder}/table"
+    open_scopes = getattr(_scopes, "stack", [])
+    if open_scopes and not keep:
+        open_scopes[-1].append(folder)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables stored inside once the block ends; frames that leave the block must not read them."""
+    stack = _scopes.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for folder in stack.pop():
+            remove_folder(spark, folder)
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path, as Spark's own readers resolve them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def subfolders(spark: SparkSession, path: str, files: bool = False) -> list[str]:
+    """Names of the folders (or files) in a folder; none if it does not exist."""
+    system, target = _hadoop(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(entry.getPath().getName() for entry in system.listStatus(target) if entry.isDirectory() != files)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, target = _hadoop(spark, path)
+    system.delete(target, True)

@@ -4,30 +4,36 @@ Alerts compare each tick with the one before it, across micro-batches. Every mic
 chunked operator as a batch table (``operators.rules``), so a symbol that makes up a third of a batch is still spread over
 many tasks, and no rows pass through Python. Ticks in order need one row per instrument of the past: its last tick.
 
-A tick that arrives late changes two verdicts, its own and that of the tick after it. For instruments with late ticks the
-stored ticks since the one before the first late tick are compared again, and the verdicts of new ticks and of those that
-follow a new tick replace the earlier ones. So the alerts always equal those of a batch job over all ticks received.
+A tick that arrives late changes two verdicts, its own and that of the tick after it. The history of ticks is foldered by a
+hash of the instrument and by day, and a small index holds the days on which each instrument has ticks. Late ticks read from
+the history the day they belong to and the nearest days with ticks before and after it, however long the history is. The
+verdicts of new ticks and of those that follow a new tick replace the earlier ones, so the alerts always equal those of a
+batch job over all ticks received. Everything a batch writes goes to runs that are merged as they grow (``runs``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from barlake.operators.chunks import TICK_CHUNK_SECONDS, join_parameters, with_previous, with_tick_chunk
 from barlake.operators.rules import INSTRUMENT, SPOT, TICK_ORDER, event_lines, rule_matches, signal_events, threshold_alerts
 from barlake.schema import TICK
-from barlake.session import stored
+from barlake.session import scratch_scope, stored, subfolders
 from barlake.sources.klines import missing_path
 from barlake.sources.layers import observe_rows, observed_rows
+from barlake.streaming.runs import WIDTH, Runs
 
 # Fixed value: default seconds between polls of a continuous run.
 POLL_SECONDS = 5
-_STORED_TICK = T.StructType([*TICK.fields, T.StructField("batch_id", T.LongType())])
-_JUDGED = "exchange string, symbol string, event_time timestamp, price double"
+_JUDGED = "exchange string, symbol string, event_time timestamp, price double, batch_id bigint"
+_DAYS = "exchange string, symbol string, day date, bucket int"
+_CYCLE = "tick_count bigint, alert_count bigint, late_count bigint, batch_id bigint"
+HISTORY_BUCKETS = 16
+_FOLDERS = ["bucket", "day"]
 _PRICE_SCHEMA = "exchange string, symbol string, event_time timestamp, price double, batch_id bigint"
 
 
@@ -92,40 +98,116 @@ def _late_instruments(ticks: DataFrame, prior: DataFrame) -> DataFrame:
     )
 
 
-def _judged_again(history: DataFrame, late: DataFrame, batch_id: int, chunk_seconds: int) -> DataFrame:
-    """New ticks of instruments with late ticks, and stored ones that follow them, with ``previous_price``.
+# History.
 
-    ``history`` holds all ticks of this and earlier batches. Ticks that share instrument, time and price are judged
-    together, since a stored alert does not tell them apart.
+
+def _foldered(ticks: DataFrame) -> DataFrame:
+    bucket = F.pmod(F.xxhash64(*INSTRUMENT), F.lit(HISTORY_BUCKETS)).cast("int")
+    return ticks.withColumns({"bucket": bucket, "day": F.to_date("event_time")})
+
+
+def _write_history(ticks: DataFrame, path: str) -> None:
+    ticks.hint("rebalance", *_FOLDERS).write.mode("overwrite").partitionBy(*_FOLDERS).parquet(path)
+
+
+def _write_days(days: DataFrame, path: str) -> None:
+    days.distinct().write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def neighbour_days(late: DataFrame, days: DataFrame) -> DataFrame:
+    """Instrument, bucket and day of the late ticks' own days and of the nearest ones with stored ticks around them."""
+    along = Window.partitionBy(*INSTRUMENT).orderBy("day")
+    known = days.select(*INSTRUMENT, "bucket", "day", F.col("day").alias("_stored"), F.lit(None).cast("date").alias("_wanted"))
+    asked = late.select(*INSTRUMENT, "bucket", "day", F.lit(None).cast("date").alias("_stored"), F.col("day").alias("_wanted"))
+    each = known.unionByName(asked).groupBy(*INSTRUMENT, "bucket", "day").agg(F.max("_stored").alias("_stored"), F.max("_wanted").alias("_wanted"))
+    before = F.last("_stored", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("_stored", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing))
+    near = each.withColumn("_near", F.array("_stored", before, after)).where("_wanted IS NOT NULL")
+    return near.select(*INSTRUMENT, "bucket", F.explode(F.array_compact("_near")).alias("day")).distinct()
+
+
+def near_history(late: DataFrame, ticks: Runs, days: Runs, until: int) -> DataFrame:
+    """Stored ticks of the late instruments on the days next to the late ticks; only their folders are listed and read.
+
+    ``late`` holds the ticks of those instruments in the current batch, with bucket and day.
     """
-    own = join_parameters(history, late.select(*INSTRUMENT, "_since"), INSTRUMENT, spread=["event_time"])
-    before = own.where(F.col("event_time") < F.col("_since")).groupBy(*INSTRUMENT).agg(F.max("event_time").alias("_from"))
-    near = join_parameters(own, before, INSTRUMENT, spread=["event_time"], how="left").where(
-        F.col("event_time") >= F.coalesce("_from", "_since")
-    )
-    paired = near.withColumn("_pair", F.struct("price", "batch_id"))
+    spark = ticks.spark
+    buckets = [row.bucket for row in late.select("bucket").distinct().collect()]
+    indexes = [f"{run}/bucket={b}" for run in days.live(until) for b in buckets if f"bucket={b}" in subfolders(spark, run)]
+    if not indexes:
+        return spark.createDataFrame([], TICK)
+    index = spark.read.schema("exchange string, symbol string, day date").parquet(*indexes)
+    index = _foldered(index.withColumn("event_time", F.col("day"))).select(*INSTRUMENT, "bucket", "day")
+    instruments = late.select(*INSTRUMENT).distinct()
+    wanted = stored(neighbour_days(late, index.join(instruments, INSTRUMENT, "left_semi")), "near-days")
+    by_bucket = {row.bucket: {f"day={day}" for day in row.days} for row in wanted.groupBy("bucket").agg(F.collect_set("day").alias("days")).collect()}
+    paths = []
+    for run in ticks.live(until):
+        for bucket, folders in by_bucket.items():
+            paths += [f"{run}/bucket={bucket}/{day}" for day in subfolders(spark, f"{run}/bucket={bucket}") if day in folders]
+    if not paths:
+        return spark.createDataFrame([], TICK)
+    rows = spark.read.schema(TICK).parquet(*paths).withColumn("day", F.to_date("event_time"))
+    return rows.join(wanted.select(*INSTRUMENT, "day"), [*INSTRUMENT, "day"], "left_semi").select(*TICK.fieldNames())
+
+
+def _judged_again(fresh: DataFrame, near: DataFrame, chunk_seconds: int) -> DataFrame:
+    """``fresh`` ticks of instruments with late ticks, and stored ones that follow them, with ``previous_price``.
+
+    ``near`` holds whole days of stored ticks, the nearest before and after each fresh tick among them, so neighbours of a
+    fresh tick are always right. Ticks that share instrument, time and price are judged together, since a stored alert does
+    not tell them apart.
+    """
+    rows = fresh.select(*TICK.fieldNames(), F.lit(True).alias("_new")).unionByName(near.withColumn("_new", F.lit(False)))
+    paired = rows.withColumn("_pair", F.struct("price", "_new"))
     compared = with_previous(with_tick_chunk(paired, chunk_seconds), INSTRUMENT, TICK_ORDER, "_pair", "_previous")
-    fresh = (F.col("batch_id") == batch_id) | F.coalesce(F.col("_previous.batch_id") == batch_id, F.lit(False))
+    touched = F.col("_new") | F.coalesce("_previous._new", F.lit(False))
     same = Window.partitionBy(*_KEY)
     return (
-        compared.where(F.col("event_time") >= F.col("_since"))
-        .withColumn("_fresh", F.max(fresh).over(same))
-        .where("_fresh")
-        .select(*TICK.fieldNames(), "batch_id", F.col("_previous.price").alias("previous_price"))
+        compared.withColumn("_touched", F.max(touched).over(same))
+        .where("_touched")
+        .select(*TICK.fieldNames(), "_new", F.col("_previous.price").alias("previous_price"))
     )
 
 
+# Batches.
+
+
+class _Logs:
+    """Everything an alert stream writes, each as runs."""
+
+    def __init__(self, spark: SparkSession, alerts_path: str, state: str, width: int = WIDTH):
+        self.ticks, self.days = Runs(spark, f"{state}/ticks", width), Runs(spark, f"{state}/days", width)
+        self.cycles, self.judged = Runs(spark, f"{state}/cycles", width), Runs(spark, f"{alerts_path}/judged", width)
+        self.events = Runs(spark, f"{alerts_path}/events", width)
+
+    def merge_before(self, batch_id: int) -> None:
+        spark = self.ticks.spark
+        folders = ", bucket int, day date"
+        tick = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TICK.fields)
+        self.ticks.merge_before(batch_id, lambda parts, out: _write_history(spark.read.schema(tick + folders).parquet(*parts), out))
+        self.days.merge_before(batch_id, lambda parts, out: _write_days(spark.read.schema(_DAYS).parquet(*parts), out))
+        for log, schema in ((self.cycles, _CYCLE), (self.judged, _JUDGED)):
+            log.merge_before(batch_id, lambda parts, out, schema=schema: spark.read.schema(schema).parquet(*parts).hint("rebalance").write.mode("overwrite").parquet(out))
+        self.events.merge_before(batch_id, lambda parts, out: _alerts_of(self.events, parts).hint("rebalance").write.mode("overwrite").json(out, ignoreNullFields=False))
+
+
 def _alert_batch(
-    alerts_path: str, state: str, rules: DataFrame, interval: str, chunk_seconds: int
+    alerts_path: str, state: str, rules: DataFrame, interval: str, chunk_seconds: int, width: int = WIDTH
 ) -> Callable[[DataFrame, int], None]:
     def evaluate(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            judge(batch, batch_id, _Logs(batch.sparkSession, alerts_path, state, width))
+
+    def judge(batch: DataFrame, batch_id: int, logs: _Logs) -> None:
         spark = batch.sparkSession
         prior = _last_prices(spark, state, batch_id)
+        number = F.lit(batch_id).cast("bigint").alias("batch_id")
         # Every target is named by the batch, so a repeated batch replaces what it wrote before.
-        batch.select(*TICK.fieldNames()).write.mode("overwrite").parquet(f"{state}/ticks/batch_id={batch_id}")
-        history = spark.read.schema(_STORED_TICK).parquet(f"{state}/ticks")
-        history = history.where(F.col("batch_id") <= batch_id)
-        ticks = history.where(F.col("batch_id") == batch_id).drop("batch_id")
+        _write_history(_foldered(batch.select(*TICK.fieldNames())), logs.ticks.path(batch_id))
+        own = spark.read.schema(TICK).parquet(logs.ticks.path(batch_id))
+        ticks = own.select(*TICK.fieldNames())
+        _write_days(_foldered(ticks).select(*INSTRUMENT, "day", "bucket").where("day IS NOT NULL"), logs.days.path(batch_id))
         late = stored(_late_instruments(ticks, prior), "late")
         late_count = late.agg(F.coalesce(F.sum("_late"), F.lit(0))).first()[0]
         if late.isEmpty():
@@ -134,21 +216,22 @@ def _alert_batch(
         else:
             instruments = late.select(*INSTRUMENT)
             in_order = ticks.join(instruments, INSTRUMENT, "left_anti")
-            judged = stored(_judged_again(history, late, batch_id, chunk_seconds), "judged")
-            observed = judged.drop("batch_id").withColumn("interval", F.lit(interval))
+            fresh = ticks.join(instruments, INSTRUMENT, "left_semi")
+            near = near_history(_foldered(fresh), logs.ticks, logs.days, batch_id - 1)
+            judged = stored(_judged_again(fresh, near, chunk_seconds), "judged")
+            observed = judged.drop("_new").withColumn("interval", F.lit(interval))
             events = threshold_alerts(in_order, rules, prior.join(instruments, INSTRUMENT, "left_anti"), interval, chunk_seconds)
             events = events.unionByName(signal_events(rule_matches(observed, rules, spread="event_time")))
-            again = judged.where(F.col("batch_id") < batch_id).select(*_KEY).distinct()
-        again.write.mode("overwrite").parquet(f"{alerts_path}/judged/batch_id={batch_id}")
+            again = judged.where("NOT _new").select(*_KEY).distinct().select(*_KEY, number)
+        again.write.mode("overwrite").parquet(logs.judged.path(batch_id))
         lines, alerts = observe_rows(event_lines(events))
-        lines.write.mode("overwrite").text(f"{alerts_path}/events/batch_id={batch_id}")
-        counts = ticks.agg(F.count("*").alias("tick_count")).withColumns(
-            {"alert_count": F.lit(observed_rows(alerts)).cast("bigint"), "late_count": F.lit(late_count).cast("bigint")}
+        lines.write.mode("overwrite").text(logs.events.path(batch_id))
+        counts = ticks.agg(F.count("*").alias("tick_count")).select(
+            "tick_count", F.lit(observed_rows(alerts)).cast("bigint").alias("alert_count"), F.lit(late_count).cast("bigint").alias("late_count"), number
         )
-        counts.write.mode("overwrite").parquet(f"{state}/cycles/batch_id={batch_id}")
-        _next_prices(prior, ticks).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
-            "overwrite"
-        ).parquet(f"{state}/prices/slot{batch_id % 2}")
+        counts.write.mode("overwrite").parquet(logs.cycles.path(batch_id))
+        _next_prices(prior, ticks).select("*", number).write.mode("overwrite").parquet(f"{state}/prices/slot{batch_id % 2}")
+        logs.merge_before(batch_id)
 
     return evaluate
 
@@ -162,12 +245,14 @@ def start_alerts(
     poll_seconds: float = POLL_SECONDS,
     interval: str = SPOT,
     chunk_seconds: int = TICK_CHUNK_SECONDS,
+    width: int = WIDTH,
 ) -> StreamingQuery:
-    """Evaluate rules on a tick stream; one JSON line per alert under ``alerts_path/events/batch_id=N``.
+    """Evaluate rules on a tick stream; one JSON line per alert under ``alerts_path/events``, a run per batch.
 
-    Read the result with ``read_alerts``, which leaves out verdicts that a later batch has replaced.
+    ``width`` runs are merged into one. Read the result with ``read_alerts``, which leaves out verdicts that a later batch
+    has replaced.
     """
-    evaluate = _alert_batch(alerts_path, f"{checkpoint}/state", rules, interval, chunk_seconds)
+    evaluate = _alert_batch(alerts_path, f"{checkpoint}/state", rules, interval, chunk_seconds, width)
     return (
         ticks.writeStream.foreachBatch(evaluate)
         .option("checkpointLocation", f"{checkpoint}/progress")
@@ -206,13 +291,12 @@ def _last_batch(cycles: DataFrame) -> int:
 
 def cycle_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Ticks, alerts raised and late ticks of every micro-batch of an alert stream."""
-    schema = "tick_count bigint, alert_count bigint, late_count bigint, batch_id bigint"
-    try:
-        return spark.read.schema(schema).parquet(f"{checkpoint}/state/cycles")
-    except AnalysisException as error:
-        if not missing_path(error):
-            raise
-        return spark.createDataFrame([], schema)
+    return _all_rows(Runs(spark, f"{checkpoint}/state/cycles"), _CYCLE)
+
+
+def _all_rows(runs: Runs, schema: str) -> DataFrame:
+    paths = runs.live()
+    return runs.spark.read.schema(schema).parquet(*paths) if paths else runs.spark.createDataFrame([], schema)
 
 
 ALERT_SCHEMA = (
@@ -222,10 +306,19 @@ ALERT_SCHEMA = (
 )
 
 
+def _alerts_of(runs: Runs, paths: list[str]) -> DataFrame:
+    """Alert lines of some runs. Those of single batches get the batch from their folder, merged ones carry it."""
+    if not paths:
+        return runs.spark.createDataFrame([], ALERT_SCHEMA)
+    rows = runs.spark.read.schema(f"{ALERT_SCHEMA}, size int, run bigint").option("basePath", runs.root).json(paths)
+    return rows.withColumn("batch_id", F.coalesce("batch_id", "run")).drop("size", "run")
+
+
 def read_alerts(spark: SparkSession, alerts_path: str) -> DataFrame:
     """The alerts that hold, with the batch that raised them."""
-    alerts = spark.read.schema(ALERT_SCHEMA).json(f"{alerts_path}/events")
-    judged = spark.read.schema(f"{_JUDGED}, batch_id bigint").parquet(f"{alerts_path}/judged")
+    events = Runs(spark, f"{alerts_path}/events")
+    alerts = _alerts_of(events, events.live())
+    judged = _all_rows(Runs(spark, f"{alerts_path}/judged"), _JUDGED)
     replaced = judged.groupBy(*INSTRUMENT, "event_time", F.col("price").alias("observed_value")).agg(F.max("batch_id").alias("_judged"))
     latest = alerts.join(replaced, [*INSTRUMENT, "event_time", "observed_value"], "left")
     return latest.where(F.col("_judged").isNull() | (F.col("batch_id") >= F.col("_judged"))).select(*alerts.columns)

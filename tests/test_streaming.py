@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from barlake.operators.rules import threshold_alerts
 from barlake.schema import RULE
-from barlake.streaming.alerts import cycle_counts, read_alerts, read_ticks, run_once, start_alerts, tick_stream
+from barlake.session import scratch_scope, stored, subfolders
+from barlake.streaming.alerts import (
+    _alert_batch, _foldered, cycle_counts, near_history, read_alerts, read_ticks, run_once, start_alerts, tick_stream,
+)
+from barlake.streaming.runs import Runs
 from test_rules import rules, ticks
 
 
@@ -84,3 +88,69 @@ def test_continuous_run(spark, tmp_path):
     finally:
         query.stop()
         query.awaitTermination(30)
+
+
+def test_runs_hold_every_batch_once_in_few_folders(spark, tmp_path):
+    log = Runs(spark, f"{tmp_path}/log", width=3)
+
+    def write(batch):
+        spark.range(batch, batch + 1).coalesce(1).write.mode("overwrite").parquet(log.path(batch))
+        log.merge_before(batch, lambda parts, out: spark.read.parquet(*parts).coalesce(1).write.mode("overwrite").parquet(out))
+
+    for batch in range(50):
+        write(batch)
+        if batch in (26, 27, 28):
+            write(batch)
+            got = sorted(r.id for r in spark.read.parquet(*Runs(spark, log.root).live()).collect())
+            assert got == list(range(batch + 1))
+            before = spark.read.parquet(*log.live(until=batch - 1)).collect()
+            assert sorted(r.id for r in before) == list(range(batch))
+    assert sorted(r.id for r in spark.read.parquet(*log.live()).collect()) == list(range(50))
+    assert len(log.live()) <= 2 * 4
+    assert sum(len(subfolders(spark, f"{log.root}/{size}")) for size in subfolders(spark, log.root)) <= 4 * 2 * 3
+
+
+def test_merged_runs_give_the_alerts_of_a_batch(spark, tmp_path):
+    draw = random.Random(8)
+    table = spark.createDataFrame([(s, None, d, 100.0, d) for s in ("AAA", "BBB") for d in ("above", "below", "cross_below")], RULE)
+    # Ten days, three hours apart; a fifth of the ticks arrive in a later batch.
+    everything = ticks(spark, [draw.uniform(95, 105) for _ in range(80)], step=180.0).unionByName(
+        ticks(spark, [draw.uniform(95, 105) for _ in range(20)], "BBB", step=720.0)
+    ).withColumn("batch", F.expr("int(unix_seconds(event_time) div 172800) + if(pmod(xxhash64(event_time), 5) = 0, 2, 0)"))
+    everything = stored(everything.withColumn("batch", F.col("batch") - F.expr("(unix_seconds(timestamp'2024-05-01 00:00:00') div 172800)")), "t")
+    evaluate = _alert_batch(f"{tmp_path}/alerts", f"{tmp_path}/cp/state", table, "spot", 3600, width=2)
+    for batch in range(8):
+        for _ in range(2 if batch == 4 else 1):
+            evaluate(everything.where(F.col("batch") == batch).drop("batch"), batch)
+    got = read_alerts(spark, f"{tmp_path}/alerts").drop("batch_id", "metadata")
+    want = threshold_alerts(everything.drop("batch"), table).drop("metadata")
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    counts = cycle_counts(spark, f"{tmp_path}/cp")
+    assert sorted(r.batch_id for r in counts.collect()) == list(range(8))
+    totals = counts.agg(F.sum("tick_count"), F.sum("late_count")).first()
+    assert totals[0] == 100 and totals[1] > 5
+    assert sorted(subfolders(spark, f"{tmp_path}/alerts/events")) == ["size=1", "size=2", "size=4"]
+
+
+def test_late_tick_reads_its_neighbours_only(spark, tmp_path):
+    opened = {}
+    for days in (6, 30):
+        root = f"{tmp_path}/{days}"
+        history, index = Runs(spark, f"{root}/ticks"), Runs(spark, f"{root}/days")
+        # One instrument with a tick every second day, and one with many.
+        rows = ticks(spark, [1.0] * (days // 2), step=2880.0).unionByName(ticks(spark, [2.0] * days * 4, "BBB", step=360.0))
+        _foldered(rows).coalesce(1).write.partitionBy("bucket", "day").parquet(history.path(0))
+        _foldered(rows).select("exchange", "symbol", "day", "bucket").distinct().coalesce(1).write.partitionBy("bucket").parquet(index.path(0))
+        late = stored(_foldered(ticks(spark, [9.0], first=1440.0 * 3 + 60)), "late")
+        near = near_history(late, history, index, 0)
+        assert sorted(r.event_time.day for r in near.collect()) == [3, 5] and {r.symbol for r in near.collect()} == {"AAA"}
+        opened[days] = len(near.inputFiles())
+    assert opened[30] == opened[6] <= 4
+
+
+def test_scratch_scope_removes_its_tables(spark, tmp_path):
+    with scratch_scope(spark):
+        gone = stored(spark.range(3), "gone").inputFiles()[0]
+        left = stored(spark.range(3), "left", keep=True)
+    assert left.count() == 3
+    assert subfolders(spark, gone.rsplit("/", 2)[0]) == []
