@@ -182,14 +182,16 @@ class _Logs:
         self.events = Runs(spark, f"{alerts_path}/events", width)
 
     def merge_before(self, batch_id: int) -> None:
-        spark = self.ticks.spark
-        folders = ", bucket int, day date"
-        tick = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TICK.fields)
-        self.ticks.merge_before(batch_id, lambda parts, out: _write_history(spark.read.schema(tick + folders).parquet(*parts), out))
-        self.days.merge_before(batch_id, lambda parts, out: _write_days(spark.read.schema(_DAYS).parquet(*parts), out))
+        tick = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TICK.fields) + ", bucket int, day date"
+        self.ticks.merge_before(batch_id, lambda parts, out: _write_history(self.ticks.read(parts, tick), out))
+        self.days.merge_before(batch_id, lambda parts, out: _write_days(self.days.read(parts, _DAYS), out))
         for log, schema in ((self.cycles, _CYCLE), (self.judged, _JUDGED)):
-            log.merge_before(batch_id, lambda parts, out, schema=schema: spark.read.schema(schema).parquet(*parts).hint("rebalance").write.mode("overwrite").parquet(out))
-        self.events.merge_before(batch_id, lambda parts, out: _alerts_of(self.events, parts).hint("rebalance").write.mode("overwrite").json(out, ignoreNullFields=False))
+            log.merge_before(
+                batch_id, lambda parts, out, log=log, schema=schema: log.read(parts, schema).hint("rebalance").write.mode("overwrite").parquet(out)
+            )
+        self.events.merge_before(
+            batch_id, lambda parts, out: _alerts_of(self.events, parts).hint("rebalance").write.mode("overwrite").json(out, ignoreNullFields=False)
+        )
 
 
 def _alert_batch(
@@ -205,8 +207,7 @@ def _alert_batch(
         number = F.lit(batch_id).cast("bigint").alias("batch_id")
         # Every target is named by the batch, so a repeated batch replaces what it wrote before.
         _write_history(_foldered(batch.select(*TICK.fieldNames())), logs.ticks.path(batch_id))
-        own = spark.read.schema(TICK).parquet(logs.ticks.path(batch_id))
-        ticks = own.select(*TICK.fieldNames())
+        ticks = spark.read.schema(TICK).parquet(logs.ticks.path(batch_id)).select(*TICK.fieldNames())
         _write_days(_foldered(ticks).select(*INSTRUMENT, "day", "bucket").where("day IS NOT NULL"), logs.days.path(batch_id))
         late = stored(_late_instruments(ticks, prior), "late")
         late_count = late.agg(F.coalesce(F.sum("_late"), F.lit(0))).first()[0]
@@ -291,12 +292,8 @@ def _last_batch(cycles: DataFrame) -> int:
 
 def cycle_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Ticks, alerts raised and late ticks of every micro-batch of an alert stream."""
-    return _all_rows(Runs(spark, f"{checkpoint}/state/cycles"), _CYCLE)
-
-
-def _all_rows(runs: Runs, schema: str) -> DataFrame:
-    paths = runs.live()
-    return runs.spark.read.schema(schema).parquet(*paths) if paths else runs.spark.createDataFrame([], schema)
+    cycles = Runs(spark, f"{checkpoint}/state/cycles")
+    return cycles.read(cycles.live(), _CYCLE)
 
 
 ALERT_SCHEMA = (
@@ -318,8 +315,8 @@ def read_alerts(spark: SparkSession, alerts_path: str) -> DataFrame:
     """The alerts that hold, with the batch that raised them."""
     events = Runs(spark, f"{alerts_path}/events")
     alerts = _alerts_of(events, events.live())
-    judged = _all_rows(Runs(spark, f"{alerts_path}/judged"), _JUDGED)
-    replaced = judged.groupBy(*INSTRUMENT, "event_time", F.col("price").alias("observed_value")).agg(F.max("batch_id").alias("_judged"))
+    judged = Runs(spark, f"{alerts_path}/judged")
+    replaced = judged.read(judged.live(), _JUDGED).groupBy(*INSTRUMENT, "event_time", F.col("price").alias("observed_value")).agg(F.max("batch_id").alias("_judged"))
     latest = alerts.join(replaced, [*INSTRUMENT, "event_time", "observed_value"], "left")
     return latest.where(F.col("_judged").isNull() | (F.col("batch_id") >= F.col("_judged"))).select(*alerts.columns)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from barlake.session import remove_folder, subfolders
 
@@ -47,6 +47,12 @@ class Runs:
                 paths.append(self.path(run, size))
         return paths
 
+    def read(self, paths: list[str], schema: str) -> DataFrame:
+        """The Parquet rows of some runs, their own folder columns included in ``schema``."""
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(f"{schema}, size int, run bigint").option("basePath", self.root).parquet(*paths).drop("size", "run")
+
     def merge_before(self, batch_id: int, combine: Callable[[list[str], str], None]) -> None:
         """Merge what is full among the batches before ``batch_id``, and drop what was merged ``width`` batches ago.
 
