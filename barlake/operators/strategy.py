@@ -2,8 +2,9 @@
 
 Per bar, an entry and an exit trigger drive a latch. The latch has a closed form over running windows, and a whole
 chunk of bars is a function of the position it is entered with (0 or 1). Chunks are therefore evaluated for
-both entering positions, the small per-chunk results are chained per series and strategy, and a second pass over
-the same chunks writes the bars with the position, equity and peak they really start from.
+both entering positions, and the small per-chunk results are chained per series and strategy. Per-bar results take a second
+pass over the same chunks, which writes the bars with the position, equity and peak they really start from. Metrics do
+not: a chunk's summary holds its moments, trades, growth and worst dip, which combine along the chain.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from barlake.functions.scalars import null_if_nan, ratio_change
 from barlake.functions.triggers import triggered, valid_direction
 from barlake.operators.chunks import CHUNK, CHUNK_BARS, join_parameters, with_bar_chunk, with_previous
 from barlake.schema import SERIES, STRATEGY
+from barlake.session import stored
 
 # The default starting capital and cost per position change in basis points.
 INITIAL_CAPITAL = 100_000.0
@@ -123,50 +125,67 @@ def _with_signals(rows: DataFrame) -> DataFrame:
     return reduced.drop(*used)
 
 
-def _chunk_outcomes(bars: DataFrame, strategies: DataFrame, toggling: bool) -> DataFrame:
+def _chunk_outcomes(bars: DataFrame, strategies: DataFrame, toggling: bool, measured: bool = False) -> DataFrame:
     """Per chunk and strategy, for both entering positions: final position, growth and growth extremes.
 
-    The last chunk of a series is left out: no other chunk depends on it.
+    With ``measured`` also bars, trades, mean and squared deviations of the returns, the extremes of a bar's gain, and the
+    lowest growth relative to the highest before it within the chunk.
     """
     w = Window.partitionBy(*_KEYS).orderBy("open_time")
-    leading = bars.where("_more").drop("_more")
-    joined = join_parameters(leading, strategies, ["symbol", "interval"], spread=["exchange", CHUNK])
+    joined = join_parameters(bars.drop("_more"), strategies, ["symbol", "interval"], spread=["exchange", CHUNK])
     slim = _with_signals(joined).select(*_KEYS, "open_time", "_signal", "asset_return", "_fee")
     rows = _latch(slim, w, toggling)
-    gains, growths, aggregates = {}, {}, []
+    moves, gains, growths, tops, aggregates = {}, {}, {}, {}, [F.count("*").alias("_bars")] if measured else []
     for entering in (0, 1):
-        start, gain, growth = F.lit(entering), f"_gain{entering}", f"_growth{entering}"
+        start, growth, change = F.lit(entering), f"_growth{entering}", F.col(f"_return{entering}")
         held, target = _before(start), _after(start)
-        gains[gain] = F.lit(1.0) + held * F.col("asset_return") - F.abs(target - held) * F.col("_fee")
-        growths[growth] = F.product(gain).over(_running(w))
+        moves[f"_moved{entering}"] = F.abs(target - held)
+        gains[f"_return{entering}"] = held * F.col("asset_return") - F.col(f"_moved{entering}") * F.col("_fee")
+        growths[growth] = F.product(F.lit(1.0) + change).over(_running(w))
         aggregates += [
             F.max_by(target, "open_time").alias(f"_out{entering}"),
             F.max_by(growth, "open_time").alias(f"_end{entering}"),
             F.max(growth).alias(f"_high{entering}"),
             F.min(growth).alias(f"_low{entering}"),
         ]
-    return rows.withColumns(gains).withColumns(growths).groupBy(*_KEYS).agg(*aggregates)
-
-
-def _chunk_starts(chunks: DataFrame, outcomes: DataFrame, strategies: DataFrame) -> DataFrame:
-    """Every chunk with each of its strategies and the position, growth and peak it starts from."""
-    every = join_parameters(chunks, strategies, ["symbol", "interval"], spread=["exchange", CHUNK])
-    known = every.join(outcomes, _KEYS, "left")
+        if measured:
+            tops[f"_top{entering}"] = F.max(growth).over(_running(w))
+            aggregates += [
+                F.avg(change).alias(f"_mean{entering}"),
+                (F.var_pop(change) * F.count("*")).alias(f"_square{entering}"),
+                F.count_if(F.col(f"_moved{entering}") > 0).alias(f"_trades{entering}"),
+                F.min(change).alias(f"_worst{entering}"),
+                F.max(change).alias(f"_best{entering}"),
+                F.min(F.try_divide(F.col(growth), F.col(f"_top{entering}"))).alias(f"_dip{entering}"),
+            ]
+    return rows.withColumns(moves).withColumns(gains).withColumns(growths).withColumns(tops).groupBy(*_KEYS).agg(*aggregates)
+
+
+def _actual(name: str) -> Column:
+    """The one of a chunk's two outcomes that belongs to the position it is entered with."""
+    return F.when(F.col("_start_position") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
+
+
+def _chained(chunks: DataFrame) -> DataFrame:
+    """Chunk outcomes with the position, growth and peak that each chunk starts from."""
     w = Window.partitionBy(*SERIES, "strategy_id").orderBy(CHUNK)
     # A chunk's outcome pair acts on the position exactly as a bar's triggers do.
     signal = _signal(F.coalesce(F.col("_out0") == 1, F.lit(False)), F.coalesce(F.col("_out1") == 0, F.lit(False)))
-    chained = _latch(known.withColumn("_signal", signal), w, toggling=True)
+    chained = _latch(chunks.withColumn("_signal", signal), w, toggling=True)
     chained = chained.withColumn("_start_position", _before(F.lit(0)).cast("bigint"))
+    grown = chained.withColumn("_start_growth", F.coalesce(F.product(_actual("_end")).over(_earlier(w)), F.lit(1.0)))
+    top = F.greatest(F.col("_start_growth") * _actual("_high"), F.col("_start_growth") * _actual("_low"))
+    return grown.withColumn("_start_peak", F.max(top).over(_earlier(w)))
 
-    def actual(name: str) -> Column:
-        return F.when(F.col("_start_position") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
 
-    grown = chained.withColumn("_start_growth", F.coalesce(F.product(actual("_end")).over(_earlier(w)), F.lit(1.0)))
-    top = F.greatest(F.col("_start_growth") * actual("_high"), F.col("_start_growth") * actual("_low"))
+def _chunk_starts(chunks: DataFrame, outcomes: DataFrame, strategies: DataFrame) -> DataFrame:
+    """Every chunk with each of its strategies and the position, growth and peak it starts from.
+
+    The last chunk of a series needs no outcome: no other chunk depends on it.
+    """
+    every = join_parameters(chunks, strategies, ["symbol", "interval"], spread=["exchange", CHUNK])
     parameters = [c for c in strategies.columns if c not in ("symbol", "interval", "strategy_id")]
-    return grown.withColumn("_start_peak", F.max(top).over(_earlier(w))).select(
-        *_KEYS, *parameters, "_start_position", "_start_growth", "_start_peak"
-    )
+    return _chained(every.join(outcomes, _KEYS, "left")).select(*_KEYS, *parameters, "_start_position", "_start_growth", "_start_peak")
 
 
 def _may_toggle(strategies: DataFrame) -> bool:
@@ -176,21 +195,29 @@ def _may_toggle(strategies: DataFrame) -> bool:
     return not strategies.where(~pair.isin(*opposite)).isEmpty()
 
 
+def _checked(strategies: DataFrame) -> DataFrame:
+    directions = {c: valid_direction(F.col(c)) for c in ("entry_direction", "exit_direction")}
+    return strategies.select(STRATEGY.fieldNames()).withColumns(directions)
+
+
+def _keyed(gold: DataFrame, chunk_bars: int) -> DataFrame:
+    """Bars that have a series, a time and a known interval, with their chunk."""
+    present = F.col("open_time").isNotNull()
+    for name in SERIES:
+        present = present & F.col(name).isNotNull()
+    return with_bar_chunk(gold.where(present), chunk_bars).where(F.col(CHUNK).isNotNull())
+
+
 def strategy_bars(gold: DataFrame, strategies: DataFrame, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """Per bar and strategy: position, returns, costs, equity curve and drawdown.
 
     ``strategies`` has the STRATEGY schema and applies to every series of its symbol and interval.
     """
-    checked = strategies.select(STRATEGY.fieldNames()).withColumns(
-        {c: valid_direction(F.col(c)) for c in ("entry_direction", "exit_direction")}
-    )
-    toggling = _may_toggle(strategies)
-    present = F.col("open_time").isNotNull()
-    for name in SERIES:
-        present = present & F.col(name).isNotNull()
-    keyed = with_bar_chunk(gold.where(present), chunk_bars).where(F.col(CHUNK).isNotNull())
+    checked, toggling = _checked(strategies), _may_toggle(strategies)
+    keyed = _keyed(gold, chunk_bars)
     slim = keyed.select(*SERIES, CHUNK, "open_time", "close")
-    outcomes = _chunk_outcomes(with_previous(slim, SERIES, ["open_time"], "close", "_previous"), checked, toggling)
+    leading = with_previous(slim, SERIES, ["open_time"], "close", "_previous").where("_more")
+    outcomes = _chunk_outcomes(leading, checked, toggling)
     starts = _chunk_starts(slim.select(*SERIES, CHUNK).distinct(), outcomes, checked)
     wide = with_previous(keyed, SERIES, ["open_time"], "close", "_previous").drop("_more")
     w = Window.partitionBy(*_KEYS).orderBy("open_time")
@@ -212,11 +239,8 @@ def strategy_bars(gold: DataFrame, strategies: DataFrame, chunk_bars: int = CHUN
 
 def strategy_metrics(bars: DataFrame) -> DataFrame:
     """Performance of each series and strategy from its per-bar result."""
-    ratio = F.col("_ratio")
-    volatility, scale = F.col("_volatility"), F.sqrt(F.col("_periods"))
-    return (
-        bars.groupBy(*SERIES, "strategy_id")
-        .agg(
+    return _performance(
+        bars.groupBy(*SERIES, "strategy_id").agg(
             F.count("*").alias("bar_count"),
             F.max_by(F.col("equity_curve") / F.col("initial_capital"), "open_time").alias("_ratio"),
             F.avg("strategy_return").alias("_mean"),
@@ -224,28 +248,67 @@ def strategy_metrics(bars: DataFrame) -> DataFrame:
             F.min("drawdown").alias("max_drawdown"),
             F.count_if(F.col("turnover") > 0).alias("trade_count"),
         )
-        .withColumn("_periods", periods_per_year())
-        .select(
-            *SERIES, "strategy_id", "bar_count",
-            (ratio - 1.0).alias("total_return"),
-            null_if_nan(F.pow(ratio, F.col("_periods") / F.col("bar_count")) - 1.0).alias("annualized_return"),
-            (volatility * scale).alias("annualized_volatility"),
-            F.when(volatility == 0, F.lit(0.0)).otherwise(F.col("_mean") / volatility * scale).alias("sharpe_ratio"),
-            "max_drawdown", "trade_count",
+    )
+
+
+def _performance(totals: DataFrame) -> DataFrame:
+    ratio, volatility, scale = F.col("_ratio"), F.col("_volatility"), F.sqrt(F.col("_periods"))
+    return totals.withColumn("_periods", periods_per_year()).select(
+        *SERIES, "strategy_id", "bar_count",
+        (ratio - 1.0).alias("total_return"),
+        null_if_nan(F.pow(ratio, F.col("_periods") / F.col("bar_count")) - 1.0).alias("annualized_return"),
+        (volatility * scale).alias("annualized_volatility"),
+        F.when(volatility == 0, F.lit(0.0)).otherwise(F.col("_mean") / volatility * scale).alias("sharpe_ratio"),
+        "max_drawdown", "trade_count",
+    )
+
+
+def chunk_metrics(outcomes: DataFrame) -> DataFrame:
+    """Performance of each series and strategy from measured chunk outcomes, without looking at bars again.
+
+    Returns combine by counts, means and squared deviations. While growth is positive, a bar's drawdown is the lower of the
+    one within its chunk and the one from the peak the chunk starts with, so the worst of each is enough.
+    """
+    whole = Window.partitionBy(*SERIES, "strategy_id")
+    overall = F.sum(F.col("_bars") * _actual("_mean")).over(whole) / F.sum("_bars").over(whole)
+    dip = F.least(_actual("_dip"), F.try_divide(F.col("_start_growth") * _actual("_low"), F.col("_start_peak")))
+    apart = _actual("_square") + F.col("_bars") * F.pow(_actual("_mean") - F.col("_overall"), 2)
+    chunks = _chained(outcomes).withColumn("_overall", overall)
+    return _performance(
+        chunks.groupBy(*SERIES, "strategy_id").agg(
+            F.sum("_bars").alias("bar_count"),
+            F.max_by(F.col("_start_growth") * _actual("_end"), CHUNK).alias("_ratio"),
+            F.max("_overall").alias("_mean"),
+            F.sqrt(F.sum(apart) / F.sum("_bars")).alias("_volatility"),
+            (F.min(dip) - 1.0).alias("max_drawdown"),
+            F.sum(_actual("_trades")).alias("trade_count"),
         )
     )
 
 
 def evaluate_strategies(gold: DataFrame, strategies: DataFrame, chunk_bars: int = CHUNK_BARS) -> DataFrame:
-    """Metrics per series and strategy; only series, time and close are read from ``gold``.
+    """Metrics per series and strategy in one pass over the bars; only series, time and close are read from ``gold``.
 
-    Raises if there are no bars, or if a strategy id occurs twice for a symbol and interval.
+    Where a bar may lose everything or more, growth does not stay positive and drawdowns do not combine; those series
+    and strategies are evaluated bar by bar. Raises if there are no bars, or if a strategy id occurs twice for a symbol and
+    interval.
     """
     narrow = require_bars(gold.select(*SERIES, "open_time", "close"))
     twice = strategies.groupBy("symbol", "interval", "strategy_id").agg(F.count("*").alias("_n")).where("_n > 1").limit(3).collect()
     if twice:
         raise ValueError(f"Strategy ids occur more than once: {[tuple(row)[:3] for row in twice]}")
-    return strategy_metrics(strategy_bars(narrow, strategies, chunk_bars))
+    keyed = _keyed(narrow, chunk_bars).select(*SERIES, CHUNK, "open_time", "close")
+    bars = with_previous(keyed, SERIES, ["open_time"], "close", "_previous")
+    outcomes = stored(_chunk_outcomes(bars, _checked(strategies), _may_toggle(strategies), measured=True), "strategy-chunks")
+    # NaN compares as larger than any number, so it counts as unsafe too.
+    safe = " AND ".join(f"_worst{i} > -1 AND _best{i} < 1e100 AND _end{i} > 0 AND _low{i} > 0 AND _high{i} < 1e300" for i in (0, 1))
+    key = [*SERIES, "strategy_id"]
+    unsafe = outcomes.where(f"NOT coalesce({safe}, false)").select(*key).distinct()
+    if unsafe.isEmpty():
+        return chunk_metrics(outcomes)
+    own = strategies.join(unsafe.select("symbol", "interval", "strategy_id").distinct(), ["symbol", "interval", "strategy_id"], "left_semi")
+    exact = strategy_metrics(strategy_bars(narrow.join(unsafe, SERIES, "left_semi"), own, chunk_bars)).join(unsafe, key, "left_semi")
+    return chunk_metrics(outcomes.join(unsafe, key, "left_anti")).unionByName(exact)
 
 
 def require_bars(gold: DataFrame) -> DataFrame:

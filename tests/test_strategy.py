@@ -85,6 +85,11 @@ def test_chunks_chain_like_a_loop(spark):
         for have, want in zip(got[strategy[0]], _loop(closes, strategy), strict=True):
             assert have[:2] == want[:2], strategy
             assert have[2:] == pytest.approx(want[2:], rel=1e-9, abs=1e-9), strategy
+    bar_by_bar = {r.strategy_id: [0.0 if v is None else v for v in r[4:]] for r in strategy_metrics(results).collect()}
+    chained = {r.strategy_id: [0.0 if v is None else v for v in r[4:]] for r in evaluate_strategies(bars, table, 16).collect()}
+    assert len(chained) == len(strategies)
+    for name in chained:
+        assert chained[name] == pytest.approx(bar_by_bar[name], rel=1e-9, abs=1e-9, nan_ok=True), name
     small, whole = (
         {r.strategy_id: [0.0 if v is None else v for v in r[5:]] for r in evaluate_strategies(bars, table, n).collect()} for n in (16, 100_000)
     )
@@ -92,6 +97,12 @@ def test_chunks_chain_like_a_loop(spark):
         assert small[name] == pytest.approx(whole[name], rel=1e-6, abs=1e-9, nan_ok=True), name
 
 
+def test_metrics_do_not_read_bars_twice(spark):
+    bars = bar_frame(spark, [100.0 + (i * 7) % 5 for i in range(40)], interval="15m", step=15)
+    plan = evaluate_strategies(bars, crossing_strategies(bars, 102.0, 101.0), 16)._jdf.queryExecution().executedPlan().toString()
+    assert "strategy-chunks" in plan and "close" not in plan
+
+
 def test_no_bars_is_an_error(spark):
     bars = bar_frame(spark, [1.0])
     table = spark.createDataFrame([("s", "AAA", "1m", "above", 1.0, "below", 1.0, 1.0, 0.0)], STRATEGY)
