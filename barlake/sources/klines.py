@@ -28,7 +28,8 @@ def raw_bars_from_payloads(
 ) -> DataFrame:
     """One raw bar per 12-element array of each landed page.
 
-    Unreadable pages give no bars (see ``rejected_pages``), or fail the job if ``strict``. Unreadable times are NULL.
+    Unreadable pages give no bars (see ``rejected_pages``), or fail the job if ``strict``. Unreadable times are NULL
+    (see ``undated``).
     ``pages`` has ``symbol``, ``interval``, the JSON text and, optionally, ``exchange``, ``load_source`` and
     ``ingested_at`` (when the page was fetched; otherwise the time of this job).
     """
@@ -95,6 +96,11 @@ def extract_window(raw: DataFrame, start: datetime | str, end: datetime | str) -
     )
 
 
+def undated(raw: DataFrame) -> DataFrame:
+    """Raw bars without a readable open time. They belong to no window, so loads report them instead of leaving them out."""
+    return raw.where(F.col("open_time").isNull())
+
+
 def extract_recent(raw: DataFrame, count: int = 5) -> DataFrame:
     """The newest ``count`` bars of each series, each in its latest revision."""
     return recent_bars(latest_revision(raw.where(F.col("open_time").isNotNull())), count)

@@ -147,6 +147,12 @@ rules AS (
   {unions})"""
 
 
+LADDER = """rules AS (
+  SELECT event_type AS symbol, CAST(NULL AS VARCHAR) AS "interval", direction, round(100.0::DOUBLE + value / 10 + step, 3) AS threshold,
+         direction || '_' || CAST(step AS INTEGER) || '_' || event_id AS signal_name
+  FROM events, (VALUES ('above'), ('below'), ('cross_above'), ('cross_below')) d(direction), (VALUES (30.0::DOUBLE), (35.0), (40.0)) s(step))"""
+
+
 def alert_rows(source: str, label: str) -> str:
     """Ticks with their predecessor, joined with the rules they fire."""
     return f""",
@@ -409,6 +415,9 @@ UNION ALL SELECT symbol || '|above|abc|' || symbol || '_text', 'threshold is not
         "alerts_users": select(
             rule_rows(BY_USER) + ", " + ticks(BY_USER) + alert_rows("ticks", "spot"), "SELECT * FROM events_out"
         ),
+        "alerts_many_rules": select(
+            LADDER + ", " + ticks() + alert_rows("ticks", "spot"), "SELECT * FROM events_out"
+        ),
         "alerts_on_bars": select(
             rule_rows() + ", " + bars() + """,
 closes AS (SELECT exchange, symbol, open_time AS event_time, close AS price, load_source AS source FROM bars)"""
@@ -471,10 +480,10 @@ WHERE open_time BETWEEN coalesce(start, {NOW} - INTERVAL 1 DAY) AND {NOW}""",
         "load_summary_rejects": select(
             raw() + f""",
 faulty AS (SELECT * REPLACE (CASE WHEN trade_count % 13 <> 0 THEN symbol END AS symbol,
-                             open_time + CASE WHEN trade_count % 17 = 0 THEN INTERVAL 30 MINUTE ELSE INTERVAL 0 MINUTE END AS open_time)
+                             CASE WHEN trade_count % 17 = 0 THEN open_time + INTERVAL 30 MINUTE WHEN trade_count % 7 <> 0 THEN open_time END AS open_time)
            FROM typed WHERE open_time < TIMESTAMP '2024-02-01')""",
             f"""SELECT {KEY}, count(*) AS rows_extracted,
-  count(*) FILTER (WHERE symbol IS NULL OR (epoch_ms(open_time) - epoch_ms(first)) % 3600000 <> 0) AS rows_rejected,
+  count(*) FILTER (WHERE symbol IS NULL OR open_time IS NULL OR (epoch_ms(open_time) - epoch_ms(first)) % 3600000 <> 0) AS rows_rejected,
   'success' AS status
 FROM (SELECT *, min(open_time) OVER (PARTITION BY {KEY}) AS first FROM faulty) GROUP BY ALL""",
         ),

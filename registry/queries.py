@@ -293,6 +293,11 @@ def alerts_users(spark, sf_dir):
     return threshold_alerts(t.ticks(spark, sf_dir, t.BY_USER), rules).drop("metadata")
 
 
+@query
+def alerts_many_rules(spark, sf_dir):
+    return threshold_alerts(t.ticks(spark, sf_dir), t.ladder_rules(spark, sf_dir)).drop("metadata")
+
+
 @query
 def alerts_on_bars(spark, sf_dir):
     rules = rule_table(t.rule_lines(spark, sf_dir))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barlake.functions.intervals import INTERVAL_MINUTES, MINUTE_US
+from barlake.functions.triggers import DIRECTIONS
 from barlake.schema import BRONZE, KLINE_FIELDS, SILVER_COLUMNS
 from barlake.session import pin_utc
 
@@ -118,13 +119,13 @@ def damaged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def faulty_klines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw klines, one in thirteen trade counts without a symbol and one in seventeen half an hour off the grid."""
+    """Raw klines, some without a symbol, some half an hour off the grid, some without an open time."""
     raw = raw_klines(spark, sf_dir)
     trades = F.col("trade_count").cast("bigint")
     return raw.withColumns(
         {
             "symbol": F.when(trades % 13 != 0, F.col("symbol")),
-            "open_time": F.when(trades % 17 == 0, F.col("open_time") + 1_800_000).otherwise(F.col("open_time")),
+            "open_time": F.when(trades % 17 == 0, F.col("open_time") + 1_800_000).when(trades % 7 != 0, F.col("open_time")),
         }
     )
 
@@ -150,6 +151,17 @@ def rule_lines(spark: SparkSession, sf_dir: str, by: str = BY_TYPE) -> DataFrame
     return symbols(spark, sf_dir, by).select(F.explode(F.array(*good, *other)).alias("rule"))
 
 
+def ladder_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve rules per event, of all directions, at levels that only the highest prices reach."""
+    steps = [F.struct(F.lit(d).alias("direction"), F.lit(offset).alias("offset")) for d in DIRECTIONS for offset in (30.0, 35.0, 40.0)]
+    rows = events(spark, sf_dir).select("event_type", "event_id", "value", F.explode(F.array(*steps)).alias("step"))
+    name = F.concat_ws("_", "step.direction", F.col("step.offset").cast("int").cast("string"), F.col("event_id").cast("string"))
+    return rows.select(
+        F.col("event_type").alias("symbol"), F.lit(None).cast("string").alias("interval"), "step.direction",
+        F.round(F.lit(100.0) + F.col("value") / 10 + F.col("step.offset"), 3).alias("threshold"), name.alias("signal_name"),
+    )
+
+
 def strategies(spark: SparkSession, sf_dir: str, by: str = BY_TYPE, interval: str = "1h") -> DataFrame:
     """Three parameter sets per symbol: crossing, level triggers, and one that may enter and leave on one bar."""
     variants = [

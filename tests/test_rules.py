@@ -6,8 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.functions.triggers import triggered
-from barlake.operators import chunks
+from barlake.functions.triggers import DIRECTIONS, triggered
+from barlake.operators import chunks, rules as rules_module
 from barlake.operators.rules import event_lines, price_changes, rejected_rules, rule_table, threshold_alerts
 from barlake.schema import RULE, TICK
 from helpers import minute
@@ -98,3 +98,30 @@ def test_fits_broadcast_measures(spark):
     assert chunks.fits_broadcast(spark.range(10).selectExpr("id"), max_rows=10)
     assert not chunks.fits_broadcast(spark.range(11).selectExpr("id"), max_rows=10)
     assert not chunks.fits_broadcast(spark.range(1).selectExpr("repeat('x', 1000) AS t"), max_bytes=100)
+
+
+@pytest.mark.parametrize("block", [1, 3, 7, 128])
+def test_blocks_of_rules_fire_like_every_rule_compared(spark, monkeypatch, block):
+    draw = random.Random(block)
+    prices = [float(draw.randrange(90, 111)) for _ in range(60)] + [100.0, 100.0, 100.0]
+    stream = ticks(spark, prices).unionByName(ticks(spark, prices[::-1], "BBB")).unionByName(ticks(spark, [float("nan"), 95.0], "CCC"))
+    table = rules(spark, *[
+        (s, None, draw.choice(DIRECTIONS), float(draw.randrange(88, 113)), f"{s}-{i}") for s, n in (("AAA", 80), ("BBB", 5), ("CCC", 40)) for i in range(n)
+    ])
+    monkeypatch.setattr(rules_module, "RULE_BLOCK", 10**6)
+    want = threshold_alerts(stream, table).drop("metadata")
+    monkeypatch.setattr(rules_module, "RULE_BLOCK", block)
+    got = threshold_alerts(stream, table).drop("metadata")
+    assert got.count() == want.count() > 500 and got.exceptAll(want).isEmpty()
+
+
+def test_compared_rules_grow_with_the_alerts(spark):
+    prices = [100.0 + 0.01 * (i % 7) for i in range(200)]
+    observed = price_changes(ticks(spark, prices), chunk_seconds=10**6)
+    for count in (1_000, 10_000):
+        table = spark.range(count).selectExpr("'AAA' AS symbol", "CAST(90 + id * 20.0 / %d AS DOUBLE) AS threshold" % count)
+        blocked, fences = rules_module._rule_blocks(table, 128)
+        assert blocked.groupBy("_block").count().agg(F.max("count")).first()[0] == 128
+        crossed = rules_module._crossed_blocks(observed, fences, count // 128, "event_time", "edge").where("previous_price IS NOT NULL")
+        # A step of at most 0.06 crosses 3 of 1,000 rules, or 30 of 10,000: one block, or two at a cut.
+        assert crossed.groupBy("event_time").count().agg(F.max("count")).first()[0] <= 2

@@ -150,3 +150,24 @@ def test_integrity(spark):
     row = integrity_report(bars).first()
     assert (row.null_close, row.duplicate_keys, row.status) == (1, 1, "fail")
     assert rejected_bars(bars).first().missing.startswith("open,high,low,close")
+
+
+def test_bars_without_a_time_and_unreadable_pages_are_rejected_and_counted(spark, tmp_path):
+    rows = [raw_row(minute(i), "100") for i in range(4)]
+    rows[1]["open_time"] = None
+    raw = raw_frame(spark, rows)
+    pages = spark.createDataFrame([("AAA", "1m", "[]"), ("AAA", "1m", "oops"), ("AAA", "1m", None)], "symbol string, interval string, payload string")
+    lake = Lake(f"{tmp_path}/lake")
+    summary = run_backfill(spark, lake, raw, minute(0), minute(10), pages=pages).first()
+    assert (summary.rows_extracted, summary.rows_rejected, summary.metadata["pages_rejected"]) == (4, 1, "2")
+    rejects = spark.read.json(lake.path("rejects")).collect()
+    assert [r.reject_reason for r in rejects] == ["no series key or open time"]
+    assert spark.read.json(lake.path("rejected_pages")).count() == 2
+    assert column(read_layer(spark, lake.root, "silver"), "is_synthetic") == [False, True, False, False]
+    # An incremental load reports an undated bar once.
+    other = Lake(f"{tmp_path}/other")
+    counts = [run_incremental(spark, other, raw, minute(9 + i), lookback_minutes=60).first().rows_rejected for i in range(2)]
+    assert counts == [1, 0]
+    # Nothing but undated bars is a load too.
+    none = run_backfill(spark, Lake(f"{tmp_path}/none"), raw.where("open_time IS NULL"), minute(0), minute(9)).first()
+    assert (none.rows_extracted, none.rows_rejected, none.rows_loaded) == (1, 1, 0)
