@@ -34,13 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from barlake.llm.common import bounded, join_hot, stored, sub_batches, texts_of
+from barlake.session import scratch_scope
 
 SHINGLE, PERCENT = 3, 90
 VERIFY_COST, BAND_RATIO = 20.0, 1.5
 SKETCH_BITS, SKETCH_LONGS = 512, 8
-CACHED_WORDS, DENSE_STAR, ALWAYS_SHUFFLE = 300_000, 64, 1 << 62
+CACHED_WORDS, DENSE_STAR, LEADER_STEPS, ALWAYS_SHUFFLE = 300_000, 64, 3, 1 << 62
 COMPARED = "a bigint, b bigint, n_a bigint, n_b bigint, linked boolean, added bigint, differ array<bigint>"
-SETS = "doc_id bigint, node bigint, n bigint, light array<bigint>, side array<int>, heavy array<bigint>, sketch array<bigint>"
+SETS = "doc_id bigint, text_hash bigint, node bigint, n bigint, light array<bigint>, side array<int>, heavy array<bigint>, sketch array<bigint>"
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -170,20 +171,20 @@ def document_sets(docs: DataFrame, plan: Plan, width: int = SHINGLE) -> DataFram
         shingled = ShingleSets(width)
         for batch in sub_batches(batches):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, text, text_hash in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 shingles = shingled(text)
                 node = _signed([xxhash.xxh3_64_intdigest(shingles.tobytes())])[0] if len(shingles) else None
                 light, side = light_keys(shingles, plan)
                 parity = np.bincount((shingles & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
                 sketch = np.packbits(parity.astype(np.uint8)).view(np.int64)
-                rows.append((doc_id, node, len(shingles), _signed(light), side, heavy_keys(shingles, plan).view(np.int64), sketch))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                rows.append((doc_id, text_hash, node, len(shingles), _signed(light), side, heavy_keys(shingles, plan).view(np.int64), sketch))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                 names=[c.split()[0] for c in SETS.split(", ")],
             )
 
-    return docs.mapInArrow(describe, SETS)
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(describe, SETS)
 
 
 def _signed(values: list[int]) -> list[int]:
@@ -232,14 +233,31 @@ def shared_lists(sets: DataFrame) -> DataFrame:
 
 
 def starred(lists: DataFrame) -> DataFrame:
-    """key, node and leader: the member of each list that meets the most others in all its lists."""
+    """key, node and leader of each list: the member that meets the most others in all its lists, then the leader among
+    those of that member's own lists that does, and so on a few times.
+
+    Lists of one group of copies so come to share a few leaders. Any leader will do, since all members of a list get the same.
+    """
     weights = lists.groupBy("node").agg(F.sum("rows").alias("weight"), F.count("*").alias("lists"))
     weighed = stored(lists.join(weights, "node"), "jaccard-weights")
-    leaders = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("_best"), F.count("*").alias("members"))
-    leaders = leaders.select("key", F.col("_best.node").alias("leader"), "members")
     total = weighed.count()
+    leaders = stored(
+        weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("best"), F.count("*").alias("members")), "jaccard-leaders"
+    )
+    led = stored(join_hot(weighed.select("key", "node"), leaders, "key", "members", total, ["node"], counted=ALWAYS_SHUFFLE).drop("members"), "jaccard-starred")
+    # What each leader finds in its own lists; most sets lead none.
+    heads = led.select(F.col("best.node").alias("node")).distinct()
+    above = led.join(heads, "node", "left_semi").groupBy("node").agg(F.max("best").alias("higher"))
+    above = stored(above.where("higher.node <> node").select("node", "higher"), "jaccard-above")
+    for _ in range(LEADER_STEPS):
+        step = above.select(F.col("node").alias("_via"), F.col("higher").alias("_next"))
+        above = stored(
+            above.join(step, F.col("higher.node") == F.col("_via"), "left").select("node", F.coalesce("_next", "higher").alias("higher")), "jaccard-above"
+        )
+    final = leaders.join(above, F.col("best.node") == above["node"], "left")
+    final = stored(final.select("key", F.coalesce("higher.node", "best.node").alias("leader"), "members"), "jaccard-leaders")
     return stored(
-        join_hot(weighed.select("key", "node"), leaders, "key", "members", total, ["node"], counted=ALWAYS_SHUFFLE).drop("members"), "jaccard-starred"
+        join_hot(weighed.select("key", "node"), final, "key", "members", total, ["node"], counted=ALWAYS_SHUFFLE).drop("members"), "jaccard-starred"
     )
 
 
@@ -392,11 +410,11 @@ def _mixed_lists(lists: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def linked_groups(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest doc_id reachable over links, of every row."""
+def _grouped(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of all rows, and node, group, component_id and number of rows of every set."""
     rows = texts_of(docs)
     plan = Plan(percent)
-    sets = stored(document_sets(rows, plan, width), "jaccard-docs")
+    sets = stored(document_sets(rows, plan, width), "jaccard-docs", keep=True)
     nodes = stored(
         sets.where("node IS NOT NULL").groupBy("node").agg(
             F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.max("n").alias("n"), F.first("sketch").alias("sketch")
@@ -411,23 +429,43 @@ def linked_groups(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE)
     if not mixed_lists.isEmpty():
         dense = stored(pairs.where("differ IS NOT NULL").select(F.col("a").alias("leader")).distinct(), "jaccard-stars")
         few = compared(cross_pairs(mixed_lists.join(dense, "leader", "left_anti"), nodes, percent), rows, nodes, percent, width)
-        links = links.unionByName(few.where("linked").select("a", "b")).unionByName(dense_links(pairs, groups, percent))
+        # Sets of different groups that link share a list, which then holds several groups; other members need no second look.
+        open_pairs = pairs.join(mixed_lists.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), ["a", "b"], "left_semi")
+        links = links.unionByName(few.where("linked").select("a", "b")).unionByName(dense_links(open_pairs, groups, percent))
         groups = stored(connected(links), "jaccard-groups")
     named = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     least = stored(named.groupBy("group").agg(F.min("rep").alias("component_id"), F.count("*").alias("members")), "jaccard-names")
-    total, counted = _rows(nodes)
-    answers = stored(
-        join_hot(named, least, "group", "members", counted, ["node"], counted=counted).select("node", "component_id", "rows"), "jaccard-answers"
-    )
+    _, counted = _rows(nodes)
+    answers = join_hot(named, least, "group", "members", counted, ["node"], counted=counted).select("node", "group", "component_id", "rows")
+    return sets, stored(answers, "jaccard-answers", keep=True)
+
+
+def linked_groups(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest doc_id reachable over links, of every row."""
+    with scratch_scope(docs.sparkSession):
+        sets, answers = _grouped(docs, percent, width)
+        total, counted = _rows(answers)
     return join_hot(sets.select("doc_id", "node", "n"), answers, "node", "rows", total, ["doc_id"], counted=counted).select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
 def one_of_each_group(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` that name their group, with all columns; rows without an id stay."""
-    gone = stored(
-        linked_groups(docs, percent, width).where("doc_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("_gone")).distinct(),
-        "jaccard-gone",
-    )
-    return docs.join(F.broadcast(gone) if bounded(gone) else gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    """The rows of ``docs``, with all columns, of one document of each group: the smallest doc_id's (null comes last).
+
+    A document is an id with a text. Rows that share an id but not the text are judged apart; rows that repeat both are the
+    same document, and stay or go together. Rows without words stay.
+    """
+    with scratch_scope(docs.sparkSession):
+        sets, answers = _grouped(docs, percent, width)
+        total, counted = _rows(answers)
+        placed = join_hot(sets.select("doc_id", "text_hash", "node"), answers, "node", "rows", total, ["doc_id"], counted=counted)
+        placed = placed.where("node IS NOT NULL").select("group", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash").alias("document"))
+        documents = stored(placed.distinct(), "jaccard-documents")
+        keepers = documents.groupBy("group").agg(F.min("document").alias("keeper"), F.count("*").alias("members")).where("members > 1")
+        keepers = stored(keepers, "jaccard-keepers")
+        grouped, several = keepers.agg(F.coalesce(F.sum("members"), F.lit(0)), F.count("*")).first()
+        met = join_hot(documents, keepers, "group", "members", grouped, ["document"], counted=several).where("document <> keeper")
+        gone = stored(met.select(F.col("document.doc_id").alias("gone_id"), F.col("document.text_hash").alias("gone_text")).distinct(), "jaccard-gone", keep=True)
+    same = docs["doc_id"].cast("bigint").eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_text"])
+    return docs.join(F.broadcast(gone) if bounded(gone) else gone, same, "left_anti")

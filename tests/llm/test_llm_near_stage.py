@@ -37,3 +37,14 @@ def test_near_stage_equals_brute_force_over_five_words(spark, monkeypatch, dense
     texts += [" ".join(base), " ".join([*base[:50], "other", *base[51:]]), " ".join(base[:80])]
     kept = corpus_pipeline.near_stage(spark, documents(spark, texts), "")
     assert sorted(r.doc_id for r in kept.collect()) == kept_ids(texts)
+
+
+def test_ids_that_repeat_or_are_missing_are_judged_by_text(spark):
+    a, b = words(1, 60, 10**6), words(2, 60, 10**6)
+    near = [*a[:59], "other"]
+    rows = [(1, " ".join(a)), (2, " ".join(near)), (2, " ".join(b)), (None, " ".join(a)), (None, None), (3, "")]
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id bigint, text string, gone_id int, node int")
+    kept = corpus_pipeline.near_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([rows[0], rows[2], rows[4], rows[5]], key=str)
+    assert corpus_pipeline.near_stage(spark, docs.limit(0), "").count() == 0
