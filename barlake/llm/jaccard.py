@@ -9,10 +9,9 @@ differ in (and a few spare ones for empty blocks), and a list holds the sets tha
 least one list holds any two sets that link. A list of single shingles would be as long as a phrase is frequent; a block
 is rare even if each of its shingles is not. Blocks depend on the larger set of a pair, so sizes are dealt into bands,
 and a set enters those of its possible partners: one or two. Members of a list are compared in full with one of them, the
-leader. Where a list then still holds several groups, links across them are sought: pair by pair behind exact bounds from
-sizes and parity sketches in small stars, and in large ones through a second inverted index, over the shingles in which
-members differ from their leader, rarest first. No link between different groups is lost, and what is in one group already
-is not paired.
+leader. Where a list then still holds several groups, links across them are sought through a second inverted index, over the
+shingles in which members differ from their leader, rarest first; members that share a change are joined by one of them
+before any two are paired. No link between different groups is lost, and what is in one group already is not paired.
 
 The boundary is the size up to which enumerating costs less than listing and verifying: both costs are per set and grow
 with its size, so where they cross is best for any mix of sizes. Light sets near it also enter the lists of heavy partners.
@@ -31,17 +30,16 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from barlake.llm.common import bounded, join_hot, stored, sub_batches, texts_of
 from barlake.session import scratch_scope
 
 SHINGLE, PERCENT = 3, 90
 VERIFY_COST, BAND_RATIO = 20.0, 1.5
-SKETCH_BITS, SKETCH_LONGS = 512, 8
-CACHED_WORDS, DENSE_STAR, LEADER_STEPS, ALWAYS_SHUFFLE = 300_000, 64, 3, 1 << 62
+CACHED_WORDS, LEADER_STEPS, ALWAYS_SHUFFLE = 300_000, 3, 1 << 62
 COMPARED = "a bigint, b bigint, n_a bigint, n_b bigint, linked boolean, added bigint, differ array<bigint>"
-SETS = "doc_id bigint, text_hash bigint, node bigint, n bigint, light array<bigint>, side array<int>, heavy array<bigint>, sketch array<bigint>"
+SETS = "doc_id bigint, text_hash bigint, node bigint, n bigint, light array<bigint>, side array<int>, heavy array<bigint>"
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -175,10 +173,8 @@ def document_sets(docs: DataFrame, plan: Plan, width: int = SHINGLE) -> DataFram
                 shingles = shingled(text)
                 node = _signed([xxhash.xxh3_64_intdigest(shingles.tobytes())])[0] if len(shingles) else None
                 light, side = light_keys(shingles, plan)
-                parity = np.bincount((shingles & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
-                sketch = np.packbits(parity.astype(np.uint8)).view(np.int64)
-                rows.append((doc_id, text_hash, node, len(shingles), _signed(light), side, heavy_keys(shingles, plan).view(np.int64), sketch))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                rows.append((doc_id, text_hash, node, len(shingles), _signed(light), side, heavy_keys(shingles, plan).view(np.int64)))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                 names=[c.split()[0] for c in SETS.split(", ")],
@@ -217,19 +213,63 @@ def light_links(sets: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("a"), other.alias("b")).where("a <> b").distinct()
 
 
+def _listed_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key and node of all block keys; a node that repeats among a task's rows is listed once."""
+    seen: set[int] = set()
+    for batch in batches:
+        fresh = []
+        for at, node in enumerate(batch.column(0).to_pylist()):
+            if node is not None and node not in seen:
+                seen.add(node)
+                fresh.append(at)
+        rows = batch.take(pa.array(fresh, pa.int64()))
+        for part in sub_batches([rows]):
+            keys = part.column(1)
+            lengths = np.diff(keys.offsets.to_numpy())
+            nodes = np.repeat(part.column(0).to_numpy(), lengths)
+            yield pa.RecordBatch.from_arrays([keys.flatten(), pa.array(nodes, pa.int64())], names=["key", "node"])
+
+
+def _with_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key and node, once each, those whose key the row before or after has too.
+
+    The first and the last row always pass, since the tasks before and after may hold the same key.
+    """
+    def out(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(node, pa.int64())], names=["key", "node"])
+
+    last_key, last_node, last_kept = np.zeros(0, np.int64), np.zeros(0, np.int64), True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.concatenate([last_key, batch.column(0).to_numpy()])
+        node = np.concatenate([last_node, batch.column(1).to_numpy()])
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node = key[new], node[new]
+        kept, same = np.zeros(len(key), bool), key[1:] == key[:-1]
+        kept[1:] |= same
+        kept[:-1] |= same
+        kept[0] |= last_kept
+        last_key, last_node, last_kept = key[-1:], node[-1:], bool(kept[-1])
+        yield out(key[:-1][kept[:-1]], node[:-1][kept[:-1]])
+    if len(last_key):
+        yield out(last_key, last_node)
+
+
 def shared_lists(sets: DataFrame) -> DataFrame:
-    """key, node and rows: members of all block lists with more than one node, and how many rows each list has."""
-    keyed = sets.select("node", F.explode("heavy").alias("key"))
-    lists = stored(
-        keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("rows"))
-        .where("low <> high").select("key", "rows"),
-        "jaccard-lists",
-    )
+    """key, node and rows: members of all block lists with more than one node, and how many members each list has.
+
+    Most keys occur once. Keys are dealt by ranges of (key, node), so a long list is split over tasks, and a sorted range shows
+    which keys have neighbours; only these, and those at the borders of ranges, are counted and joined.
+    """
+    keyed = sets.select("node", "heavy").mapInArrow(_listed_nodes, "key bigint, node bigint")
+    sorted_keys = keyed.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+    near = stored(sorted_keys.mapInArrow(_with_neighbours, "key bigint, node bigint"), "jaccard-near")
+    lists = stored(near.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "jaccard-lists")
     total, _ = _rows(lists)
     # Lists grow with the corpus, so they are joined by shuffle at every size.
-    return stored(
-        join_hot(keyed, lists, "key", "rows", total, ["node"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL").distinct(), "jaccard-shared"
-    )
+    return stored(join_hot(near, lists, "key", "rows", total, ["node"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL"), "jaccard-shared")
 
 
 def starred(lists: DataFrame) -> DataFrame:
@@ -261,23 +301,11 @@ def starred(lists: DataFrame) -> DataFrame:
     )
 
 
-def cross_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list's members in different groups that sizes and sketches do not rule out."""
-    described = lists.join(nodes.select("node", "n", "sketch"), "node")
-    left = described.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "group", "n", "sketch")])
-    right = described.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "group", "n", "sketch")])
-    differ = sum((F.bit_count(F.get("sketch_a", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i)))) for i in range(SKETCH_LONGS)), F.lit(0))
-    allowed = F.floor((F.col("n_a") + F.col("n_b")) * (100 - percent) / (100 + percent))
-    possible = (F.col("group_a") < F.col("group_b")) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (differ <= allowed)
-    pairs = left.join(right, "key").where(possible)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-
-
 def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, width: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) with both sizes and whether their whole sets link.
 
-    Where ``a`` has at least ``DENSE_STAR`` pairs, ``differ`` lists the shingles in which the two sets differ: first those that
-    ``b`` adds, then those that it lacks. Only texts of documents that occur in pairs are read again.
+    ``differ`` lists the shingles in which the two sets differ: first those that ``b`` adds, then those that it lacks. Only
+    texts of documents that occur in pairs are read again.
     """
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,16 +318,11 @@ def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int,
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches):
             rows = []
-            for one, other, star in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(), strict=True):
+            for one, other in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(other.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                same = both[1:] == both[:-1]
-                added = differ = None
-                if star >= DENSE_STAR:
-                    more, less = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
-                    added, differ = len(more), np.concatenate([more, less]).view(np.int64)
-                rows.append((len(x), len(y), int(same.sum()) >= least_overlap(len(x), len(y), percent), added, differ))
+                more, less = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+                linked = len(x) - len(less) >= least_overlap(len(x), len(y), percent)
+                rows.append((len(x), len(y), linked, len(more), np.concatenate([more, less]).view(np.int64)))
             kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64()))
             columns = [pa.array(list(v), k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["a", "b", "n_a", "n_b", "linked", "added", "differ"])
@@ -312,59 +335,91 @@ def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int,
     ids = wanted.select("rep").distinct()
     texts = docs.join(F.broadcast(ids) if small else ids, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi").select("text")
     sets = texts.mapInArrow(shingles, "node bigint, set binary")
-    sets = stored(
-        sets.join(F.broadcast(wanted.select("node")) if small else wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets"
-    )
+    sets = stored(sets.join(F.broadcast(wanted.select("node")) if small else wanted.select("node"), "node", "left_semi"), "jaccard-sets")
+    # Only rows that repeat their id and text bring a set twice.
+    if sets.count() > wanted.count():
+        sets = stored(sets.dropDuplicates(["node"]), "jaccard-sets")
     # A node in very many pairs is copied to as many salts as it fills, so no task holds all its pairs.
     leaders = stored(pairs.groupBy("a").agg(F.count("*").alias("rows")), "jaccard-leaders")
     total, counted = _rows(leaders)
     salts = F.ceil(F.col("rows") / 256)
-    salted = join_hot(pairs, leaders, "a", "rows", total, ["b"], counted=counted).select("a", "b", "rows", F.pmod(F.xxhash64("b"), salts).alias("salt"))
+    salted = join_hot(pairs, leaders, "a", "rows", total, ["b"], counted=counted).select("a", "b", F.pmod(F.xxhash64("b"), salts).alias("salt"))
     left = leaders.join(sets, leaders["a"] == sets["node"]).select(
         "a", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"), F.col("set").alias("set_a")
     )
     right = salted.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    joined = right.join(left, ["a", "salt"]).select("a", "b", "set_a", "set_b", "rows")
+    joined = right.join(left, ["a", "salt"]).select("a", "b", "set_a", "set_b")
     return stored(joined.mapInArrow(compare, COMPARED), "jaccard-compared")
 
 
-def dense_links(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Links across groups between members of one large star, found in the space of differences from its leader.
+def _verified(met: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b_1, b_2) of members of the star of ``a`` that link, as a, b: sizes of their differences and what these share decide."""
+    for side in (1, 2):
+        met = met.join(members.select("a", F.col("b").alias(f"b_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "differ")]), ["a", f"b_{side}"])
+    apart = F.size("differ_1") + F.size("differ_2") - 2 * F.size(F.array_intersect("differ_1", "differ_2"))
+    links = met.where(apart * (100 + percent) <= (F.col("n_1") + F.col("n_2")) * (100 - percent))
+    return stored(links.select(F.col("b_1").alias("a"), F.col("b_2").alias("b")).distinct(), "jaccard-dense")
+
+
+def _open_keys(prefix: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``prefix`` with their ``group``, where members of one key are still in several groups."""
+    grouped = stored(
+        prefix.drop("group").join(groups.select(F.col("node").alias("b"), "group"), "b", "left").withColumn("group", F.coalesce("group", "b")),
+        "jaccard-open",
+    )
+    several = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("rows")).where("low <> high")
+    several = stored(several.select("key", "rows"), "jaccard-several")
+    total, _ = _rows(several)
+    open_rows = join_hot(grouped, several, "key", "rows", total, ["b"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL").drop("rows")
+    return stored(open_rows, "jaccard-open")
 
-    Two members differ in what only one of their differences holds, so sizes of the differences and what they share decide.
-    Of two members in different groups at least one does not link with the leader; then their differences must share
-    shingles, and more the larger they are. So both have a shared shingle among the first of any common order: with ``d``
-    differences, the first min(d, most + 1) where ``most`` linked sets can differ in, and less than the larger half if the member
-    links. Additions come first, which few members share; what members lack follows by its frequency.
+
+def dense_links(pairs: DataFrame, links: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Links across groups between members of one star, found in the space of differences from its leader.
+
+    Two members differ in what only one of their differences holds. Of two members in different groups at least one does
+    not link with the leader; then their differences must share shingles, and more the larger they are. So both have a shared
+    shingle among the first of any common order: with ``d`` differences, the first min(d, most + 1) where ``most`` linked sets
+    can differ in, and about half if the member links with the leader. Additions come first, which few members share; what
+    members lack follows by its frequency in the star, an order no longer than the leader's set.
+
+    Members that meet in a shingle are first compared with one of them, the nearest to the leader, which joins those that
+    made the same change. Only shingles that still hold several groups after that pair their members.
     """
     most = F.floor((F.col("n_b") + F.floor(F.col("n_b") * 100 / percent)) * (100 - percent) / (100 + percent))
     d = F.size("differ").cast("bigint")
-    reach = F.when(F.col("linked"), d - F.floor(d * percent / (100 + percent))).otherwise(F.least(d, most + 1))
-    members = pairs.where("differ IS NOT NULL").join(groups.select(F.col("node").alias("b"), "group"), "b", "left").select(
-        "a", "b", F.coalesce("group", "b").alias("group"), F.col("n_b").alias("n"), "differ", "added", d.alias("d"), reach.alias("reach")
+    need = F.floor((d * (100 + percent) + (F.col("n_a") - F.col("n_b")) * (100 - percent)) / (2 * (100 + percent))) + 1
+    reach = F.when(F.col("linked"), F.least(d, d - need + 1)).otherwise(F.least(d, most + 1))
+    members = stored(
+        pairs.select("a", "b", F.col("n_b").alias("n"), "differ", "added", d.alias("d"), reach.alias("reach")).where("reach > 0"), "jaccard-members"
     )
-    members = stored(members, "jaccard-members")
-    early = F.slice("differ", 1, F.least("reach", "added").cast("int"))
     lacking = F.slice("differ", F.col("added").cast("int") + 1, F.greatest(F.col("d") - F.col("added"), F.lit(0)).cast("int"))
-    first = members.select("a", "b", F.explode(early).alias("shingle"))
-    later = members.where("reach > added").select("a", "b", (F.col("reach") - F.col("added")).alias("left"), F.explode(lacking).alias("shingle"))
-    later = stored(later.withColumn("key", F.xxhash64("a", "shingle")), "jaccard-lacking")
-    common = later.groupBy("key").agg(F.count("*").alias("rows"))
-    by_rarity = Window.partitionBy("a", "b").orderBy("rows", "shingle")
-    ranked = join_hot(later, common, "key", "rows", later.count(), ["b"], counted=ALWAYS_SHUFFLE).withColumn("at", F.row_number().over(by_rarity))
-    prefix = first.select(F.xxhash64("a", "shingle").alias("key"), "a", "b").unionByName(ranked.where("at <= left").select("key", "a", "b"))
-    prefix = stored(prefix.join(members.select("a", "b", "group", "n", "d"), ["a", "b"]), "jaccard-prefix")
+    counts = members.where("reach > added").select("a", F.explode(lacking).alias("shingle")).groupBy("a", "shingle").agg(F.count("*").alias("rows"))
+    orders = counts.groupBy("a").agg(F.transform(F.sort_array(F.collect_list(F.struct("rows", "shingle"))), lambda x: x["shingle"]).alias("order"))
+    sizes = members.groupBy("a").agg(F.count("*").alias("rows"))
+    orders = stored(sizes.join(orders, "a"), "jaccard-orders")
+    total, _ = _rows(orders)
+    ordered = join_hot(members, orders, "a", "rows", total, ["b"], counted=ALWAYS_SHUFFLE)
+    early = F.slice("differ", 1, F.least("reach", "added").cast("int"))
+    late = F.slice(F.array_intersect("order", lacking), 1, F.greatest(F.col("reach") - F.col("added"), F.lit(0)).cast("int"))
+    first = F.when(F.col("reach") > F.col("added"), F.concat(early, late)).otherwise(early)
+    prefix = ordered.select("a", "b", "n", "d", F.explode(first).alias("shingle"))
+    prefix = stored(prefix.withColumn("key", F.xxhash64("a", "shingle")).drop("shingle"), "jaccard-prefix")
+
+    prefix = _open_keys(prefix, groups)
+    heads = stored(prefix.groupBy("key").agg(F.min(F.struct("d", "b", "group")).alias("head"), F.count("*").alias("rows")), "jaccard-heads")
+    total, _ = _rows(heads)
+    near = join_hot(prefix, heads, "key", "rows", total, ["b"], counted=ALWAYS_SHUFFLE).where("group <> head.group")
+    near = _verified(near.select("a", F.col("b").alias("b_1"), F.col("head.b").alias("b_2")).distinct(), members, percent)
+    if not near.isEmpty():
+        groups = stored(connected(links.unionByName(near)), "jaccard-groups")
+        prefix = _open_keys(prefix, groups)
+
     one = prefix.select("key", "a", *[F.col(c).alias(f"{c}_1") for c in ("b", "group", "n", "d")])
     two = prefix.select("key", "a", *[F.col(c).alias(f"{c}_2") for c in ("b", "group", "n", "d")])
-    both = F.col("n_1") + F.col("n_2")
-    close = F.abs(F.col("d_1") - F.col("d_2")) * (100 + percent) <= both * (100 - percent)
-    apart = F.col("d_1") + F.col("d_2") - 2 * F.size(F.array_intersect("differ_1", "differ_2"))
+    close = F.abs(F.col("d_1") - F.col("d_2")) * (100 + percent) <= (F.col("n_1") + F.col("n_2")) * (100 - percent)
     met = one.join(two, ["key", "a"]).where((F.col("b_1") < F.col("b_2")) & (F.col("group_1") != F.col("group_2")) & close)
-    met = met.select("a", "b_1", "b_2", "n_1", "n_2", "d_1", "d_2").distinct()
-    for side in (1, 2):
-        met = met.join(members.select("a", F.col("b").alias(f"b_{side}"), F.col("differ").alias(f"differ_{side}")), ["a", f"b_{side}"])
-    links = met.where(apart * (100 + percent) <= both * (100 - percent))
-    return stored(links.select(F.col("b_1").alias("a"), F.col("b_2").alias("b")).distinct(), "jaccard-dense")
+    return near.unionByName(_verified(met.select("a", "b_1", "b_2").distinct(), members, percent))
 
 
 # Groups.
@@ -417,7 +472,7 @@ def _grouped(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Data
     sets = stored(document_sets(rows, plan, width), "jaccard-docs", keep=True)
     nodes = stored(
         sets.where("node IS NOT NULL").groupBy("node").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.max("n").alias("n"), F.first("sketch").alias("sketch")
+            F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.max("n").alias("n")
         ),
         "jaccard-nodes",
     )
@@ -427,12 +482,10 @@ def _grouped(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Data
     groups = stored(connected(links), "jaccard-groups")
     mixed_lists = _mixed_lists(lists, groups)
     if not mixed_lists.isEmpty():
-        dense = stored(pairs.where("differ IS NOT NULL").select(F.col("a").alias("leader")).distinct(), "jaccard-stars")
-        few = compared(cross_pairs(mixed_lists.join(dense, "leader", "left_anti"), nodes, percent), rows, nodes, percent, width)
         # Sets of different groups that link share a list, which then holds several groups; other members need no second look.
         open_pairs = pairs.join(mixed_lists.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), ["a", "b"], "left_semi")
-        links = links.unionByName(few.where("linked").select("a", "b")).unionByName(dense_links(open_pairs, groups, percent))
-        groups = stored(connected(links), "jaccard-groups")
+        links = stored(links, "jaccard-links")
+        groups = stored(connected(links.unionByName(dense_links(open_pairs, links, groups, percent))), "jaccard-groups")
     named = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     least = stored(named.groupBy("group").agg(F.min("rep").alias("component_id"), F.count("*").alias("members")), "jaccard-names")
     _, counted = _rows(nodes)

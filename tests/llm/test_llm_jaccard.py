@@ -1,7 +1,6 @@
 import random
 import re
 
-import pytest
 from llm_cases import EDGES, documents, edge_docs, no_docs, words
 
 from barlake.llm import jaccard
@@ -54,13 +53,42 @@ def near_copies(seed, size, lengths=(8, 14, 19, 21, 30, 60, 150)):
     return texts
 
 
-@pytest.mark.parametrize("dense", [64, 2])
-def test_groups_equal_brute_force(spark, monkeypatch, dense):
-    monkeypatch.setattr(jaccard, "DENSE_STAR", dense)
+def test_groups_equal_brute_force(spark):
     texts = near_copies(3, 12)
     assert got(documents(spark, texts)) == brute(list(enumerate(texts)))
 
 
+def half_and_half(size):
+    """Near copies with an edit each; half of them also have the same insertion."""
+    draw, base, extra = random.Random(size), words(1, 150, 10**6), words(2, 8, 10**6)
+    rows = []
+    for i in range(size):
+        text = edited(base, 1, draw).split()
+        rows.append(" ".join([*text[:60], *extra, *text[60:]] if i % 2 else text))
+    return rows
+
+
+def test_pairs_grow_with_a_group_that_shares_a_change(spark, monkeypatch):
+    seen, verified = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda met, *rest: seen.append(met.count()) or verified(met, *rest))
+    small, large = half_and_half(120), half_and_half(480)
+    assert got(documents(spark, small)) == brute(list(enumerate(small)))
+    first, seen[:] = sum(seen), []
+    assert got(documents(spark, large)) == brute(list(enumerate(large)))
+    assert sum(seen) <= 5 * max(first, 120)
+
+
+def test_neighbours_are_found_across_batches_and_at_borders():
+    import pyarrow as pa
+
+    rows = [(1, 5), (2, 1), (2, 1), (3, 1), (3, 2), (4, 1), (5, 1), (5, 3), (6, 9), (7, 7), (7, 7)]
+    for size in range(1, len(rows) + 1):
+        parts = [list(zip(*rows[i : i + size])) for i in range(0, len(rows), size)]
+        batches = iter([pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in p], names=["key", "node"]) for p in parts])
+        out = [(r["key"], r["node"]) for b in jaccard._with_neighbours(batches) for r in b.to_pylist()]
+        assert out == [(1, 5), (3, 1), (3, 2), (5, 1), (5, 3), (7, 7)]
+
+
 def test_awkward_rows(spark):
     assert got(edge_docs(spark)) == brute(EDGES)
     assert linked_groups(no_docs(spark)).count() == 0

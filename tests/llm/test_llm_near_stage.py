@@ -1,12 +1,9 @@
 import re
 
 import corpus_pipeline
-import pytest
 from llm_cases import documents, words
 from test_llm_jaccard import near_copies
 
-from barlake.llm import jaccard
-
 
 def five_word_sets(text):
     own = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
@@ -29,9 +26,7 @@ def kept_ids(texts):
     return [i for i in range(len(texts)) if root(i) == i]
 
 
-@pytest.mark.parametrize("dense", [64, 2])
-def test_near_stage_equals_brute_force_over_five_words(spark, monkeypatch, dense):
-    monkeypatch.setattr(jaccard, "DENSE_STAR", dense)
+def test_near_stage_equals_brute_force_over_five_words(spark):
     texts = near_copies(5, 10, (4, 6, 9, 12, 16, 25, 60, 150))
     base = words(77, 100, 10**6)
     texts += [" ".join(base), " ".join([*base[:50], "other", *base[51:]]), " ".join(base[:80])]
