@@ -152,7 +152,7 @@ WITH u AS (
 ), judged AS (
     SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 0 WHEN rule IS NOT NULL THEN 1 END AS label FROM ruled
 ), leaves AS (
-    SELECT host, shape, count(*) AS pages, count(label) AS labelled, coalesce(sum(label), 0) AS blocked,
+    SELECT host, shape, count(*) AS pages, coalesce(sum(label), 0) AS blocked,
            [x FOR x IN string_split(shape, '/') IF x <> ''] AS seg FROM judged GROUP BY host, shape
 ), l0 AS (
     SELECT *, coalesce(seg[1], '') AS s1, coalesce(seg[2], '') AS s2, array_to_string(seg[3:], '/') AS s3 FROM leaves
@@ -166,25 +166,27 @@ WITH u AS (
     SELECT * REPLACE (CASE WHEN count(DISTINCT s3) OVER w >= 16 AND count(DISTINCT s3) OVER w > 0.5 * sum(pages) OVER w
                            THEN '*' ELSE s3 END AS s3) FROM l2 WINDOW w AS (PARTITION BY host, s1, s2)
 ), sums AS (
-    SELECT *, sum(labelled) OVER a AS n0, sum(blocked) OVER a AS b0, sum(labelled) OVER b AS n1, sum(blocked) OVER b AS b1,
-           sum(labelled) OVER c AS n2, sum(blocked) OVER c AS b2, sum(labelled) OVER d AS n3, sum(blocked) OVER d AS b3
+    SELECT *, sum(pages) OVER a AS n0, sum(blocked) OVER a AS b0, sum(pages) OVER b AS n1, sum(blocked) OVER b AS b1,
+           sum(pages) OVER c AS n2, sum(blocked) OVER c AS b2, sum(pages) OVER d AS n3, sum(blocked) OVER d AS b3
     FROM l3 WINDOW a AS (PARTITION BY host), b AS (PARTITION BY host, s1), c AS (PARTITION BY host, s1, s2),
                    d AS (PARTITION BY host, s1, s2, s3)
 ), named AS (
     SELECT *, CASE
-        WHEN n3 > 0 AND abs(b3 / n3 - (b2 + 1.0) / (n2 + 2.0)) >=
+        WHEN abs(b3 / n3 - (b2 + 1.0) / (n2 + 2.0)) >=
              1.96 * sqrt((b2 + 1.0) / (n2 + 2.0) * (1.0 - (b2 + 1.0) / (n2 + 2.0)) / n3) THEN concat_ws('/', host, s1, s2, s3)
-        WHEN n2 > 0 AND abs(b2 / n2 - (b1 + 1.0) / (n1 + 2.0)) >=
+        WHEN abs(b2 / n2 - (b1 + 1.0) / (n1 + 2.0)) >=
              1.96 * sqrt((b1 + 1.0) / (n1 + 2.0) * (1.0 - (b1 + 1.0) / (n1 + 2.0)) / n2) THEN concat_ws('/', host, s1, s2, '**')
-        WHEN n1 > 0 AND abs(b1 / n1 - (b0 + 1.0) / (n0 + 2.0)) >=
+        WHEN abs(b1 / n1 - (b0 + 1.0) / (n0 + 2.0)) >=
              1.96 * sqrt((b0 + 1.0) / (n0 + 2.0) * (1.0 - (b0 + 1.0) / (n0 + 2.0)) / n1) THEN concat_ws('/', host, s1, '**')
         ELSE concat_ws('/', host, '**') END AS template FROM sums
 ), pure AS (
-    SELECT host, shape, template, (sum(blocked) OVER t + 4.0 * b0 / (n0 + 4.0)) / (sum(labelled) OVER t + 4.0) AS purity
+    SELECT host, shape, template, sum(blocked) OVER t AS evidence,
+           (sum(blocked) OVER t + 4.0 * (SELECT sum(blocked) / sum(pages) FROM leaves)) / (sum(pages) OVER t + 4.0) AS purity
     FROM named WINDOW t AS (PARTITION BY template)
 )
 SELECT page_id, host, path, rule,
-       CASE WHEN label = 1 THEN 'block' WHEN label = 0 THEN 'allow' WHEN purity >= 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+       CASE WHEN label = 1 THEN 'block' WHEN label = 0 THEN 'allow'
+            WHEN purity >= 0.5 AND evidence > 0 THEN 'block' ELSE 'allow' END AS verdict,
        template
 FROM judged JOIN pure USING (host, shape)
 """

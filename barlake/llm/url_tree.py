@@ -3,13 +3,15 @@
 Rules judge first, the longest that fits. They also label pages, and from these labels each host's tree learns to judge
 its other pages: path segments lose their numbers, a segment that takes almost as many values as it has pages becomes a
 wildcard, and a branch whose share of blocked pages does not differ significantly from its parent's is merged into it.
-What remains are templates. Each has a purity, the share of blocked among its labelled pages, smoothed towards its host's,
-which is smoothed towards zero. Templates of a purity of ``REJECT`` or more are rejected, so a host without labelled pages
-is allowed.
+Pages without a label count as not blocked, so a branch that no rule speaks of stands apart from blocked siblings as soon as
+it has the pages to show it. What remains are templates. Each has a purity, the share of blocked among its pages, smoothed
+towards the share among all pages. Templates of a purity of ``REJECT`` or more are rejected if a page of theirs is blocked,
+so a host without blocked pages is allowed.
 
 Pages are reduced to one row per host and path shape, combined before the shuffle; the tree works on these. Only
 DataFrame functions are used. A null url has an empty host and path; repeated rows count each and are judged alike;
-without any label nothing is rejected. An empty table gives no row.
+without any label nothing is rejected. A null page_id is judged like any other, and so is a path of any length, whose segments from
+the third on are one. Only url and page_id are read. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -48,8 +50,7 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Co
 
 def _sums(leaves: DataFrame, key: str, suffix: str) -> DataFrame:
     return leaves.groupBy(key).agg(
-        F.sum("labelled").alias(f"labelled{suffix}"), F.sum("blocked").alias(f"blocked{suffix}"),
-        F.count("*").alias(f"leaves{suffix}"),
+        F.sum("pages").alias(f"pages{suffix}"), F.sum("blocked").alias(f"blocked{suffix}"), F.count("*").alias(f"leaves{suffix}"),
     )
 
 
@@ -58,13 +59,13 @@ def _key(level: int) -> Column:
 
 
 def path_templates(parts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """host, shape, pages, template and purity, one row per host and path shape.
+    """host, shape, pages, template, and purity and blocked pages of the template, one row per host and path shape.
 
     ``parts`` has host, path and label (1 blocked, 0 allowed, null unknown). Segments beyond ``depth`` form one.
     """
     shaped = parts.select("host", "label", F.regexp_replace("path", "[0-9]+", "#").alias("shape"))
     leaves = shaped.groupBy("host", "shape").agg(
-        F.count("*").alias("pages"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked")
+        F.count("*").alias("pages"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked")
     )
     segments = F.filter(F.split("shape", "/"), lambda s: s != "")
     leaves = leaves.withColumn("_segments", segments)
@@ -72,7 +73,7 @@ def path_templates(parts: DataFrame, depth: int = DEPTH) -> DataFrame:
         one = F.get("_segments", F.lit(i - 1)) if i < depth else F.array_join(F.slice("_segments", depth, F.greatest(F.size("_segments"), F.lit(1))), "/")
         leaves = leaves.withColumn(f"s{i}", F.coalesce(one, F.lit("")))
     leaves = stored(leaves.drop("_segments"), "url-leaves")
-    count = leaves.count()
+    count, all_pages, all_blocked = leaves.agg(F.count("*"), F.sum("pages"), F.sum("blocked")).first()
 
     for i in range(1, depth + 1):
         keyed = leaves.withColumn("_key", _key(i - 1))
@@ -92,18 +93,18 @@ def path_templates(parts: DataFrame, depth: int = DEPTH) -> DataFrame:
         leaves = stored(leaves.drop("_key", f"leaves_{i}"), "url-sums")
     level = F.lit(0)
     for i in range(1, depth + 1):
-        own, parent = (F.col(f"blocked_{i}") / F.col(f"labelled_{i}")), (F.col(f"blocked_{i - 1}") + 1.0) / (F.col(f"labelled_{i - 1}") + 2.0)
-        distance = F.abs(own - parent) / F.sqrt(parent * (1.0 - parent) / F.col(f"labelled_{i}"))
-        level = F.when((F.col(f"labelled_{i}") > 0) & (distance >= SIGNIFICANT), F.lit(i)).otherwise(level)
+        own, parent = F.col(f"blocked_{i}") / F.col(f"pages_{i}"), (F.col(f"blocked_{i - 1}") + 1.0) / (F.col(f"pages_{i - 1}") + 2.0)
+        apart = F.abs(own - parent) >= SIGNIFICANT * F.sqrt(parent * (1.0 - parent) / F.col(f"pages_{i}"))
+        level = F.when(apart, F.lit(i)).otherwise(level)
     named = leaves.withColumn("_level", level)
     template = F.lit(None).cast("string")
     for i in range(depth + 1):
         template = F.when(F.col("_level") == i, F.concat(_key(i), F.lit("/**" if i < depth else ""))).otherwise(template)
     named = named.withColumn("template", template)
     pooled = join_hot(named, _sums(named, "template", "_t"), "template", "leaves_t", count, ["shape"])
-    host_purity = F.col("blocked_0") / (F.col("labelled_0") + SMOOTHING)
-    purity = (F.col("blocked_t") + SMOOTHING * host_purity) / (F.col("labelled_t") + SMOOTHING)
-    return pooled.select("host", "shape", "pages", "template", purity.alias("purity"))
+    prior = all_blocked / all_pages if all_pages else 0.0
+    purity = (F.col("blocked_t") + F.lit(SMOOTHING) * F.lit(prior)) / (F.col("pages_t") + SMOOTHING)
+    return pooled.select("host", "shape", "pages", "template", purity.alias("purity"), F.col("blocked_t").alias("blocked"))
 
 
 def judge_pages(pages: DataFrame, rules: Sequence[Rule], reject: float = REJECT) -> DataFrame:
@@ -115,9 +116,9 @@ def judge_pages(pages: DataFrame, rules: Sequence[Rule], reject: float = REJECT)
     parts = parts.withColumn("label", F.when(F.col("_says") == "block", 1).when(F.col("_says") == "allow", 0))
     key = F.concat_ws("/", "host", F.regexp_replace("path", "[0-9]+", "#"))
     templates = stored(path_templates(parts), "url-templates").select(
-        F.concat_ws("/", "host", "shape").alias("_key"), "pages", "template", "purity"
+        F.concat_ws("/", "host", "shape").alias("_key"), "pages", "template", "purity", "blocked"
     )
     total = pages.count()
     judged = join_hot(parts.withColumn("_key", key), templates, "_key", "pages", total, ["page_id"])
-    learnt = F.when(F.col("purity") >= reject, "block").otherwise("allow")
+    learnt = F.when((F.col("purity") >= reject) & (F.col("blocked") > 0), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("_says", learnt).alias("verdict"), "template")

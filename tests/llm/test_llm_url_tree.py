@@ -39,9 +39,11 @@ def test_templates_learn_from_labelled_branches(spark):
     same = ["http://h.net/es", "http://h.net/en/7"]
     clean = [f"http://x.org/page/{i}" for i in range(30)] + [f"http://y.com/{c}{c}{i}/a" for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
     rows = judged(spark, blocked + same + clean + [blocked[0]])
-    assert {rows[i].verdict for i in range(82)} == {"block"}
+    assert {rows[i].verdict for i in range(80)} == {"block"}
+    assert (rows[81].verdict, rows[81].template) == ("allow", "h.net/en/**")
     assert {rows[i].verdict for i in range(82, 82 + len(clean))} == {"allow"}
-    assert rows[80].template == "h.net/**" and rows[138].verdict == "block"
+    # The page above 40 blocked ones differs from them significantly.
+    assert (rows[80].verdict, rows[80].template) == ("allow", "h.net/es//**") and rows[138].verdict == "block"
     assert judge_pages(spark.createDataFrame([], "page_id bigint, url string"), URL_RULES).count() == 0
 
 
@@ -57,3 +59,23 @@ def test_variable_segments_become_wildcards(spark):
     rows = path_templates(parts).groupBy("template").agg(F.sum("pages").alias("n"), F.max("purity").alias("p")).collect()
     assert {r.template: r.n for r in rows} == {"h/item/**": 100, "h/news/**": 100}
     assert {r.template: r.p >= 0.5 for r in rows} == {"h/item/**": True, "h/news/**": False}
+
+
+def test_branches_stand_apart_only_where_they_differ(spark):
+    blocked = [f"http://h.net/es/{c}" for c in "abcdefgh"]
+    urls = blocked + [f"http://h.net/en/{c}" for c in "abcdefgh"] + ["http://lone.net/en/a", "http://lone.net/es/a"]
+    rows = judged(spark, urls)
+    assert {rows[i].template for i in range(8, 16)} == {"h.net/en/**"} and {rows[i].verdict for i in range(8, 16)} == {"allow"}
+    assert {rows[i].template for i in range(8)} == {"h.net/es/**"}
+    # Two pages show no difference, so they are judged together.
+    assert rows[16].template == rows[17].template == "lone.net/**"
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    long = "http://h.net/es/" + "x/" * 20000
+    rows = [(None, "http://h.net/es/1", 1, "a"), (1, long, 2, "b"), (1, long, 2, "b"), (2, None, None, None), (3, "http://h.net/es", 4, "c")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, purity int, host string")
+    found = judge_pages(pages, URL_RULES)
+    assert found.columns == ["page_id", "host", "path", "rule", "verdict", "template"]
+    got = sorted(((r.page_id, r.host, r.verdict) for r in found.collect()), key=str)
+    assert got == sorted([(None, "h.net", "block"), (1, "h.net", "block"), (1, "h.net", "block"), (2, "", "allow"), (3, "h.net", "block")], key=str)
