@@ -236,10 +236,15 @@ class Features:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int, limit: int) -> DataFrame:
-    """text and toxic of the labelled rows to learn from; ``limit`` rows of labels at most are broadcast."""
+    """text and toxic to learn from: one row for each of ``limit`` labelled ids at most, which are broadcast.
+
+    Of an id with several texts, the one with the smallest hash is taken, so ids that repeat do not enlarge the sample.
+    """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     chosen = known.where(id_text_bucket(F.col("doc_id"), folds) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    found = docs.join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return one.select("least.text", "toxic")
 
 
 def significant_features(rows: DataFrame, costs: list[float], most: int) -> tuple[list[str], int, int]:

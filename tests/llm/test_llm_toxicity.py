@@ -1,4 +1,5 @@
 import random
+import zlib
 
 from llm_cases import edge_docs, no_docs
 
@@ -67,3 +68,12 @@ def test_punctuation_does_not_hide_words(spark):
         ("-".join(["the"] * 14 + ["lake", "idiot"] + ["quiet"] * 9), "idiot"), (" ".join("the" * 20 + "idiot" + "quiet" * 9), "idiot"),
     ):
         assert word in extract(text), text
+
+
+def test_the_sample_has_one_row_for_each_labelled_id(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)] + [(ids[0], f"other {j}") for j in range(300)] + [(None, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(ids[0], 1), (None, 1)], "doc_id bigint, toxic int")
+    rows = tox.training_rows(docs, labels, 5, 20_000).collect()
+    assert len(rows) == len(ids) and {r.text for r in rows} >= {f"text {i}" for i in ids[1:]}
+    assert tox.training_rows(docs, labels, 5, 7).count() == 7
