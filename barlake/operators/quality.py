@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barlake.functions.intervals import step_us
+from barlake.operators.chunks import floor_div
 from barlake.schema import PRIMARY_KEY, SERIES, SILVER_COLUMNS
 
 
@@ -22,17 +23,36 @@ def daily_completeness(bars: DataFrame) -> DataFrame:
     )
 
 
+def key_counts(bars: DataFrame) -> DataFrame:
+    """row_count, distinct_pk and the first and last open_time of each series.
+
+    64 neighbouring grid times are one word with a bit for each, so tasks combine their bars into words before the shuffle
+    and what is shuffled is a row per 64 bars. Times off the grid are kept one by one.
+    """
+    at, step = F.unix_micros("open_time"), step_us()
+    slot = floor_div(at, step)
+    on_grid = F.pmod(at, step) == 0
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
+    marked = bars.select(
+        *SERIES, "open_time", floor_div(slot, F.lit(64)).alias("_word"), F.when(on_grid, bit).alias("_bit"),
+        F.when(~on_grid, F.col("open_time")).alias("_off"),
+    )
+    words = marked.groupBy(*SERIES, "_word", "_off").agg(
+        F.count("*").alias("_rows"), F.bit_or("_bit").alias("_bits"), F.min("open_time").alias("_first"), F.max("open_time").alias("_last")
+    )
+    times = F.when(F.col("_off").isNotNull(), 1).otherwise(F.coalesce(F.bit_count("_bits"), F.lit(0)))
+    return words.groupBy(*SERIES).agg(
+        F.sum("_rows").alias("row_count"), F.sum(times).alias("distinct_pk"),
+        F.min("_first").alias("min_open_time"), F.max("_last").alias("max_open_time"),
+    )
+
+
 def window_report(bars: DataFrame, series: DataFrame | None = None, allow_empty: bool = False) -> DataFrame:
     """One row per series: row and key counts, time range, missing bars, and a pass/fail status.
 
     ``series`` lists the series expected in the window, so that an empty one is reported as well.
     """
-    counts = bars.groupBy(*SERIES).agg(
-        F.count("*").alias("row_count"),
-        F.countDistinct("open_time").alias("distinct_pk"),
-        F.min("open_time").alias("min_open_time"),
-        F.max("open_time").alias("max_open_time"),
-    )
+    counts = key_counts(bars)
     if series is not None:
         wanted = series.select(*SERIES).distinct()
         counts = wanted.join(counts, SERIES, "left").fillna(0, ["row_count", "distinct_pk"])
@@ -59,14 +79,10 @@ def assert_quality(report: DataFrame) -> None:
         raise RuntimeError("Data quality failed: " + "; ".join(str(row.asDict()) for row in shown))
 
 
-def _required() -> list[str]:
-    return SILVER_COLUMNS
-
-
 def missing_columns() -> Column:
     """Names of the required columns that are NULL in a row."""
     return F.filter(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in _required()]), lambda name: name.isNotNull()
+        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in SILVER_COLUMNS]), lambda name: name.isNotNull()
     )
 
 
@@ -75,9 +91,9 @@ def integrity_report(bars: DataFrame) -> DataFrame:
     counts = bars.groupBy(*SERIES).agg(
         F.count("*").alias("row_count"),
         (F.count("open_time") - F.countDistinct("open_time")).alias("duplicate_keys"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in _required() if c not in SERIES],
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in SILVER_COLUMNS if c not in SERIES],
     )
-    nulls = sum((F.col(f"null_{c}") for c in _required() if c not in SERIES), F.lit(0))
+    nulls = sum((F.col(f"null_{c}") for c in SILVER_COLUMNS if c not in SERIES), F.lit(0))
     keyless = F.greatest(*[F.col(c).isNull().cast("int") for c in SERIES])
     violated = (F.col("duplicate_keys") > 0) | (nulls > 0) | (keyless > 0)
     return counts.withColumn("status", F.when(violated, "fail").otherwise("pass"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from barlake.schema import SERIES
 
+# The columns of the report.
 LATEST_COLUMNS = ["open_time", "open", "high", "low", "close", "volume", "return_1", "ma_5", "ma_20", "vol_5"]
 
 

@@ -46,11 +46,16 @@ def ticks(by: str = BY_TYPE) -> str:
   FROM events)"""
 
 
-def bars(by: str = BY_TYPE) -> str:
-    return ticks(by) + """,
-bars AS (
-  SELECT exchange, symbol, '1h' AS "interval", date_trunc('hour', event_time) AS open_time,
-         date_trunc('hour', event_time) + INTERVAL 1 HOUR - INTERVAL 1 MILLISECOND AS close_time,
+def bars(by: str = BY_TYPE, code: str = "1h", minutes: int = 60) -> str:
+    return ticks(by) + "," + bar_rows("bars", code, minutes)
+
+
+def bar_rows(name: str, code: str, minutes: int) -> str:
+    start = f"time_bucket(INTERVAL {minutes} MINUTE, event_time)"
+    return f"""
+{name} AS (
+  SELECT exchange, symbol, '{code}' AS "interval", {start} AS open_time,
+         {start} + INTERVAL {minutes} MINUTE - INTERVAL 1 MILLISECOND AS close_time,
          arg_min(price, event_time) AS open, max(price) AS high, min(price) AS low,
          arg_max(price, event_time) AS close, CAST(count(*) AS DOUBLE) AS volume, sum(price) AS quote_volume,
          count(*) AS trade_count,
@@ -78,8 +83,8 @@ def dedup(source: str = "typed", name: str = "latest") -> str:
   QUALIFY row_number() OVER (PARTITION BY {PK} ORDER BY ingested_at DESC NULLS FIRST) = 1)"""
 
 
-def fill(source: str, name: str = "silver") -> str:
-    """Reindex to a spine of hours from the first to the last bar of each series."""
+def fill(source: str, name: str = "silver", minutes: int = 60) -> str:
+    """Reindex to a spine of bars from the first to the last bar of each series."""
     zero = ("volume", "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume")
     picks = ", ".join(
         f"CASE WHEN synthetic THEN known_close ELSE {c} END AS {c}" for c in ("open", "high", "low", "close")
@@ -87,7 +92,7 @@ def fill(source: str, name: str = "silver") -> str:
     zeros = ", ".join(f"CASE WHEN synthetic THEN 0 ELSE {c} END AS {c}" for c in zero)
     return f""",
 {name}_spine AS (
-  SELECT {KEY}, unnest(generate_series(first_bar, last_bar, INTERVAL 1 HOUR)) AS open_time
+  SELECT {KEY}, unnest(generate_series(first_bar, last_bar, INTERVAL {minutes} MINUTE)) AS open_time
   FROM (SELECT {KEY}, min(open_time) AS first_bar, max(open_time) AS last_bar FROM {source} GROUP BY ALL)),
 {name}_joined AS (
   SELECT {", ".join(f"s.{c.strip()}" for c in PK.split(","))}, b.* EXCLUDE ({PK}), b.load_source IS NULL AS synthetic
@@ -98,7 +103,7 @@ def fill(source: str, name: str = "silver") -> str:
          last_value(ingested_at IGNORE NULLS) OVER w AS known_ingested
   FROM {name}_joined WINDOW w AS ({SERIES_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 {name} AS (
-  SELECT {PK}, CASE WHEN synthetic THEN open_time + INTERVAL 1 HOUR - INTERVAL 1 MILLISECOND ELSE close_time END
+  SELECT {PK}, CASE WHEN synthetic THEN open_time + INTERVAL {minutes} MINUTE - INTERVAL 1 MILLISECOND ELSE close_time END
            AS close_time,
          {picks}, {zeros}, synthetic AS is_synthetic, known_source AS load_source, known_ingested AS ingested_at
   FROM {name}_known)"""
@@ -226,17 +231,27 @@ def results(columns: str, by: str = BY_TYPE) -> str:
     return select(silver(by) + strategy("silver"), f"SELECT {PK}, strategy_id, {columns} FROM results")
 
 
-def quality(source: str) -> str:
+def quality(source: str, bar_ms: str = "3600000") -> str:
     return f"""SELECT *, CASE WHEN reason IS NULL THEN 'pass' ELSE 'fail' END AS status FROM (
   SELECT *, CASE WHEN row_count <> distinct_pk THEN 'duplicate primary key'
                  WHEN gap_violations > 0 THEN 'missing bars' END AS reason
-  FROM (SELECT *, greatest((epoch_ms(max_open_time) - epoch_ms(min_open_time)) // 3600000 + 1 - row_count, 0)
+  FROM (SELECT *, greatest((epoch_ms(max_open_time) - epoch_ms(min_open_time)) // ({bar_ms}) + 1 - row_count, 0)
                   AS gap_violations
         FROM (SELECT {KEY}, count(*) AS row_count, count(DISTINCT open_time) AS distinct_pk,
                      min(open_time) AS min_open_time, max(open_time) AS max_open_time
               FROM {source} GROUP BY ALL)))"""
 
 
+def all_intervals() -> str:
+    """The report over bars of every interval."""
+    # Interval codes and their minutes.
+    codes = {"1m": 1, "3m": 3, "5m": 5, "15m": 15, "30m": 30, "1h": 60, "2h": 120, "4h": 240, "6h": 360, "8h": 480, "12h": 720, "1d": 1440}
+    parts = [bar_rows(f"bars{i}", code, minutes) for i, (code, minutes) in enumerate(codes.items())]
+    union = " UNION ALL ".join(f"SELECT * FROM bars{i}" for i in range(len(codes)))
+    length = "CASE \"interval\" " + " ".join(f"WHEN '{code}' THEN {minutes * 60_000}" for code, minutes in codes.items()) + " END"
+    return select(ticks() + "," + ",".join(parts) + f",\nevery AS ({union})", quality("every", length))
+
+
 def completeness(by: str) -> str:
     return select(silver(by), """SELECT symbol, "interval", date_trunc('day', open_time) AS trading_day,
   count(*) AS bar_count, CAST(sum(CASE WHEN is_synthetic THEN 1 ELSE 0 END) AS BIGINT) AS synthetic_bar_count,
@@ -381,6 +396,9 @@ FROM typed JOIN pages USING ({KEY}) WHERE CAST(open_time AS DATE) = covered AND
         "features": select(silver() + features("silver"), GOLD_ROWS),
         "features_users": select(silver(BY_USER) + features("silver"), GOLD_ROWS),
         "features_small_chunks": pick(FEATURES),
+        "features_five_minutes": select(bars(BY_TYPE, "5m", 5) + fill("bars", minutes=5) + features("silver"), GOLD_ROWS),
+        "features_daily": select(bars(BY_USER, "1d", 1440) + fill("bars", minutes=1440) + features("silver"), GOLD_ROWS),
+        "quality_report_intervals": all_intervals(),
         "latest_bars_top20": select(
             silver() + features("silver"),
             f"""SELECT {rounded("open_time, open, high, low, close, volume, return_1, ma_5, ma_20, vol_5")}

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from barlake.functions.intervals import INTERVAL_MINUTES
 from barlake.functions.scalars import iso_text, to_number
 from barlake.operators.cleaning import clean_bars, fill_missing_bars, latest_revision, normalize_bars
 from barlake.operators.features import add_moving_averages, add_returns, add_volatility, feature_frame
@@ -215,6 +217,16 @@ def features_small_chunks(spark, sf_dir):
     return feature_frame(_bars(spark, sf_dir, t.BY_USER), chunk_bars=24).select(*PRIMARY_KEY, *FEATURE_COLUMNS)
 
 
+@query
+def features_five_minutes(spark, sf_dir):
+    return feature_frame(fill_missing_bars(stored(t.bars(spark, sf_dir, interval="5m"), "bars")))
+
+
+@query
+def features_daily(spark, sf_dir):
+    return feature_frame(fill_missing_bars(stored(t.bars(spark, sf_dir, t.BY_USER, "1d"), "bars")))
+
+
 # Reports.
 
 
@@ -243,6 +255,12 @@ def quality_report(spark, sf_dir):
     return window_report(t.bars(spark, sf_dir, t.BY_USER))
 
 
+@query
+def quality_report_intervals(spark, sf_dir):
+    every = [t.bars(spark, sf_dir, interval=code) for code in INTERVAL_MINUTES]
+    return window_report(reduce(DataFrame.unionByName, every))
+
+
 @query
 def quality_report_filled(spark, sf_dir):
     return window_report(_silver(spark, sf_dir, t.BY_USER))

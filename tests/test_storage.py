@@ -136,6 +136,16 @@ def test_quality_cases(spark, times, reason, gaps):
     assert row.status == ("pass" if reason is None else "fail")
 
 
+def test_keys_are_counted_exactly_on_and_off_the_grid(spark):
+    times = [*range(-70, 70, 3), *range(-70, 70, 6), 0.5, 0.5, 0.25, -3.5, 64, 64]
+    bars = bar_frame(spark, [1.0] * len(times), times=times)
+    bars = bars.unionByName(bars.limit(1).withColumn("open_time", F.lit(None).cast("timestamp")))
+    row = window_report(bars.repartition(3)).first()
+    wanted = bars.agg(F.count("*"), F.countDistinct("open_time"), F.min("open_time"), F.max("open_time")).first()
+    assert (row.row_count, row.distinct_pk, row.min_open_time, row.max_open_time) == tuple(wanted)
+    assert row.distinct_pk == len(set(times)) and row.reason == "duplicate primary key"
+
+
 def test_empty_window(spark):
     bars = bar_frame(spark, [1.0])
     series = bars.select(*SERIES)
