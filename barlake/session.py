@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _scopes = threading.local()
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -37,14 +38,21 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def stored(frame: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write a frame to the shared folder and read it back: later passes scan columns instead of recomputing.
 
-    Inside ``scratch_scope`` the table goes with the scope, unless ``keep`` says that a result still reads it.
+    Inside ``scratch_scope`` the table goes with the scope, unless ``keep`` says that a result still reads it. Shuffle files
+    behind the table go as soon as it is complete, rather than when the driver's garbage collector finds them.
     """
     folder = scratch_dir(frame.sparkSession, label)
     path = f"{folder}/table"
     open_scopes = getattr(_scopes, "stack", [])
     if open_scopes and not keep:
         open_scopes[-1].append(folder)
-    frame.write.parquet(path)
+    conf = frame.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
