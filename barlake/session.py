@@ -35,17 +35,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return tempfile.mkdtemp(prefix=f"barlake-{label}-")
 
 
-def stored(frame: DataFrame, label: str, keep: bool = False) -> DataFrame:
+def stored(frame: DataFrame, label: str, keep: bool = False, outer: bool = False) -> DataFrame:
     """Write a frame to the shared folder and read it back: later passes scan columns instead of recomputing.
 
-    Inside ``scratch_scope`` the table goes with the scope, unless ``keep`` says that a result still reads it. Shuffle files
-    behind the table go as soon as it is complete, rather than when the driver's garbage collector finds them.
+    Inside ``scratch_scope`` the table goes with the scope, unless ``keep`` says that a result still reads it, or with the scope
+    around it if ``outer`` says so. Shuffle files behind the table go as soon as it is complete, rather than when the
+    driver's garbage collector finds them.
     """
     folder = scratch_dir(frame.sparkSession, label)
     path = f"{folder}/table"
     open_scopes = getattr(_scopes, "stack", [])
-    if open_scopes and not keep:
-        open_scopes[-1].append(folder)
+    if len(open_scopes) > outer and not keep:
+        open_scopes[-2 if outer else -1].append(folder)
     conf = frame.sparkSession.conf
     before = conf.get(SHUFFLE_CLEANUP, "false")
     conf.set(SHUFFLE_CLEANUP, "true")
