@@ -37,7 +37,7 @@ from barlake.session import scratch_scope
 
 SHINGLE, PERCENT = 3, 90
 VERIFY_COST, BAND_RATIO = 20.0, 1.5
-CACHED_WORDS, LEADER_STEPS, ALWAYS_SHUFFLE = 300_000, 3, 1 << 62
+CACHED_WORDS, CACHED_LEADERS, LEADER_STEPS, ALWAYS_SHUFFLE = 300_000, 32, 3, 1 << 62
 COMPARED = "a bigint, b bigint, n_a bigint, n_b bigint, linked boolean, added bigint, differ array<bigint>"
 SETS = "doc_id bigint, text_hash bigint, node bigint, n bigint, light array<bigint>, side array<int>, heavy array<bigint>"
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -269,7 +269,7 @@ def shared_lists(sets: DataFrame) -> DataFrame:
     lists = stored(near.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "jaccard-lists")
     total, _ = _rows(lists)
     # Lists grow with the corpus, so they are joined by shuffle at every size.
-    return stored(join_hot(near, lists, "key", "rows", total, ["node"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL"), "jaccard-shared")
+    return join_hot(near, lists, "key", "rows", total, ["node"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL")
 
 
 def starred(lists: DataFrame) -> DataFrame:
@@ -296,30 +296,26 @@ def starred(lists: DataFrame) -> DataFrame:
         )
     final = leaders.join(above, F.col("best.node") == above["node"], "left")
     final = stored(final.select("key", F.coalesce("higher.node", "best.node").alias("leader"), "members"), "jaccard-leaders")
-    return stored(
-        join_hot(weighed.select("key", "node"), final, "key", "members", total, ["node"], counted=ALWAYS_SHUFFLE).drop("members"), "jaccard-starred"
-    )
+    return join_hot(weighed.select("key", "node"), final, "key", "members", total, ["node"], counted=ALWAYS_SHUFFLE).drop("members")
 
 
 def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, width: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) with both sizes and whether their whole sets link.
 
-    ``differ`` lists the shingles in which the two sets differ: first those that ``b`` adds, then those that it lacks. Only
-    texts of documents that occur in pairs are read again.
+    ``differ`` lists the shingles in which the two sets differ: first those that ``b`` adds, then those that it lacks. Texts
+    travel, not sets, which are several times larger; only those of documents that occur in pairs are read again.
     """
 
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingled = ShingleSets(width)
-        for batch in sub_batches(batches):
-            found = [shingled(text) for text in batch.column(0).to_pylist()]
-            digests = _signed([xxhash.xxh3_64_intdigest(s.tobytes()) for s in found])
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "set"])
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingled, leaders = ShingleSets(width), {}
         for batch in sub_batches(batches):
             rows = []
-            for one, other in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(other.as_buffer(), np.uint64)
+            for a, one, other in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if a not in leaders:
+                    if len(leaders) >= CACHED_LEADERS:
+                        leaders = {}
+                    leaders[a] = shingled(one.as_py())
+                x, y = leaders[a], shingled(other.as_py())
                 more, less = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
                 linked = len(x) - len(less) >= least_overlap(len(x), len(y), percent)
                 rows.append((len(x), len(y), linked, len(more), np.concatenate([more, less]).view(np.int64)))
@@ -328,28 +324,30 @@ def compared(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int,
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["a", "b", "n_a", "n_b", "linked", "added", "differ"])
 
     pairs = stored(pairs, "jaccard-pairs")
-    wanted = stored(
-        nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "rep"), "jaccard-wanted"
-    )
-    small = bounded(wanted)
-    ids = wanted.select("rep").distinct()
-    texts = docs.join(F.broadcast(ids) if small else ids, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi").select("text")
-    sets = texts.mapInArrow(shingles, "node bigint, set binary")
-    sets = stored(sets.join(F.broadcast(wanted.select("node")) if small else wanted.select("node"), "node", "left_semi"), "jaccard-sets")
-    # Only rows that repeat their id and text bring a set twice.
-    if sets.count() > wanted.count():
-        sets = stored(sets.dropDuplicates(["node"]), "jaccard-sets")
     # A node in very many pairs is copied to as many salts as it fills, so no task holds all its pairs.
     leaders = stored(pairs.groupBy("a").agg(F.count("*").alias("rows")), "jaccard-leaders")
     total, counted = _rows(leaders)
     salts = F.ceil(F.col("rows") / 256)
     salted = join_hot(pairs, leaders, "a", "rows", total, ["b"], counted=counted).select("a", "b", F.pmod(F.xxhash64("b"), salts).alias("salt"))
-    left = leaders.join(sets, leaders["a"] == sets["node"]).select(
-        "a", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("salt"), F.col("set").alias("set_a")
-    )
-    right = salted.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    joined = right.join(left, ["a", "salt"]).select("a", "b", "set_a", "set_b")
-    return stored(joined.mapInArrow(compare, COMPARED), "jaccard-compared")
+    at = nodes.select("node", "rep", "rep_text")
+    left = stored(leaders.join(at, leaders["a"] == at["node"]).select("a", salts.alias("salts"), "rep", "rep_text"), "jaccard-left")
+    right = stored(salted.join(at, salted["b"] == at["node"]).select("a", "b", "salt", "rep", "rep_text"), "jaccard-right")
+    # Only rows that repeat their id and text bring a text twice.
+    if not nodes.where("copies > 1").isEmpty():
+        read = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
+            left.select("rep", "rep_text").union(right.select("rep", "rep_text")).distinct(),
+            F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_hash") == F.col("rep_text")), "left_semi",
+        )
+        docs = stored(read.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text"), "jaccard-texts")
+
+    def with_text(places: DataFrame, name: str) -> DataFrame:
+        placed = F.broadcast(places) if bounded(places) else places
+        found = docs.join(placed, docs["doc_id"].eqNullSafe(placed["rep"]) & (F.xxhash64(docs["text"]) == placed["rep_text"]))
+        return found.withColumnRenamed("text", name).drop("doc_id", "rep", "rep_text")
+
+    copies = with_text(left, "text_a").select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), "text_a")
+    joined = with_text(right, "text_b").join(copies, ["a", "salt"]).select("a", "b", "text_a", "text_b")
+    return joined.mapInArrow(compare, COMPARED)
 
 
 def _verified(met: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -469,16 +467,26 @@ def _grouped(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Data
     """The sets of all rows, and node, group, component_id and number of rows of every set."""
     rows = texts_of(docs)
     plan = Plan(percent)
-    sets = stored(document_sets(rows, plan, width), "jaccard-docs", keep=True)
-    nodes = stored(
-        sets.where("node IS NOT NULL").groupBy("node").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.max("n").alias("n")
-        ),
-        "jaccard-nodes",
+    spark = docs.sparkSession
+    # Tables that only one step needs go with it.
+    with scratch_scope(spark):
+        keyed = stored(document_sets(rows, plan, width), "jaccard-keys")
+        sets = stored(keyed.select("doc_id", "text_hash", "node", "n"), "jaccard-docs", keep=True)
+        light = stored(light_links(keyed), "jaccard-light", outer=True)
+        lists = stored(shared_lists(keyed), "jaccard-shared", outer=True)
+    # A node stands for texts with one set. The first document of its smallest id (null comes last) represents it.
+    documents = sets.where("node IS NOT NULL").groupBy("node", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "copies")).alias("first")
+    nodes = documents.groupBy("node").agg(first, F.sum("copies").alias("rows")).select(
+        "node", F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("rep_text"), F.col("first.copies").alias("copies"), "rows"
     )
-    lists = starred(shared_lists(sets))
-    pairs = compared(lists.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), rows, nodes, percent, width)
-    links = light_links(sets).unionByName(pairs.where("linked").select("a", "b"))
+    nodes = stored(nodes, "jaccard-nodes")
+    with scratch_scope(spark):
+        lists = stored(starred(lists), "jaccard-starred", outer=True)
+    with scratch_scope(spark):
+        pairs = lists.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = stored(compared(pairs, rows, nodes, percent, width), "jaccard-compared", outer=True)
+    links = light.unionByName(pairs.where("linked").select("a", "b"))
     groups = stored(connected(links), "jaccard-groups")
     mixed_lists = _mixed_lists(lists, groups)
     if not mixed_lists.isEmpty():
