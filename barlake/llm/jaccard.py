@@ -4,9 +4,9 @@ Equal sets are one node. Two sets of sizes n and m link if they share at least t
 ones, are found by subsets: each enumerates its subsets of exactly t(n, m) shingles for every size m that can link. Sets that
 meet in such a subset link by definition, so nothing is verified and a star of links per subset is enough.
 
-Heavy sets are found by inverted lists. The hash range of a shingle is cut into blocks, one more than two linked sets can
-differ in (and a few spare ones for empty blocks), and a list holds the sets that have the same shingles in a block; at
-least one list holds any two sets that link. A list of single shingles would be as long as a phrase is frequent; a block
+Heavy sets are found by inverted lists. The hash range of a shingle is cut into blocks, more than two linked sets can
+differ in, and a list holds the sets that have the same shingles in a block; as many of a set's smallest blocks as are spare
+are not listed, and at least one list holds any two sets that link. A list of single shingles would be as long as a phrase is frequent; a block
 is rare even if each of its shingles is not. Blocks depend on the larger set of a pair, so sizes are dealt into bands,
 and a set enters those of its possible partners: one or two. Members of a list are compared in full with one of them, the
 leader. Where a list then still holds several groups, links across them are sought through a second inverted index, over the
@@ -36,7 +36,7 @@ from barlake.llm.common import bounded, join_hot, stored, sub_batches, texts_of
 from barlake.session import scratch_scope
 
 SHINGLE, PERCENT = 3, 90
-VERIFY_COST, BAND_RATIO = 20.0, 1.5
+VERIFY_COST, BAND_RATIO, SPARE = 20.0, 1.5, 6
 CACHED_WORDS, CACHED_LEADERS, LEADER_STEPS, ALWAYS_SHUFFLE = 300_000, 32, 3, 1 << 62
 COMPARED = "a bigint, b bigint, n_a bigint, n_b bigint, linked boolean, added bigint, differ array<bigint>"
 SETS = "doc_id bigint, text_hash bigint, node bigint, n bigint, light array<bigint>, side array<int>, heavy array<bigint>"
@@ -119,12 +119,16 @@ class Plan:
         low, high = self.band(max(n, self.boundary + 1)), self.band(largest)
         return list(range(low, high + 1))
 
-    def blocks(self, band: int) -> tuple[int, int]:
-        """Number of blocks of a band, and how many empty ones a set may have before it lists them too."""
+    def blocks(self, band: int) -> int:
+        """Number of blocks of a band: what its largest sets can differ in, and spare ones so that small blocks need not be listed."""
         self.band(self.edges[band])
         differ = most_different(2 * (self.edges[band + 1] - 1), self.percent)
-        spare = 1 + differ // 64
-        return differ + 1 + spare, spare
+        return differ + 2 + differ // SPARE
+
+    def surely_equal(self, n: int, band: int) -> int:
+        """In how many blocks of a band, at least, a set of ``n`` agrees with any set that it links with."""
+        partner = min(100 * n // self.percent, self.edges[band + 1] - 1)
+        return self.blocks(band) - most_different(n + partner, self.percent)
 
 
 @lru_cache(maxsize=256)
@@ -133,15 +137,23 @@ def _cuts(count: int) -> np.ndarray:
 
 
 def heavy_keys(shingles: np.ndarray, plan: Plan) -> np.ndarray:
+    """Keys of the blocks that have at least ``least`` shingles, as large a bound as leaves one block that partners agree in.
+
+    Fewer blocks are smaller than ``least`` than partners surely agree in, and a block that they agree in is of one size. Of
+    two partners the one with the larger bound so shares a block that the other lists too. Blocks of a shingle or two, which
+    texts with one common passage may share, need not be listed.
+    """
     keys = []
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(shingles + ODD[0]), dtype=np.uint64)])
     for band in plan.bands(len(shingles)):
-        count, spare = plan.blocks(band)
+        count = plan.blocks(band)
         ends = np.concatenate([[0], np.searchsorted(shingles, _cuts(count)), [len(shingles)]])
-        empty = ends[1:] == ends[:-1]
+        sizes = np.diff(ends)
+        at = plan.surely_equal(len(shingles), band) - 1
+        least = np.partition(sizes, at)[at]
         digest = sums[ends[1:]] - sums[ends[:-1]]
         key = mixed(mixed(digest) + np.uint64(band << 32) + np.arange(count, dtype=np.uint64) * ODD[1])
-        keys.append(key if empty.sum() > spare else key[~empty])
+        keys.append(key[sizes >= least])
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
@@ -453,8 +465,11 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def _mixed_lists(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """key, node, leader and group of the lists that hold more than one group."""
-    grouped = lists.join(groups, "node", "left").select("key", "node", "leader", F.coalesce("group", "node").alias("group"))
+    """key, node, leader and group of the members, without their leader, of lists in which these are of more than one group.
+
+    Members have been compared with their leader already.
+    """
+    grouped = lists.where("node <> leader").join(groups, "node", "left").select("key", "node", "leader", F.coalesce("group", "node").alias("group"))
     several = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("rows")).where("low <> high")
     several = stored(several.select("key", "rows"), "jaccard-several")
     total, _ = _rows(several)

@@ -1,10 +1,14 @@
 import random
 import re
 
+import numpy as np
+import pytest
 from llm_cases import EDGES, documents, edge_docs, no_docs, words
 
 from barlake.llm import jaccard
-from barlake.llm.jaccard import Plan, connected, least_overlap, linked_groups, one_of_each_group
+from barlake.llm.jaccard import (
+    Plan, _cuts, connected, heavy_keys, least_overlap, linked_groups, most_different, one_of_each_group, partner_sizes,
+)
 
 
 def shingles(text):
@@ -104,7 +108,31 @@ def test_costs_choose_the_boundary():
         for m in range(n, 100 * n // 90 + 1):
             band = plan.band(m)
             assert band in plan.bands(n) and band in plan.bands(m)
-            assert n + m - 2 * least_overlap(n, m) < plan.blocks(band)[0] - plan.blocks(band)[1]
+            agreed = plan.blocks(band) - (n + m - 2 * least_overlap(n, m))
+            assert 0 < plan.surely_equal(n, band) <= agreed and 0 < plan.surely_equal(m, band) <= agreed
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_partners_share_a_block_however_their_differences_are_spread(percent):
+    plan, draw, pairs = Plan(percent), np.random.default_rng(percent), 0
+    for _ in range(1500):
+        n = int(draw.integers(plan.boundary + 1, 900))
+        m = int(draw.choice(list(partner_sizes(n, percent))))
+        one = np.unique(draw.integers(0, 1 << 64, n, dtype=np.uint64))
+        differ = most_different(n + m, percent)
+        lacks, adds = (differ - m + n) // 2, (differ + m - n) // 2
+        cuts = _cuts(plan.blocks(plan.band(max(n, m, plan.boundary + 1))))
+        # One difference in each block, those with the most shingles first.
+        blocks = np.searchsorted(cuts, one, "right")
+        largest = np.argsort(-np.bincount(blocks, minlength=len(cuts) + 1), kind="stable")
+        gone = [int(np.flatnonzero(blocks == b)[0]) for b in largest[:lacks] if (blocks == b).any()]
+        fresh = [np.uint64(int(cuts[b - 1] if b else 0) + 1 + int(draw.integers(1000))) for b in largest[lacks : lacks + adds]]
+        other = np.unique(np.concatenate([np.delete(one, gone), np.array(fresh, np.uint64)]))
+        shared = len(np.intersect1d(one, other))
+        if 100 * shared >= percent * (len(one) + len(other) - shared) and max(len(one), len(other)) > plan.boundary:
+            pairs += 1
+            assert len(np.intersect1d(heavy_keys(one, plan), heavy_keys(other, plan)))
+    assert pairs > 1000
 
 
 def test_chains_and_stars_are_connected(spark):
