@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +126,25 @@ def test_compared_rules_grow_with_the_alerts(spark):
         crossed = rules_module._crossed_blocks(observed, fences, count // 128, "event_time", "edge").where("previous_price IS NOT NULL")
         # A step of at most 0.06 crosses 3 of 1,000 rules, or 30 of 10,000: one block, or two at a cut.
         assert crossed.groupBy("event_time").count().agg(F.max("count")).first()[0] <= 2
+
+
+def test_crossed_blocks_are_never_broadcast_and_rules_not_repeated(spark, monkeypatch):
+    """An observation repeated for every block it crosses looks small to Spark, and each rule used to be repeated 64 times."""
+    monkeypatch.setattr(rules_module, "RULE_BLOCK", 8)
+    monkeypatch.setattr(rules_module, "fits_broadcast", lambda *args, **kwargs: False)
+    monkeypatch.setattr(rules_module, "BLOCK_READINGS", 10)
+    table = rules(spark, *[("AAA", None, "cross_above", 90.0 + i / 10, f"r{i}") for i in range(100)])
+    stream = ticks(spark, [85.0, 120.0] * 40)
+    events = threshold_alerts(stream, table)
+    plan = events._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"(\w+) \[symbol#\d+, _block#\d+, _part#\d+\]", plan)) == {"SortMergeJoin"}
+    assert events.count() == 40 * 100 and events.select("signal_name", "event_time").distinct().count() == 40 * 100
+
+
+def test_blocks_of_a_symbol_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(rules_module, "RULE_BLOCKS", 16)
+    table = spark.range(5000).selectExpr("'AAA' AS symbol", "CAST(pmod(id * 7919, 5000) AS DOUBLE) AS threshold")
+    blocked, fences = rules_module._rule_blocks(table, 128)
+    assert fences.selectExpr("size(_fences)").first()[0] == 15
+    sizes = blocked.groupBy("_block").agg(F.count("*").alias("n"), F.min("threshold").alias("low")).orderBy("low").collect()
+    assert [row.n for row in sizes] == [313] * 15 + [305] and [row._block for row in sizes] == list(range(16))
