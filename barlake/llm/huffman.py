@@ -78,8 +78,8 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def _decode_table(packed: bytes, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Id and code length for every value of the next ``max_bits`` bits."""
+def _decode_table(packed: bytes, max_bits: int) -> np.ndarray:
+    """Id and, in the lowest five bits, code length for every value of the next ``max_bits`` bits."""
     lengths = np.frombuffer(zlib.decompress(packed), np.uint8)
     codes = canonical_codes(lengths)
     used = np.flatnonzero(lengths)
@@ -88,7 +88,7 @@ def _decode_table(packed: bytes, max_bits: int) -> tuple[np.ndarray, np.ndarray]
     symbols, sizes = np.zeros(1 << max_bits, np.uint32), np.ones(1 << max_bits, np.uint8)
     filled = int(spans.sum())
     symbols[:filled], sizes[:filled] = np.repeat(used, spans), np.repeat(lengths[used], spans)
-    return symbols, sizes
+    return symbols << 5 | sizes
 
 
 def encode_ids(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray, int]:
@@ -109,19 +109,20 @@ def encode_ids(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple
 
 def decode_ids(stream: bytes, checkpoints: np.ndarray, count: int, packed: bytes, max_bits: int) -> np.ndarray:
     """All ids of a block: one lane per checkpoint, one id per lane and step."""
-    symbols, sizes = _decode_table(packed, max_bits)
+    table = _decode_table(packed, max_bits)
     data = np.frombuffer(stream + b"\0\0\0\0", np.uint8).astype(np.uint32)
-    out, at = np.zeros((CHECKPOINT, len(checkpoints)), np.uint32), checkpoints.astype(np.int64)
+    window = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
+    bits = np.uint32 if len(stream) < 1 << 29 else np.uint64
+    out, at = np.zeros((CHECKPOINT, len(checkpoints)), np.uint32), checkpoints.astype(bits)
     last = count - (len(checkpoints) - 1) * CHECKPOINT
-    limit = 8 * len(stream)
+    limit, room, mask = bits(8 * len(stream)), bits(24 - max_bits), bits((1 << max_bits) - 1)
     for step in range(CHECKPOINT):
         if step == last:
             at = at[:-1]
-        byte = np.minimum(at, limit) >> 3
-        peek = data[byte] << 16 | data[byte + 1] << 8 | data[byte + 2]
-        value = peek >> (24 - max_bits - (at & 7)).astype(np.uint32) & ((1 << max_bits) - 1)
-        out[step, : len(at)] = symbols[value]
-        at = at + sizes[value]
+        entry = table[window[np.minimum(at, limit) >> 3] >> room - (at & 7) & mask]
+        out[step, : len(at)] = entry
+        at = at + (entry & 31)
+    out >>= 5
     return out.T.reshape(-1)[:count]
 
 

@@ -12,15 +12,17 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
 
 CACHED_WORDS, CACHED_PIECES, AT_ONCE = 350_000, 250_000, 4096
-# The pieces of the tokenizer's pattern, for text that is lower-cased already.
-PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PLAIN = re.compile(r"[!-~¡-ɏ]+")
+# The pieces of the tokenizer's pattern, for text that is lower-cased already, and the ends of lines.
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n"
+PLAIN, PRINTED = re.compile(r"[!-~¡-ɏ\n]*"), re.compile(r"[!-~\n]*")
+# The same pieces where all is printable ASCII.
+ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\n]+|\n")
 SPECIAL = b"<|"
 
 
@@ -61,26 +63,38 @@ class WordEncoder:
         owners = np.searchsorted(starts, np.array([a for a, _ in encoding.offsets], np.int64), "right") - 1
         self._keep(self.words, words, np.array(encoding.ids, self.dtype), np.searchsorted(owners, np.arange(len(words) + 1)))
 
-    def _learn(self, words: list[bytes]) -> None:
-        plain, other = [], []
-        for word in words:
-            text = word.decode()
-            if PLAIN.fullmatch(text) and SPECIAL not in word:
-                plain.append((word, self.find(text.lower())))
-            else:
-                other.append(word)
+    def _know_pieces(self, found: Iterable[str]) -> dict[str, bytes]:
         if len(self.pieces) > CACHED_PIECES:
             self.pieces, self.old_pieces = {}, self.pieces
-        pieces, old = self.pieces, self.old_pieces
-        new = []
-        for piece in {piece for _, found in plain for piece in found}.difference(pieces):
-            if (ids := old.get(piece)) is None:
-                new.append(piece)
-            else:
-                pieces[piece] = ids
+        pieces, new = self.pieces, set(found).difference(self.pieces)
+        again = self.old_pieces.keys() & new
+        pieces.update((piece, self.old_pieces[piece]) for piece in again)
+        new = list(new.difference(again))
         for at in range(0, len(new), AT_ONCE):
             self._learn_pieces(new[at : at + AT_ONCE])
-        self.words.update((word, b"".join(map(pieces.__getitem__, found))) for word, found in plain)
+        return pieces
+
+    def _learn_lines(self, words: list[bytes], find: Callable[[str], list[str]]) -> None:
+        """Words of plain characters, cut into pieces as one text with a word on each line."""
+        cut = find(b"\n".join(words).decode().lower())
+        pieces = self._know_pieces({*cut}.difference("\n"))
+        ends = [at for at, piece in enumerate(cut) if piece == "\n"]
+        start = 0
+        for word, end in zip(words, [*ends, len(cut)], strict=True):
+            self.words[word] = pieces[cut[start]] if end == start + 1 else b"".join([pieces[piece] for piece in cut[start:end]])
+            start = end + 1
+
+    def _learn(self, words: list[bytes]) -> None:
+        printed, latin, other = [], [], []
+        for word in words:
+            (printed if word.isascii() else latin).append(word)
+        for group, pattern, find in ((printed, PRINTED, ASCII_PIECE.findall), (latin, PLAIN, self.find)):
+            lines = b"\n".join(group)
+            if SPECIAL in lines or not pattern.fullmatch(lines.decode()):
+                other += [word for word in group if SPECIAL in word or not pattern.fullmatch(word.decode())]
+                group = list(set(group).difference(other))
+            if group:
+                self._learn_lines(group, find)
         for at in range(0, len(other), AT_ONCE):
             self._learn_whole(other[at : at + AT_ONCE])
 
@@ -88,22 +102,14 @@ class WordEncoder:
         split = [text.encode().split() for text in texts]
         if len(self.words) > CACHED_WORDS:
             self.words, self.old_words = {}, self.words
-        known = self.words.get
-        found = [list(map(known, own)) for own in split]
-        gaps = [[at for at, ids in enumerate(parts) if ids is None] if None in parts else [] for parts in found]
-        if any(gaps):
-            new, old = [], self.old_words.get
-            for word in {own[at] for own, missing in zip(split, gaps, strict=True) for at in missing}:
-                if (ids := old(word)) is None:
-                    new.append(word)
-                else:
-                    self.words[word] = ids
-            if new:
+        new = set().union(*split).difference(self.words)
+        if new:
+            again = self.old_words.keys() & new
+            self.words.update((word, self.old_words[word]) for word in again)
+            if new := list(new.difference(again)):
                 self._learn(new)
-            for own, parts, missing in zip(split, found, gaps, strict=True):
-                for at in missing:
-                    parts[at] = self.words[own[at]]
-        return list(map(b"".join, found))
+        ids = self.words.__getitem__
+        return [b"".join(map(ids, own)) for own in split]
 
 
 @lru_cache(maxsize=2)

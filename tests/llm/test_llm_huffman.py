@@ -64,3 +64,16 @@ def test_files_give_every_document_back(spark, tmp_path):
             at += len(ids)
         assert got == want
     assert h.coded_roundtrip(no_docs(spark), WORD_TOKENIZER).count() == 0
+
+
+def test_new_words_are_cut_into_pieces_together():
+    """A batch's new words take a few calls of the pattern and the tokenizer, however many they are."""
+    from barlake.llm import tokens
+
+    encoder = tokens.WordEncoder(WORD_TOKENIZER)
+    calls = []
+    find, encoder.find = encoder.find, lambda text: calls.append(text) or find(text)
+    texts = [" ".join(f"Wörd{i}x don't, A-{i}! naïve" for i in range(200)), "\x00odd <|x|> Σας it's", "", "  \t\n"]
+    got = encoder.encode(texts)
+    assert len(calls) <= 2
+    assert got == [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
