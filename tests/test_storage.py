@@ -181,3 +181,18 @@ def test_bars_without_a_time_and_unreadable_pages_are_rejected_and_counted(spark
     # Nothing but undated bars is a load too.
     none = run_backfill(spark, Lake(f"{tmp_path}/none"), raw.where("open_time IS NULL"), minute(0), minute(9)).first()
     assert (none.rows_extracted, none.rows_rejected, none.rows_loaded) == (1, 1, 0)
+
+
+def test_rows_of_empty_folders_are_written_without_ranking(spark, tmp_path, monkeypatch):
+    """Bars of days that hold nothing yet go to their folders as they are; days that hold bars are merged by key."""
+    from barlake.sources import layers
+
+    ranked, merge_rows = [], layers.merge_rows
+    monkeypatch.setattr(layers, "merge_rows", lambda old, new: ranked.append(new.count()) or merge_rows(old, new))
+    bars = bar_frame(spark, [float(i) for i in range(15)], times=[day * 1440 + i for day in range(3) for i in range(5)])
+    root, rows = str(tmp_path), bars.where(F.col("open_time") < F.lit(minute(2 * 1440)))
+    assert merge_layer(spark, rows, root, "silver", DAY_LAYOUT, unique=True) == 10 and ranked == []
+    later = bars.where(F.col("open_time") >= F.lit(minute(1440))).withColumn("close", F.col("close") + 100)
+    assert merge_layer(spark, later, root, "silver", DAY_LAYOUT, unique=True) == 10 and ranked == [5]
+    want = rows.where(F.col("open_time") < F.lit(minute(1440))).unionByName(later)
+    assert same_rows(read_layer(spark, root, "silver").drop("date"), want)
