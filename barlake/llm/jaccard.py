@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from barlake.llm.common import bounded, join_hot, stored, sub_batches, texts_of
+from barlake.llm.tokens import release_encoder
 from barlake.session import scratch_scope
 
 SHINGLE, PERCENT = 3, 90
@@ -178,6 +179,7 @@ def document_sets(docs: DataFrame, plan: Plan, width: int = SHINGLE) -> DataFram
     """Size, node and keys of every document; the node is a digest of the set, null if it is empty."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoder()
         shingled = ShingleSets(width)
         for batch in sub_batches(batches):
             rows = []

@@ -116,3 +116,8 @@ class WordEncoder:
 def word_encoder(path: str, dtype: str = "<u4") -> WordEncoder:
     """The worker's own encoder."""
     return WordEncoder(path, dtype)
+
+
+def release_encoder() -> None:
+    """Called by work that needs no encoder: Spark reuses Python workers, and one that packed before still holds its caches."""
+    word_encoder.cache_clear()

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from barlake.llm.common import id_text_bucket, stored, sub_batches, texts_of
+from barlake.llm.tokens import release_encoder
 
 FOLDS, TRAIN_DOCS, FEATURES, LEAST_GAIN = 5, 20_000, 5_000, 10.0
 THRESHOLD, CACHED_TOKENS, HELD_FEATURES = 0.5, 600_000, 500_000
@@ -57,6 +58,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
     """Counts of (before, before, letter or boundary) over all documents; at most ``SIZE ** 3`` rows reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoder()
         table, total = _code_table(), np.zeros(SIZE**3, np.int64)
         for batch in sub_batches(batches):
             text = "\n\n".join(["", *batch.column(0).to_pylist(), ""]).lower()
@@ -349,6 +351,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, **li
     model = docs.sparkSession.sparkContext.broadcast(fit_model(docs, labels, folds, **limits))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoder()
         scored = model.value.scorer()
         for batch in sub_batches(batches):
             scores = scored(batch.column(1).to_pylist())

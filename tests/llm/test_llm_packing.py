@@ -46,3 +46,16 @@ def test_every_id_lies_in_one_piece(spark, tmp_path):
     assert pack_documents(no_docs(spark), WORD_TOKENIZER).count() == 0
     with pytest.raises(ValueError):
         pack_documents(no_docs(spark), WORD_TOKENIZER, limit=1000)
+
+
+def test_other_work_of_a_worker_releases_the_encoder(spark):
+    """A worker that packed is reused; the caches of its encoder must not stay beside the tables of other stages."""
+    from barlake.llm import jaccard, tokens, toxicity
+
+    import inspect
+
+    tokens.word_encoder(WORD_TOKENIZER)
+    tokens.release_encoder()
+    assert tokens.word_encoder.cache_info().currsize == 0
+    for module in (jaccard, toxicity):
+        assert "release_encoder()" in inspect.getsource(module)
