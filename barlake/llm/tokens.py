@@ -17,7 +17,8 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHED_WORDS, CACHED_PIECES, AT_ONCE = 350_000, 250_000, 4096
+# Words and pieces that a generation of the caches holds; the small ones are for executors that hold other stages' memory too.
+CACHED, CACHED_FEW, AT_ONCE = (350_000, 250_000), (50_000, 35_000), 4096
 # The pieces of the tokenizer's pattern, for text that is lower-cased already, and the ends of lines.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n"
 PLAIN, PRINTED = re.compile(r"[!-~¡-ɏ\n]*"), re.compile(r"[!-~\n]*")
@@ -29,12 +30,13 @@ SPECIAL = b"<|"
 class WordEncoder:
     """Ids of whole texts as little-endian unsigned integers of ``dtype``."""
 
-    def __init__(self, path: str, dtype: str = "<u4"):
+    def __init__(self, path: str, dtype: str = "<u4", cached: tuple[int, int] = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype = Tokenizer.from_file(path), np.dtype(dtype)
+        self.cached_words, self.cached_pieces = cached
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -64,7 +66,7 @@ class WordEncoder:
         self._keep(self.words, words, np.array(encoding.ids, self.dtype), np.searchsorted(owners, np.arange(len(words) + 1)))
 
     def _know_pieces(self, found: Iterable[str]) -> dict[str, bytes]:
-        if len(self.pieces) > CACHED_PIECES:
+        if len(self.pieces) > self.cached_pieces:
             self.pieces, self.old_pieces = {}, self.pieces
         pieces, new = self.pieces, set(found).difference(self.pieces)
         again = self.old_pieces.keys() & new
@@ -100,7 +102,7 @@ class WordEncoder:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         split = [text.encode().split() for text in texts]
-        if len(self.words) > CACHED_WORDS:
+        if len(self.words) > self.cached_words:
             self.words, self.old_words = {}, self.words
         new = set().union(*split).difference(self.words)
         if new:
@@ -113,9 +115,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str, dtype: str = "<u4") -> WordEncoder:
+def word_encoder(path: str, dtype: str = "<u4", cached: tuple[int, int] = CACHED) -> WordEncoder:
     """The worker's own encoder."""
-    return WordEncoder(path, dtype)
+    return WordEncoder(path, dtype, cached)
 
 
 def release_encoder() -> None:

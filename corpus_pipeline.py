@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barlake.llm import content_sort, jaccard, pack, toxicity
 from barlake.llm.common import named_table, stored
 from barlake.llm.queries import WORD_TOKENIZER
+from barlake.llm.tokens import CACHED_FEW
 
 #: Near-duplicates share this percentage of their shingles of so many words; op6 has stricter figures of its own.
 NEAR_WIDTH, NEAR_PERCENT = 5, 80
@@ -32,8 +33,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents."""
-    return pack.piece_digests(pack.pack_documents(docs, WORD_TOKENIZER))
+    """The pieces of all documents; executors still hold the heap of the stages before, so workers cache few words."""
+    return pack.piece_digests(pack.pack_documents(docs, WORD_TOKENIZER, cached=CACHED_FEW))
 
 
 STAGES: list[tuple[str, Stage]] = [

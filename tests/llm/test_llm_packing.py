@@ -59,3 +59,21 @@ def test_other_work_of_a_worker_releases_the_encoder(spark):
     assert tokens.word_encoder.cache_info().currsize == 0
     for module in (jaccard, toxicity):
         assert "release_encoder()" in inspect.getsource(module)
+
+
+def test_packing_of_the_pipeline_keeps_few_words(spark, monkeypatch):
+    """Its executors are full of other stages; what is kept is bounded by the caches asked for, and no id depends on it."""
+    import corpus_pipeline
+    from barlake.llm import tokens
+
+    asked = []
+    whole = pack_documents
+    monkeypatch.setattr(corpus_pipeline.pack, "pack_documents", lambda *args, **more: asked.append(more) or whole(*args, **more))
+    pieces = corpus_pipeline.packing_stage(spark, edge_docs(spark), "")
+    assert asked == [{"cached": tokens.CACHED_FEW}] and sum(tokens.CACHED_FEW) * 6 < sum(tokens.CACHED)
+    assert sorted(r.ids_crc32 for r in pieces.collect()) == sorted(r.ids_crc32 for r in piece_digests(whole(edge_docs(spark), WORD_TOKENIZER)).collect())
+    few, full = WordEncoder(WORD_TOKENIZER, cached=(50, 30)), WordEncoder(WORD_TOKENIZER)
+    for at in range(0, 4000, 20):
+        words = [f"word{n * n} tail{n}x" for n in range(at, at + 20)]
+        assert few.encode(words) == full.encode(words)
+        assert max(len(few.words), len(few.old_words)) <= 50 + 40 and max(len(few.pieces), len(few.old_pieces)) <= 30 + 80
