@@ -125,3 +125,11 @@ def test_chunked_filling_equals_brute_force(spark, seed):
 def test_chunk_length_does_not_change_the_result(spark):
     bars = bar_frame(spark, [float(i) for i in range(60)], times=[i * i for i in range(60)])
     assert same_rows(fill_missing_bars(bars, chunk_bars=1440), fill_missing_bars(bars, chunk_bars=100_000))
+
+
+def test_deduplicated_bars_are_shuffled_once(spark, tmp_path):
+    """Gap filling reads them twice; both readings must have the same plan for Spark to share the shuffle."""
+    raw_frame(spark, [raw_row(minute(i), "1") for i in range(30)]).write.parquet(f"{tmp_path}/raw")
+    cleaned = clean_bars(spark.read.parquet(f"{tmp_path}/raw"))
+    cleaned.collect()
+    assert "ReusedExchange" in cleaned._jdf.queryExecution().executedPlan().toString()
