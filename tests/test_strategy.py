@@ -122,3 +122,20 @@ def test_unknown_direction_fails(spark):
     table = spark.createDataFrame([("s", "AAA", "1m", "sideways", 1.0, "below", 1.0, 1.0, 0.0)], STRATEGY)
     with pytest.raises(Exception, match="No such direction"):
         strategy_bars(bars, table).collect()
+
+
+def test_many_strategies_are_brought_to_the_chunks(spark, monkeypatch):
+    """Strategies too many to broadcast: neither they nor the bars are copied, save for symbols with very many of them."""
+    from barlake.operators import chunks, strategy
+
+    bars = bar_frame(spark, [90.0 + i * 7 % 23 for i in range(60)]).unionByName(bar_frame(spark, [95.0, 104.0, 99.0], symbol="BBB"))
+    rows = [(f"s{i}", symbol, "1m", "above", 95.0 + i, "below", 100.0 + i, 1000.0, 5.0) for i in range(5) for symbol in ("AAA", "BBB") if symbol == "AAA" or i < 2]
+    strategies = spark.createDataFrame(rows, STRATEGY)
+    expected = sorted(evaluate_strategies(bars, strategies).collect())
+    for module in (chunks, strategy):
+        monkeypatch.setattr(module, "fits_broadcast", lambda *_: False)
+    salted, join = [], chunks.join_parameters
+    monkeypatch.setattr(strategy, "join_parameters", lambda *args, **more: salted.append(1) or join(*args, **more))
+    assert sorted(evaluate_strategies(bars, strategies).collect()) == expected and not salted
+    monkeypatch.setattr(strategy, "MANY", 3)
+    assert sorted(evaluate_strategies(bars, strategies).collect()) == expected and salted
