@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from barlake.operators.chunks import TICK_CHUNK_SECONDS, join_parameters, with_previous, with_tick_chunk
+from barlake.operators.chunks import CHUNK, TICK_CHUNK_SECONDS, join_parameters, with_previous, with_tick_chunk
 from barlake.operators.rules import INSTRUMENT, SPOT, TICK_ORDER, event_lines, rule_matches, signal_events, threshold_alerts
 from barlake.schema import TICK
 from barlake.session import scratch_scope, stored, subfolders
@@ -162,7 +162,8 @@ def _judged_again(fresh: DataFrame, near: DataFrame, chunk_seconds: int) -> Data
     paired = rows.withColumn("_pair", F.struct("price", "_new"))
     compared = with_previous(with_tick_chunk(paired, chunk_seconds), INSTRUMENT, TICK_ORDER, "_pair", "_previous")
     touched = F.col("_new") | F.coalesce("_previous._new", F.lit(False))
-    same = Window.partitionBy(*_KEY)
+    # A chunk follows from the time, so ticks of one key lie together already and are not shuffled again.
+    same = Window.partitionBy(*INSTRUMENT, CHUNK, "event_time", "price")
     return (
         compared.withColumn("_touched", F.max(touched).over(same))
         .where("_touched")

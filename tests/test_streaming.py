@@ -154,3 +154,12 @@ def test_scratch_scope_removes_its_tables(spark, tmp_path):
         left = stored(spark.range(3), "left", keep=True)
     assert left.count() == 3
     assert subfolders(spark, gone.rsplit("/", 2)[0]) == []
+
+
+def test_late_ticks_are_not_shuffled_by_key_again(spark):
+    """Ticks of one time and price lie in one chunk, where they were compared."""
+    from barlake.streaming.alerts import _judged_again
+
+    table = ticks(spark, [1.0, 2.0, 2.0, 3.0])
+    plan = _judged_again(table.where("price <> 2"), table.where("price = 2"), 3600)._jdf.queryExecution().executedPlan().toString()
+    assert "price" not in "".join(line.split("Exchange", 1)[1] for line in plan.splitlines() if "Exchange hashpartitioning" in line)
