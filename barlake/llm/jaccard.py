@@ -30,7 +30,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from barlake.llm.common import bounded, join_hot, stored, sub_batches, texts_of
 from barlake.llm.tokens import release_encoder
@@ -373,30 +373,66 @@ def _verified(met: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return stored(links.select(F.col("b_1").alias("a"), F.col("b_2").alias("b")).distinct(), "jaccard-dense")
 
 
-def _open_keys(prefix: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``prefix`` with their ``group``, where members of one key are still in several groups."""
-    grouped = stored(
-        prefix.drop("group").join(groups.select(F.col("node").alias("b"), "group"), "b", "left").withColumn("group", F.coalesce("group", "b")),
-        "jaccard-open",
-    )
-    several = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("rows")).where("low <> high")
+def _held(members: DataFrame, shingles: Column) -> DataFrame:
+    """a, b and key of every shingle of the members' ``shingles``; a key is a shingle in the star of ``a``."""
+    return members.select("a", "b", "group", F.explode(shingles).alias("shingle")).select("a", "b", "group", F.xxhash64("a", "shingle").alias("key"))
+
+
+def _prefixes(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """a, b, group, n, d, key and ``at``: the shingles by which members may meet, and how many of their differences come before.
+
+    Differences that one group alone holds come first, and no row is needed for them; the others follow, rarest first. Most
+    who meet nobody are known by what they alone add, which is counted without a join.
+    """
+    members = members.drop("group").join(groups.select(F.col("node").alias("b"), "group"), "b", "left")
+    members = stored(members.withColumn("group", F.coalesce("group", "b")), "jaccard-members")
+    added = _held(members, F.slice("differ", 1, F.col("added").cast("int")))
+    alone = added.groupBy("key").agg(F.min("a").alias("a"), F.min("b").alias("b"), F.count("*").alias("rows")).where("rows = 1")
+    alone = alone.groupBy("a", "b").agg(F.count("*").alias("alone"))
+    members = stored(members.join(alone, ["a", "b"], "left").where("coalesce(alone, 0) < reach").drop("alone"), "jaccard-members")
+
+    held = stored(_held(members, F.col("differ")), "jaccard-held")
+    counts = held.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("rows")).where("low <> high")
+    counts = stored(counts.select("key", "rows"), "jaccard-counts")
+    total, _ = _rows(counts)
+    shared = join_hot(held, counts, "key", "rows", total, ["b"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL")
+    shared = shared.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("rows", "key"))).alias("shared"))
+    members = members.join(shared, ["a", "b"]).withColumn("own", F.col("d") - F.size("shared")).where("own < reach")
+    first = F.slice("shared", 1, (F.col("reach") - F.col("own")).cast("int"))
+    prefix = members.select("a", "b", "group", "n", "d", "own", F.posexplode(first).alias("place", "first"))
+    return prefix.select("a", "b", "group", "n", "d", "first.key", (F.col("own") + F.col("place")).alias("at"))
+
+
+def _in_several(prefix: DataFrame) -> DataFrame:
+    """The rows of ``prefix`` whose key members of several groups have."""
+    prefix = stored(prefix, "jaccard-prefix")
+    several = prefix.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("rows")).where("low <> high")
     several = stored(several.select("key", "rows"), "jaccard-several")
     total, _ = _rows(several)
-    open_rows = join_hot(grouped, several, "key", "rows", total, ["b"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL").drop("rows")
+    open_rows = join_hot(prefix, several, "key", "rows", total, ["b"], counted=ALWAYS_SHUFFLE).where("rows IS NOT NULL").drop("rows")
     return stored(open_rows, "jaccard-open")
 
 
+def _may_link(percent: int, at: tuple[Column, Column], d: tuple[Column, Column], n: tuple[Column, Column]) -> Column:
+    """Whether two members may link if the shingle they meet in is the first they share: all before it and the rest's sizes differ."""
+    return (at[0] + at[1] + F.abs(d[0] - at[0] - d[1] + at[1])) * (100 + percent) <= (n[0] + n[1]) * (100 - percent)
+
+
 def dense_links(pairs: DataFrame, links: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Links across groups between members of one star, found in the space of differences from its leader.
 
     Two members differ in what only one of their differences holds. Of two members in different groups at least one does
     not link with the leader; then their differences must share shingles, and more the larger they are. So both have a shared
     shingle among the first of any common order: with ``d`` differences, the first min(d, most + 1) where ``most`` linked sets
-    can differ in, and about half if the member links with the leader. Additions come first, which few members share; what
-    members lack follows by its frequency in the star, an order no longer than the leader's set.
+    can differ in, and about half if the member links with the leader. In the order taken, differences that one group alone
+    holds come first: two members in different groups share none of these, so who has more of them than linked sets differ in
+    meets nobody, and who has few meets others by rare shingles.
 
     Members that meet in a shingle are first compared with one of them, the nearest to the leader, which joins those that
-    made the same change. Only shingles that still hold several groups after that pair their members.
+    made the same change. Those left with keys of several groups are ordered anew under the groups so joined, and then paired.
+    The first shingle two members share tells a bound: what comes before it in either is not shared, and the rest differs by
+    its sizes at least. By that bound one of two that link comes to it within its own part of what may differ, so only such
+    members look for others.
     """
     most = F.floor((F.col("n_b") + F.floor(F.col("n_b") * 100 / percent)) * (100 - percent) / (100 + percent))
     d = F.size("differ").cast("bigint")
@@ -405,33 +441,31 @@ def dense_links(pairs: DataFrame, links: DataFrame, groups: DataFrame, percent:
     members = stored(
         pairs.select("a", "b", F.col("n_b").alias("n"), "differ", "added", d.alias("d"), reach.alias("reach")).where("reach > 0"), "jaccard-members"
     )
-    lacking = F.slice("differ", F.col("added").cast("int") + 1, F.greatest(F.col("d") - F.col("added"), F.lit(0)).cast("int"))
-    counts = members.where("reach > added").select("a", F.explode(lacking).alias("shingle")).groupBy("a", "shingle").agg(F.count("*").alias("rows"))
-    orders = counts.groupBy("a").agg(F.transform(F.sort_array(F.collect_list(F.struct("rows", "shingle"))), lambda x: x["shingle"]).alias("order"))
-    sizes = members.groupBy("a").agg(F.count("*").alias("rows"))
-    orders = stored(sizes.join(orders, "a"), "jaccard-orders")
-    total, _ = _rows(orders)
-    ordered = join_hot(members, orders, "a", "rows", total, ["b"], counted=ALWAYS_SHUFFLE)
-    early = F.slice("differ", 1, F.least("reach", "added").cast("int"))
-    late = F.slice(F.array_intersect("order", lacking), 1, F.greatest(F.col("reach") - F.col("added"), F.lit(0)).cast("int"))
-    first = F.when(F.col("reach") > F.col("added"), F.concat(early, late)).otherwise(early)
-    prefix = ordered.select("a", "b", "n", "d", F.explode(first).alias("shingle"))
-    prefix = stored(prefix.withColumn("key", F.xxhash64("a", "shingle")).drop("shingle"), "jaccard-prefix")
-
-    prefix = _open_keys(prefix, groups)
-    heads = stored(prefix.groupBy("key").agg(F.min(F.struct("d", "b", "group")).alias("head"), F.count("*").alias("rows")), "jaccard-heads")
+    prefix = _in_several(_prefixes(members, groups))
+    heads = stored(prefix.groupBy("key").agg(F.min(F.struct("d", "b", "group", "n", "at")).alias("head"), F.count("*").alias("rows")), "jaccard-heads")
     total, _ = _rows(heads)
-    near = join_hot(prefix, heads, "key", "rows", total, ["b"], counted=ALWAYS_SHUFFLE).where("group <> head.group")
+    near = join_hot(prefix, heads, "key", "rows", total, ["b"], counted=ALWAYS_SHUFFLE).where(F.col("group") != F.col("head.group"))
+    near = near.where(_may_link(percent, *[(F.col(c), F.col(f"head.{c}")) for c in ("at", "d", "n")]))
     near = _verified(near.select("a", F.col("b").alias("b_1"), F.col("head.b").alias("b_2")).distinct(), members, percent)
     if not near.isEmpty():
         groups = stored(connected(links.unionByName(near)), "jaccard-groups")
-        prefix = _open_keys(prefix, groups)
-
-    one = prefix.select("key", "a", *[F.col(c).alias(f"{c}_1") for c in ("b", "group", "n", "d")])
-    two = prefix.select("key", "a", *[F.col(c).alias(f"{c}_2") for c in ("b", "group", "n", "d")])
-    close = F.abs(F.col("d_1") - F.col("d_2")) * (100 + percent) <= (F.col("n_1") + F.col("n_2")) * (100 - percent)
-    met = one.join(two, ["key", "a"]).where((F.col("b_1") < F.col("b_2")) & (F.col("group_1") != F.col("group_2")) & close)
-    return near.unionByName(_verified(met.select("a", "b_1", "b_2").distinct(), members, percent))
+    # Only who meets another group is ordered again; without the others more shingles are a group's own.
+    left = members.join(prefix.select("a", "b").distinct(), ["a", "b"], "left_semi")
+    prefix = _in_several(_prefixes(left, groups))
+    return near.unionByName(_verified(_meetings(prefix, percent), members, percent))
+
+
+def _meetings(prefix: DataFrame, percent: int) -> DataFrame:
+    """a, b_1, b_2: members of different groups that have a key in common and may link if it is the first they share."""
+    early = F.col("at") * (100 + percent) <= F.col("n") * (100 - percent)
+    one, two = (
+        prefix.withColumn("early", early).select("key", "a", *[F.col(c).alias(f"{c}_{side}") for c in ("b", "group", "n", "d", "at", "early")])
+        for side in (1, 2)
+    )
+    close = _may_link(percent, *[(F.col(f"{c}_1"), F.col(f"{c}_2")) for c in ("at", "d", "n")])
+    once = ~F.col("early_2") | (F.col("b_1") < F.col("b_2"))
+    met = one.where("early_1").join(two, ["key", "a"]).where(once & (F.col("group_1") != F.col("group_2")) & close)
+    return met.select("a", F.least("b_1", "b_2").alias("b_1"), F.greatest("b_1", "b_2").alias("b_2")).distinct()
 
 
 # Groups.

@@ -1,8 +1,11 @@
+import random
 import re
 
 import corpus_pipeline
 from llm_cases import documents, words
-from test_llm_jaccard import near_copies
+from test_llm_jaccard import edited, near_copies
+
+from barlake.llm import jaccard
 
 
 def five_word_sets(text):
@@ -34,6 +37,17 @@ def test_near_stage_equals_brute_force_over_five_words(spark):
     assert sorted(r.doc_id for r in kept.collect()) == kept_ids(texts)
 
 
+def test_copies_too_far_apart_to_link_are_not_paired_with_each_other(spark, monkeypatch):
+    # Up to eight words of 150 are other ones, so most members of the group link with nobody, and any two lack a shingle in common.
+    draw, base, met = random.Random(3), words(5, 150, 10**6), []
+    texts = [edited(base, draw.randrange(1, 9), draw) for _ in range(240)]
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *rest: met.append(pairs.count()) or verified(pairs, *rest))
+    kept = corpus_pipeline.near_stage(spark, documents(spark, texts), "")
+    assert sorted(r.doc_id for r in kept.collect()) == kept_ids(texts)
+    assert len(met) == 2 and sum(met) < 5 * len(texts)
+
+
 def test_ids_that_repeat_or_are_missing_are_judged_by_text(spark):
     a, b = words(1, 60, 10**6), words(2, 60, 10**6)
     near = [*a[:59], "other"]
