@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,7 +20,7 @@ BROADCAST_ROWS = 500_000
 
 __all__ = [
     "bounded", "id_text_bucket", "join_hot", "named_table", "published", "scratch_dir", "stored", "sub_batches",
-    "texts_of",
+    "text_batches", "texts_of",
 ]
 
 
@@ -79,6 +81,17 @@ def sub_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[
             yield batch.slice(at, rows)
 
 
+def text_batches(batches: Iterator[pa.RecordBatch], column: int = 1, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Pieces of the incoming batches with about ``size`` bytes of text each, or a single longer text."""
+    for batch in batches:
+        ends, at = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 @contextmanager
 def published(folder: str, name: str):
     """A file that appears under its final name only once it is complete; a repeated task replaces it."""

@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from barlake.llm.common import bounded, published, scratch_dir, sub_batches, texts_of
+from barlake.llm.common import bounded, published, scratch_dir, sub_batches, text_batches, texts_of
 from barlake.llm.tokens import word_encoder
 
 MAGIC = b"BLHUF\x01\r\n"
@@ -150,8 +150,8 @@ def document_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block
             block, in_part, held, ids, size = block + 1, in_part + size, [], [], 0
             return batch
 
-        for batch in sub_batches(batches, 32):
-            for doc_id, own in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+        for batch in text_batches(batches):
+            for doc_id, own in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
                 count = len(own) // 2 + 1
                 if held and size + count > block_ids:
                     yield row()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from barlake.llm.common import sub_batches, texts_of
+from barlake.llm.common import text_batches, texts_of
 from barlake.llm.tokens import CACHED, word_encoder
 
 LIMIT = 4096
@@ -52,9 +52,9 @@ def pack_documents(
         encoder = word_encoder(tokenizer, cached=cached)
         end = np.array([end_id], "<u4").tobytes()
         task, counter = TaskContext.get().partitionId(), 0
-        for batch in sub_batches(batches, 32):
+        for batch in text_batches(batches):
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
                 ids += end
                 total, start = len(ids) // 4, 0
                 for length in piece_lengths(total, limit):

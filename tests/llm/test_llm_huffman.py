@@ -77,3 +77,47 @@ def test_new_words_are_cut_into_pieces_together():
     got = encoder.encode(texts)
     assert len(calls) <= 2
     assert got == [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_known_words_are_no_python_objects():
+    """A batch of known words costs Python nothing per word, and a word that is kept no object."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from barlake.llm import tokens
+
+    encoder = tokens.WordEncoder(WORD_TOKENIZER)
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(2000)) for i in range(20)])
+    tracemalloc.start()
+    first = encoder.encode(texts)
+    kept = tracemalloc.get_traced_memory()[0] - sum(map(len, first))
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    again = encoder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1] - before - sum(map(len, again))
+    tracemalloc.stop()
+    assert len(encoder.words) > 40_000 and again == first
+    assert kept < 40_000 * 20 and peak < 40_000 * 20
+
+
+def test_long_words_fill_a_generation(monkeypatch):
+    from barlake.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHED_BYTES", 10_000)
+    encoder, whole = tokens.WordEncoder(WORD_TOKENIZER), tokens.WordEncoder(WORD_TOKENIZER)
+    for at in range(20):
+        text = " ".join(f"{'long' * 50}{at}-{i}" for i in range(20))
+        assert encoder.encode([text, ""]) == whole.encode([text, ""])
+        assert encoder.words.names.nbytes < 20_000
+
+
+def test_texts_are_batched_by_size():
+    import pyarrow as pa
+
+    from barlake.llm.common import text_batches
+
+    texts = ["", "a" * 30, "b" * 200, "c" * 60, "ü" * 19, "", "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["doc_id", "text"])
+    parts = [part.column(1).to_pylist() for part in text_batches(iter([batch, batch.slice(0, 0), batch.slice(2, 3)]), size=100)]
+    assert parts == [texts[:2], texts[2:3], texts[3:], texts[2:3], texts[3:5]]
