@@ -20,10 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from barlake.llm.common import text_batches, texts_of
-from barlake.llm.tokens import CACHED, word_encoder
+from barlake.llm.tokens import CACHED, release_memory, word_encoder
 
 LIMIT = 4096
 END_ID = 2
+# Bytes of text that are encoded at once, for each word and piece a worker may keep.
+TEXT_PER_NAME = 7
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, bucket int, sequence_id bigint, "
     "offset bigint"
@@ -49,10 +51,11 @@ def pack_documents(
         raise ValueError("limit must be a power of two up to 32768")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         encoder = word_encoder(tokenizer, cached=cached)
         end = np.array([end_id], "<u4").tobytes()
         task, counter = TaskContext.get().partitionId(), 0
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, size=TEXT_PER_NAME * sum(cached)):
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
                 ids += end

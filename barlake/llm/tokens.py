@@ -11,6 +11,7 @@ move on; the encoder outlives the task, so a worker's next task finds its words
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Callable, Iterable, Sequence
@@ -181,3 +182,12 @@ def word_encoder(path: str, dtype: str = "<u4", cached: tuple[int, int] = CACHED
 def release_encoder() -> None:
     """Called by work that needs no encoder: Spark reuses Python workers, and one that packed before still holds its caches."""
     word_encoder.cache_clear()
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give back to the system what a reused worker's earlier tasks have freed; Arrow and the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -370,6 +370,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoder()
         scored = model.value.scorer()
         for batch in sub_batches(batches):
             yield batch.filter(pa.array(scored(batch.column(at).to_pylist()) < THRESHOLD))

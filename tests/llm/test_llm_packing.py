@@ -77,3 +77,21 @@ def test_packing_of_the_pipeline_keeps_few_words(spark, monkeypatch):
         words = [f"word{n * n} tail{n}x" for n in range(at, at + 20)]
         assert few.encode(words) == full.encode(words)
         assert max(len(few.words), len(few.old_words)) <= 50 + 40 and max(len(few.pieces), len(few.old_pieces)) <= 30 + 80
+
+
+def test_a_reused_worker_gives_back_what_was_freed():
+    """What an earlier stage's tasks have freed must not stay beside the next stage's, on top of the heap."""
+    import re
+
+    from barlake.llm import tokens
+
+    def held():
+        with open("/proc/self/smaps_rollup") as rollup:
+            return int(re.search(r"Pss_Anon:\s+(\d+)", rollup.read())[1])
+
+    blocks = [np.ones(1 << 13) for _ in range(3000)]  # 64 kB each: from the C library's heap
+    kept = blocks[::100]
+    full = held()
+    del blocks
+    tokens.release_encoder()
+    assert len(kept) == 30 and held() < full - 150_000
