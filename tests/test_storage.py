@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from barlake.operators.cleaning import clean_bars
 from barlake.operators.features import feature_frame
 from barlake.operators.quality import assert_quality, integrity_report, rejected_bars, window_report
 from barlake.plans.loads import run_backfill, run_incremental, run_realtime
@@ -11,7 +12,7 @@ from barlake.schema import SERIES
 from barlake.sources.klines import extract_recent, extract_window, raw_bars_from_payloads
 from barlake.sources.layers import DAY_LAYOUT, merge_layer, read_layer, read_window, upsert_serving, write_layer
 from barlake.sources.marks import read_marks
-from helpers import bar_frame, column, minute, raw_frame, raw_row, same_rows
+from helpers import bar_frame, column, millis, minute, raw_frame, raw_row, same_rows
 
 
 def test_payload_page(spark):
@@ -196,3 +197,39 @@ def test_rows_of_empty_folders_are_written_without_ranking(spark, tmp_path, monk
     assert merge_layer(spark, later, root, "silver", DAY_LAYOUT, unique=True) == 10 and ranked == [5]
     want = rows.where(F.col("open_time") < F.lit(minute(1440))).unionByName(later)
     assert same_rows(read_layer(spark, root, "silver").drop("date"), want)
+
+
+def test_series_too_many_to_broadcast_are_joined_by_shuffle(spark, tmp_path, monkeypatch):
+    """The bounds of very many series, once for each of 64 salts, looked small to Spark by their compressed file, and the driver
+    ran out of memory building their broadcast."""
+    from barlake.operators import chunks, cleaning
+
+    rows = [raw_row(minute(at), str(100 + at % 7), symbol=f"S{s}") for s in range(4) for at in range(s, 100, 3 + s)]
+    raw = raw_frame(spark, [*rows, raw_row(minute(30.5), "7", symbol="S1"), raw_row(minute(5), "7", symbol=None)])
+    lake = Lake(str(tmp_path), DAY_LAYOUT, fill=False)
+    write_layer(clean_bars(raw, fill=False), lake.root, "silver", lake.layout)
+    scope = Scope.per_series(raw.where(F.col("open_time").between(millis(minute(40)), millis(minute(69)))))
+
+    def frames():
+        near = [scope.neighbours(spark, lake, "silver", 4, after) for after in (False, True)]
+        return [scope.inside(spark, lake, "silver"), *near, cleaning.rejected_raw_bars(raw, scope.bounds)]
+
+    expected = [frame.collect() for frame in frames()]
+    monkeypatch.setattr(chunks, "fits_broadcast", lambda *_: False)
+    for frame, want in zip(frames(), expected):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Generate" not in plan
+        assert sorted(frame.collect(), key=str) == sorted(want, key=str) != []
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_only_hot_keys_are_dealt_over_parts(spark, monkeypatch, how):
+    from barlake.operators import chunks
+
+    monkeypatch.setattr(chunks, "fits_broadcast", lambda *_: False)
+    rows = spark.range(300).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('k', id % 40) END AS key", "id")
+    parameters = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), (None, 4), ("idle", 5)], "key string, value int")
+    dealt = chunks.join_parameters(rows, parameters, ["key"], ["id"], how, part_rows=30)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "_part" in plan
+    assert same_rows(dealt, rows.join(parameters, ["key"], how)) and dealt.count() == rows.join(parameters, ["key"], how).count()
