@@ -148,3 +148,42 @@ def test_blocks_of_a_symbol_are_bounded(spark, monkeypatch):
     assert fences.selectExpr("size(_fences)").first()[0] == 15
     sizes = blocked.groupBy("_block").agg(F.count("*").alias("n"), F.min("threshold").alias("low")).orderBy("low").collect()
     assert [row.n for row in sizes] == [313] * 15 + [305] and [row._block for row in sizes] == list(range(16))
+
+
+def test_rules_travel_in_packs_and_fire_like_every_rule_compared(spark, monkeypatch):
+    """A reading met every rule of its blocks as a row of its own, those of the other direction among them."""
+    draw = random.Random(5)
+    prices = [draw.choice([float(draw.randrange(80, 121)), draw.uniform(90, 110), float("nan"), None]) for _ in range(80)]
+    stream = ticks(spark, prices).unionByName(ticks(spark, [101.0, 99.0, -0.0, 0.0], "BBB"))
+    levels = [100.0] * 20 + [float("nan"), 0.0, None] + [draw.uniform(90, 110) for _ in range(60)]
+    table = rules(spark, *[(s, draw.choice([None, "spot", "1h"]), d, level, f"{s}-{d}-{i}") for s in ("AAA", "BBB") for d in DIRECTIONS for i, level in enumerate(levels)])
+    want = threshold_alerts(stream, table).drop("metadata")
+    monkeypatch.setattr(rules_module, "RULE_BLOCK", 10**6)
+    assert want.exceptAll(threshold_alerts(stream, table).drop("metadata")).isEmpty()
+    monkeypatch.setattr(rules_module, "RULE_BLOCK", 8)
+    monkeypatch.setattr(rules_module, "PACK_RULES", 3)
+    monkeypatch.setattr(rules_module, "fits_broadcast", lambda *args, **kwargs: False)
+    got = threshold_alerts(stream, table).drop("metadata")
+    assert got.count() == want.count() > 1000 and got.exceptAll(want).isEmpty()
+    assert got.groupBy("direction").count().count() == 4
+    assert "inline(CASE WHEN" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_readings_beyond_all_rules_cross_no_block(spark):
+    table = spark.range(1000).selectExpr("'AAA' AS symbol", "CAST(100 + id AS DOUBLE) AS threshold")
+    blocked, fences = rules_module._rule_blocks(table, 128)
+    observed = price_changes(ticks(spark, [50.0, 60.0, 40.0, 2000.0, 3000.0]), chunk_seconds=10**6)
+    crossed = rules_module._crossed_blocks(observed, fences, 1000 // 128, "event_time", "edge").where("previous_price IS NOT NULL")
+    assert {(row.price, row.n) for row in crossed.groupBy("price").agg(F.count("*").alias("n")).collect()} == {(2000.0, 8)}
+
+
+def test_shown_doubles_are_those_of_round(spark):
+    from registry.queries import _rounded
+
+    draw = random.Random(3)
+    values = [0.0, -0.0, 1e-7, -1e-7, 5e-7, 0.1 + 0.2, 4294967296.0000005, 1e300, float("nan"), float("inf"), float("-inf"), None, 2.675, 1e16 + 2]
+    values += [draw.uniform(-1, 1) * 10 ** draw.randrange(-8, 12) for _ in range(3000)] + [round(draw.uniform(-500, 500), draw.randrange(8)) for _ in range(3000)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (2, 4, 6):
+        pairs = frame.select(_rounded(F.col("v"), digits).cast("string").alias("a"), F.round("v", digits).cast("string").alias("b"))
+        assert pairs.where("NOT a <=> b").isEmpty()
